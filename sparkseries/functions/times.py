@@ -45,7 +45,12 @@ def to_epoch_nanos(moment: Column) -> Column:
 
 
 def from_epoch_nanos(nanos: Column) -> Column:
-    return F.timestamp_micros(F.floor(nanos / 1000).cast("bigint")).cast("timestamp_ntz")
+    return F.timestamp_micros(_floor_div(nanos, 1000)).cast("timestamp_ntz")
+
+
+def _floor_div(number: Column, by: int) -> Column:
+    """Whole-number division rounded down, without a detour through doubles."""
+    return F.call_function("div", number - F.pmod(number, F.lit(by)), F.lit(by))
 
 
 def clamp_future(created_at: Column, as_of) -> Column:
@@ -78,7 +83,7 @@ def human_time(millis: Column) -> Column:
 
 def next_boundary(moment: Column, seconds: int = 600) -> Column:
     """The next whole multiple of `seconds`, strictly after `moment`."""
-    step = F.floor(epoch_micros(moment) / F.lit(seconds * 1_000_000)) + 1
+    step = _floor_div(epoch_micros(moment), seconds * 1_000_000) + 1
     return F.timestamp_seconds(step * seconds).cast("timestamp_ntz")
 
 

@@ -1,4 +1,4 @@
-from . import series
+from . import catalogue, rounds, scalars, series
 from .registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "series"]
+__all__ = ["ORACLE", "QUERIES", "catalogue", "rounds", "scalars", "series"]
