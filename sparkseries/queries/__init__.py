@@ -1,4 +1,4 @@
-from . import catalogue, rounds, scalars, series
+from . import catalogue, ingest, rounds, scalars, series
 from .registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "catalogue", "rounds", "scalars", "series"]
+__all__ = ["ORACLE", "QUERIES", "catalogue", "ingest", "rounds", "scalars", "series"]

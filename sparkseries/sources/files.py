@@ -15,13 +15,9 @@ class SourceError(Exception):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether a file or folder is there, asked of its file system without listing it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
 def join_path(root: str | None, path: str) -> str:
