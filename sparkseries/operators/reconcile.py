@@ -27,11 +27,26 @@ def round_frame(df: DataFrame, places: int = 6) -> DataFrame:
 def within_incoming_dates(base: DataFrame, incoming: DataFrame, column: str = "date") -> DataFrame:
     """Base rows that can equal an incoming row, judged by the date range alone.
 
-    The bounds are scalar subqueries, so the scan of the base prunes partitions and row groups at run time.
+    The bounds are scalar subqueries, so the scan of the base prunes partitions and row groups at run time. The
+    upper bound goes through a struct: two plain bounds would be merged into one subquery that returns both, and
+    a field of such a result is not pushed into the scan.
     """
     lowest = incoming.agg(F.min(column)).scalar()
-    highest = incoming.agg(F.max(column)).scalar()
-    return base.where(F.col(column).isNull() | F.col(column).between(lowest, highest))
+    highest = incoming.agg(F.max(F.struct(F.col(column).alias("bound")))["bound"]).scalar()
+    return base.where(F.col(column).isNull() | ((F.col(column) >= lowest) & (F.col(column) <= highest)))
+
+
+def within_incoming_values(base: DataFrame, incoming: DataFrame, column: str, limit: int = 1000) -> DataFrame:
+    """Base rows whose `column` occurs in the incoming rows, when it holds at most `limit` values there.
+
+    The values become a literal list that the scan can use; with more of them the base stays as it is, which
+    costs time but changes nothing. This runs a job over that one column.
+    """
+    values = [row[0] for row in incoming.select(column).distinct().limit(limit + 1).collect()]
+    if len(values) > limit:
+        return base
+    wanted = F.col(column).isin([v for v in values if v is not None])
+    return base.where(wanted | F.col(column).isNull()) if None in values else base.where(wanted)
 
 
 def reconcile(base: DataFrame, incoming: DataFrame, places: int = 6, prune: bool = True) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog, project
-from ..operators.reconcile import overlay, reconcile, round_frame
+from ..operators.reconcile import overlay, reconcile, round_frame, within_incoming_values
 from ..sources.registry import Source, read_source
 from ..sources.targets import Target, append_manifest, read_target, read_version, write_target, write_version
 
@@ -68,6 +68,8 @@ def new_rows(spark: SparkSession, target: Target, incoming: DataFrame, as_of) ->
             return round_frame(stamped)
         base = spark.createDataFrame([], stamped.schema)
         return reconcile(base, stamped, prune=False)
+    if target.few_values_of:
+        base = within_incoming_values(base, stamped, target.few_values_of)
     if "created_at" in base.columns:
         base = project.stamp_created(base, as_of)
     if target.reconcile is not None:

@@ -19,7 +19,8 @@ class Target:
     """Where a named frame goes. `path` is a folder, a table name or a `db:table` address, by `format`.
 
     `replace` writes over what is there, otherwise only new rows are appended. `reconcile(base, incoming)` and
-    `create_table(target, rows)` replace the built-in steps. `partition_by` keeps scans of a large target short.
+    `create_table(target, rows)` replace the built-in steps. `partition_by` keeps scans of a large target short, and
+    so does `few_values_of`: a column, such as the series, that few different values arrive in per run.
     """
 
     name: str
@@ -29,6 +30,7 @@ class Target:
     reconcile: Callable[[DataFrame, DataFrame], DataFrame] | None = None
     create_table: Callable[["Target", DataFrame], None] | None = None
     partition_by: tuple[str, ...] = ()
+    few_values_of: str | None = None
     options: dict = dataclasses.field(default_factory=dict)
 
     @property
