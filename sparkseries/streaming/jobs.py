@@ -1,11 +1,14 @@
 """The same operators over streams.
 
-Every micro-batch writes its own `batch_id` folder, so a batch that runs again after a failure replaces what it
-wrote, and reads leave out its own folder.
+Every micro-batch writes a folder of its own, named after the stream's checkpoint and the batch. A batch that runs
+again after a failure replaces exactly what it wrote, and leaves its own folder out when it reads the target.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,38 +18,44 @@ from ..operators import snapshot
 from ..operators.reconcile import reconcile
 from ..sources.files import path_exists
 
-BATCH = "batch_id"
+FOLDERS = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
+
 
+def stream_tag(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-def _with_batch(like: DataFrame) -> T.StructType:
-    return T.StructType([*like.schema.fields, T.StructField(BATCH, T.LongType())])
 
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    schema = T.StructType([*like.schema.fields, *FOLDERS])
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
-def read_batches(spark: SparkSession, path: str, like: DataFrame, before: int | None = None) -> DataFrame:
-    """Rows of all batch folders, or of those before a batch; the folder filter prunes partitions."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], like.schema)
-    stored = spark.read.schema(_with_batch(like)).parquet(path)
-    if before is not None:
-        stored = stored.where(F.col(BATCH) < before)
-    return stored.select(*like.columns)
 
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Rows of all batches, with the columns of `like`."""
+    return _stored(spark, path, like).select(*like.columns)
 
-def _start(stream: DataFrame, step, checkpoint: str, once: bool) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+def _start(
+    stream: DataFrame, step: Callable[[DataFrame, str, int], DataFrame], path: str, checkpoint: str, once: bool
+) -> StreamingQuery:
+    tag = stream_tag(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        step(batch, tag, batch_id).write.mode("overwrite").parquet(f"{path}/stream={tag}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 
 def stream_reconcile(stream: DataFrame, path: str, checkpoint: str, places: int = 6, once: bool = True) -> StreamingQuery:
     """Append only rows the target does not hold yet."""
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        base = read_batches(batch.sparkSession, path, batch.limit(0), batch_id)
-        reconcile(base, batch, places).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        batch.unpersist()
+    def step(batch: DataFrame, tag: str, batch_id: int) -> DataFrame:
+        stored = _stored(batch.sparkSession, path, batch)
+        others = stored.where((F.col("stream") != tag) | (F.col("batch_id") != batch_id))
+        return reconcile(others.select(*batch.columns), batch, places)
 
-    return _start(stream, step, checkpoint, once)
+    return _start(stream, step, path, checkpoint, once)
 
 
 def stream_last_write(
@@ -54,21 +63,23 @@ def stream_last_write(
 ) -> StreamingQuery:
     """Store the winning row of each id per batch; `last_writes` resolves the batches when reading."""
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def step(batch: DataFrame, _tag: str, _batch_id: int) -> DataFrame:
         nothing = batch.sparkSession.createDataFrame([], batch.schema)
-        winners = snapshot.last_write_wins(nothing, batch, key, stamp)
-        winners.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        return snapshot.last_write_wins(nothing, batch, key, stamp)
 
-    return _start(stream, step, checkpoint, once)
+    return _start(stream, step, path, checkpoint, once)
 
 
 def last_writes(spark: SparkSession, path: str, like: DataFrame, key: str = "id", stamp: str = "timestamp") -> DataFrame:
-    """The winning row of each id over all batches; among equal times the earliest batch stays."""
-    stored = spark.read.schema(_with_batch(like)).parquet(path)
-    none_yet = F.when(F.col(stamp).isNull(), -F.col(BATCH)).otherwise(F.col(BATCH))
+    """The winning row of each id over all batches.
+
+    Among equal times the earliest batch stays; among rows without a time the latest batch does.
+    """
+    batch = F.col("batch_id")
+    arrival = F.when(F.col(stamp).isNull(), -batch).otherwise(batch)
     rest = [F.desc_nulls_last(c) for c in like.columns if c not in (key, stamp)]
-    winners = snapshot.first_per_group(stored, [key], [F.desc_nulls_last(stamp), none_yet.asc(), *rest])
-    return winners.select(*like.columns)
+    order = [F.desc_nulls_last(stamp), arrival.asc(), F.asc("stream"), *rest]
+    return snapshot.first_per_group(_stored(spark, path, like), [key], order).select(*like.columns)
 
 
 def round_average_stream(
