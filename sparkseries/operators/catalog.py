@@ -103,7 +103,27 @@ def catalogue_rows(df: DataFrame, rules: DataFrame, as_of, series: str = "series
 
     The facts need one aggregation over the rows; everything after it has one row per series.
     """
-    facts = snapshot.latest_facts(df.select(series, "date", "created_at"), series).withColumnRenamed(series, "table_name")
+    facts = snapshot.latest_facts(df.select(series, "date", "created_at"), series)
+    return fact_rows(facts.withColumnRenamed(series, "table_name"), rules, as_of)
+
+
+def newest_facts(facts: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Facts of new rows merged with the ones the catalogue holds for the same tables: the later row counts.
+
+    Rows are only ever appended, so this equals the facts over all rows without reading them again.
+    """
+    held = catalogue.groupBy("table_name").agg(
+        *[F.max(F.when(F.col("_key") == key, F.col("value"))).alias(f"_{key}") for key in ("latest_date", "last_update")]
+    )
+    new = F.struct(F.col("latest_date").cast("date").alias("d"), F.col("last_update").cast("timestamp_ntz").alias("u"))
+    old = F.struct(F.col("_latest_date").try_cast("date").alias("d"), F.col("_last_update").try_cast("timestamp_ntz").alias("u"))
+    return facts.join(held, "table_name", "left").select("table_name", F.greatest(new, old).alias("_f")).select(
+        "table_name", F.col("_f.d").alias("latest_date"), F.col("_f.u").alias("last_update")
+    )
+
+
+def fact_rows(facts: DataFrame, rules: DataFrame, as_of) -> DataFrame:
+    """Long catalogue rows from one row of facts per table."""
     facts = project.exclude_prefixes(facts, "table_name")
     ruled = facts.join(first_rule(facts.select("table_name"), rules), "table_name", "left")
     table = F.col("table_name")

@@ -205,6 +205,11 @@ def load_constraints(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CONSTRAINT_SCHEMA).json(path)
 
 
+def copy_constraints(spark: SparkSession, source: str, path: str) -> None:
+    """Use the constraints stored at `source` for another frame."""
+    save_constraints(load_constraints(spark, source), path)
+
+
 def verify_stored(df: DataFrame, path: str) -> DataFrame:
     """Verify against the constraints stored at `path`, after discovering and storing them when there are none."""
     from ..sources.files import path_exists

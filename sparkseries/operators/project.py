@@ -135,8 +135,18 @@ def date_first(df: DataFrame) -> DataFrame:
     return df.select("date", *[c for c in df.columns if c != "date"])
 
 
+def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Globally sorted rows. The remaining columns and the row's place break ties, so that a value that very many
+    rows share is spread over several range partitions instead of one."""
+    named = {c for c in order if isinstance(c, str)}
+    rest = [c for c, kind in df.dtypes if c not in named and not kind.startswith(("map", "variant"))]
+    return (
+        df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order, *rest, "_place").drop("_place")
+    )
+
+
 def sort_numeric_text(df: DataFrame, column: str) -> DataFrame:
-    return df.orderBy(F.col(column).try_cast("bigint"), F.col(column))
+    return sort_rows(df, F.col(column).try_cast("bigint"), column)
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 import logging
 import time
 import traceback
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog, project
 from ..operators.reconcile import overlay, reconcile, round_frame, within_incoming_values
+from ..operators.snapshot import latest_facts
+from ..session import ensure_checkpoint_dir
 from ..sources.registry import Source, read_source
 from ..sources.targets import Target, append_manifest, read_target, read_version, write_target, write_version
 
@@ -77,31 +80,61 @@ def new_rows(spark: SparkSession, target: Target, incoming: DataFrame, as_of) ->
     return reconcile(base, stamped)
 
 
-def export(spark: SparkSession, target: Target, incoming: DataFrame, as_of, dry_run: bool = False):
-    """(new rows, number written). The write is the only job; the count comes from the same job."""
+def export(spark: SparkSession, target: Target, incoming: DataFrame, as_of, dry_run: bool = False, keep: bool = False):
+    """(new rows, number written). The write is the only job, and the count comes from that job.
+
+    With `keep` the new rows are checkpointed first, so they can be read again once the target holds them.
+    """
     rows = new_rows(spark, target, incoming, as_of)
     if dry_run:
         return rows, None
+    if keep:
+        ensure_checkpoint_dir(spark)
+        rows = rows.checkpoint()
     seen = Observation()
     write_target(rows.observe(seen, F.count(F.lit(1)).alias("rows")), target)
     return rows, seen.get["rows"]
 
 
-def refresh_catalogue(spark: SparkSession, targets: Iterable[Target], frames, rules: DataFrame, path: str, as_of) -> None:
-    """Catalogue rows of the written targets go into a new version of the catalogue table."""
-    parts = []
-    for target in targets:
-        stored = read_target(spark, dataclasses.replace(target, replace=False), frames[target.name])
-        if stored is not None and {"date", "created_at"} <= set(stored.columns):
-            parts.append(stored.select(F.lit(target.name).alias("series"), F.col("date").cast("date"), "created_at"))
+def _dated_rows(target: Target, rows: DataFrame) -> DataFrame:
+    series = F.col(target.series) if target.series else F.lit(target.name)
+    return rows.select(series.cast("string").alias("table_name"), F.col("date").cast("date").alias("date"), "created_at")
+
+
+def _has_facts(rows: DataFrame | None) -> bool:
+    return rows is not None and {"date", "created_at"} <= set(rows.columns)
+
+
+def refresh_catalogue(
+    spark: SparkSession, appended: list[tuple[Target, DataFrame]], rules: DataFrame, path: str, as_of
+) -> None:
+    """A new version of the catalogue after appends. Only the appended rows are read, not the targets."""
+    parts = [_dated_rows(target, rows) for target, rows in appended if _has_facts(rows)]
     if not parts:
         return
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionAll(part)
-    fresh = catalog.catalogue_rows(rows, rules, as_of)
+    facts = latest_facts(functools.reduce(DataFrame.unionAll, parts), "table_name")
+    single = [(target.name,) for target, rows in appended if _has_facts(rows) and not target.series]
+    if single:
+        # Tables without new rows are refreshed too; they keep the facts they have.
+        named = spark.createDataFrame(single, "table_name STRING")
+        facts = named.join(facts, "table_name", "full")
     old = read_version(spark, path)
-    write_version(catalog.upsert_catalogue(old if old is not None else catalog.empty_catalogue(spark), fresh), path)
+    old = old if old is not None else catalog.empty_catalogue(spark)
+    fresh = catalog.fact_rows(catalog.newest_facts(facts, old), rules, as_of)
+    write_version(catalog.upsert_catalogue(old, fresh), path)
+
+
+def rebuild_catalogue(
+    spark: SparkSession, targets: Iterable[tuple[Target, DataFrame]], rules: DataFrame, path: str, as_of
+) -> None:
+    """The catalogue from scratch, from all rows of the targets; each comes with a frame that gives its columns."""
+    stored = [(t, read_target(spark, dataclasses.replace(t, replace=False), like)) for t, like in targets]
+    parts = [_dated_rows(target, rows) for target, rows in stored if _has_facts(rows)]
+    if parts:
+        rows = functools.reduce(DataFrame.unionAll, parts)
+        write_version(catalog.catalogue_rows(rows, rules, as_of, "table_name"), path)
+    else:
+        write_version(catalog.empty_catalogue(spark), path)
 
 
 def run(
@@ -140,7 +173,7 @@ def run(
                 result.entries.append((ingest.name, target.name, "no frame", 0, 0.0, None))
                 continue
             begun = time.monotonic()
-            rows, written = export(spark, target, incoming, as_of, dry_run)
+            rows, written = export(spark, target, incoming, as_of, dry_run, keep=catalogue_path is not None)
             result.new_rows[target.name] = rows
             status = "dry run" if dry_run else "written"
             result.entries.append((ingest.name, target.name, status, written, time.monotonic() - begun, None))
@@ -152,11 +185,9 @@ def run(
             if manifest_path:
                 append_manifest(spark, manifest_path, uuid.uuid4().hex, manifest)
             if catalogue_path:
-                written = {name for name, _path, _rows in manifest}
-                refresh_catalogue(
-                    spark, [t for t in ingest.targets if t.name in written], result.frames,
-                    rules if rules is not None else catalog.load_rules(spark, None), catalogue_path, as_of,
-                )
+                rules = rules if rules is not None else catalog.load_rules(spark, None)
+                appended = [(t, result.new_rows[t.name]) for t in ingest.targets if t.name in result.new_rows]
+                refresh_catalogue(spark, appended, rules, catalogue_path, as_of)
         log.info("ingest %s ran in %.1f seconds", ingest.name, time.monotonic() - started)
     except Exception as error:
         log.exception("ingest %s failed", ingest.name)

@@ -189,9 +189,8 @@ def data_url(kind: str, body):
 
 
 def order_json():
-    return F.format_string(
-        '[{"date":"%s","value":%s}]', F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_totalprice").cast("string")
-    )
+    day, price = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_totalprice").cast("string")
+    return F.concat(F.lit('[{"date":"'), day, F.lit('","value":'), price, F.lit("}]"))
 
 
 def order_csv():
@@ -298,7 +297,7 @@ SELECT 'prices' AS table_name, k AS _key, v AS value FROM (SELECT 'category' AS
   UNION ALL SELECT 'latest_date', strftime(max(o_orderdate), '%Y-%m-%d') FROM orders
   UNION ALL SELECT 'last_update', '2002-01-01 00:00:00' UNION ALL SELECT 'frequency', 'Daily' UNION ALL SELECT 'other', 'No')""")
 def ingest_catalogue(t):
-    """The catalogue an ingest leaves behind, refreshed from the written target."""
+    """The catalogue an ingest leaves behind after a run with new rows and one without."""
     path = scratch_path(t.spark, "catalogue")
     rules = t.spark.createDataFrame([("prices", "Daily", "No", 1, 0)], catalog.RULE_SCHEMA + ", position INT")
     plan = runner.Ingest(

@@ -88,21 +88,21 @@ def zero_key(t):
     return rounds.zero_key(amounts, group="round")
 
 
-@query("yearly_sum", """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL""")
+@query("yearly_sum", """SELECT CAST(year(l_shipdate) AS INTEGER) AS year,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY ALL""")
 def yearly_sum(t):
     written = F.replace(F.col("l_extendedprice").cast("string"), F.lit("."), F.lit(","))
-    accepted = t.lineitem.where("l_returnflag = 'A'").select(F.year("l_shipdate").alias("year"), written.alias("total"))
-    return rounds.yearly_sum(accepted, "total", scale=2).withColumn("l_returnflag", F.lit("A"))
+    return rounds.yearly_sum(t.lineitem.select(F.year("l_shipdate").alias("year"), written.alias("total")), "total", scale=2)
 
 
 @query("round_average", """SELECT CAST(ts AS DATE) AS round, 'user ' || user_id AS location, event_type AS type,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS price FROM events GROUP BY ALL""")
 def round_average(t):
     """Averages from scrapes as they are stored: JSON text with a summary per location."""
-    body = F.format_string(
-        '{"timestamp":%d,"locationSummary":[{"location":"user %d","data":{"%s":%s}}]}',
-        times.to_epoch_millis(F.col("ts")), F.col("user_id"), F.col("event_type"), F.col("value").cast("string"),
+    body = F.concat(
+        F.lit('{"timestamp":'), times.to_epoch_millis(F.col("ts")).cast("string"),
+        F.lit(',"locationSummary":[{"location":"user '), F.col("user_id").cast("string"),
+        F.lit('","data":{"'), F.col("event_type"), F.lit('":'), F.col("value").cast("string"), F.lit("}}]}"),
     )
     schema = "timestamp BIGINT, locationSummary ARRAY<STRUCT<location: STRING, data: MAP<STRING, DOUBLE>>>"
     scrapes = t.events.select(F.to_date("ts").alias("round"), F.from_json(body, schema).alias("s"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import numeric, text, times
@@ -122,14 +124,12 @@ def clean_date_value(t):
     return clean.clean_date_value(raw, restriction=lambda v: v > 5, formats=DATE_FORMATS)
 
 
-@query("row_predicate", "SELECT event_id, value FROM events WHERE value > 5 AND round(value * 100) % 7 <> 0")
+@query("row_predicate", "SELECT event_id, value FROM events WHERE value > 10 AND sqrt(value - 10) < 5")
 def row_predicate(t):
     """A predicate over plain values: it raises for some of them, which counts as false."""
 
     def predicate(value: float) -> bool:
-        if value <= 5:
-            raise ValueError(value)
-        return round(value * 100) % 7 != 0
+        return 0 < math.sqrt(value - 10) < 5
 
     return project.keep_where(t.events.select("event_id", "value"), "value", predicate)
 
@@ -325,7 +325,7 @@ def union_tagged(t):
             F.to_date("l_shipdate").alias("date"), F.col("l_extendedprice").alias("value"), F.col("l_returnflag").alias("flag")
         ),
     }
-    return rec.union_tagged(frames).orderBy("table", "date")
+    return project.sort_rows(rec.union_tagged(frames), "table", "date")
 
 
 @query("overlay_frames", """SELECT 'a' AS name, count(*) AS n FROM lineitem UNION ALL SELECT 'b', count(*) FROM orders""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric, times
 from ..operators.constraints import require_writer, schema_check
+from ..operators.reconcile import delete_by_key
 from .files import path_exists
 
 # The ledger's declared columns and lengths.
@@ -70,10 +71,16 @@ def append_ledger(
     df: DataFrame, address: str, root: str | None = None, keys: list[str] | None = None,
     admins: DataFrame | None = None, writer: str = "writer",
 ) -> None:
-    """Encode and append; a writer outside `admins` or a row that breaks the declared schema stops the batch."""
+    """Encode and append; a writer outside `admins` or a row that breaks the declared schema stops the batch.
+
+    Ids that the table holds already are left out, so with `keys` a repeated run adds nothing.
+    """
     if admins is not None:
         df = require_writer(df, admins, writer).drop(writer)
     rows = encode(df, keys)
+    held = read_ledger(df.sparkSession, address, root, raw=True) if keys else None
+    if held is not None:
+        rows = delete_by_key(rows, held, ["id"])
     checked = schema_check(rows, ["id"], LEDGER_NOT_NULL, LEDGER_LENGTHS)
     reject = F.raise_error(F.concat(F.lit("ledger row refused: "), F.col("reason")))
     valid = checked.withColumn("id", F.when(F.col("reason").isNotNull(), reject).otherwise(F.col("id"))).drop("reason")

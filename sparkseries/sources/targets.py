@@ -20,7 +20,8 @@ class Target:
 
     `replace` writes over what is there, otherwise only new rows are appended. `reconcile(base, incoming)` and
     `create_table(target, rows)` replace the built-in steps. `partition_by` keeps scans of a large target short, and
-    so does `few_values_of`: a column, such as the series, that few different values arrive in per run.
+    so does `few_values_of`: a column, such as the series, that few different values arrive in per run. `series`
+    names the column that tells apart the series of a target; without it the target is one series.
     """
 
     name: str
@@ -31,6 +32,7 @@ class Target:
     create_table: Callable[["Target", DataFrame], None] | None = None
     partition_by: tuple[str, ...] = ()
     few_values_of: str | None = None
+    series: str | None = None
     options: dict = dataclasses.field(default_factory=dict)
 
     @property

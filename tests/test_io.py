@@ -203,3 +203,10 @@ def test_ledger(spark, tmp_path):
 def test_object_source_from_pandas(spark):
     frame = pd.DataFrame({"a": [1], "b": ["x"]})
     assert rows_of(read_source(spark, Source("s", "object", frame, NUMBERS, {"data_type": pd.DataFrame}))) == [(1, "x")]
+
+
+def test_ledger_ids_make_a_run_repeatable(spark, tmp_path):
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0, dt.datetime(2024, 1, 2))], "date DATE, value DOUBLE, created_at TIMESTAMP_NTZ")
+    for _time in range(2):
+        ledger.append_ledger(rows, "db:prices", str(tmp_path), keys=["date", "value"])
+    assert ledger.read_ledger(spark, "db:prices", str(tmp_path)).count() == 1

@@ -5,7 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from sparkseries.operators import catalog
-from sparkseries.plans import ready, runner
+from sparkseries.plans import command, ready, runner
 from sparkseries.plans.runner import Ingest
 from sparkseries.sources import targets
 from sparkseries.sources.registry import Source
@@ -157,3 +157,44 @@ def test_stream_drops_repeats(spark, tmp_path):
     out = str(tmp_path / "out")
     unique.writeStream.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+DECLARATION = '''
+from sparkseries.plans.runner import Ingest
+from sparkseries.sources.registry import Source
+from sparkseries.sources.targets import Target
+
+
+def get_ingest(folder, name="out"):
+    source = Source("example", f"csv:{folder}", "example.csv", "date STRING, value DOUBLE, created_at TIMESTAMP_NTZ")
+    return Ingest("declared", [source], [Target("example", "parquet", f"{folder}/{name}")])
+'''
+
+
+def test_declaration_files(spark, tmp_path):
+    (tmp_path / "example.csv").write_text(FIRST)
+    (tmp_path / "details.py").write_text(DECLARATION)
+    (tmp_path / "empty.py").write_text("")
+    runs = command.run_files(spark, [str(tmp_path / "details.py"), f"folder={tmp_path}", "name=made"], AS_OF)
+    assert written(runs[0]) == [("example", "written", 4)]
+    assert spark.read.parquet(str(tmp_path / "made")).count() == 4
+    with pytest.raises(ValueError, match="neither"):
+        command.run_files(spark, [str(tmp_path / "empty.py")], AS_OF)
+
+
+def test_catalogue_follows_appends_without_reading_targets(spark, series, tmp_path):
+    def ingest_of(rows):
+        return Ingest("many", [Source("t", read=lambda _s: series(rows))], [Target("t", "parquet", str(tmp_path / "t"), series="series")])
+
+    rules = spark.createDataFrame([], catalog.RULE_SCHEMA + ", position INT")
+    path = str(tmp_path / "cat")
+    first = [("a_b_c", "2024-01-01", 1.0, "2024-01-01 00:00:00"), ("d_e_f", "2024-01-05", 1.0, "2024-01-05 00:00:00")]
+    later = [("a_b_c", "2024-01-02", 2.0, "2024-01-02 00:00:00"), ("d_e_f", "2024-01-03", 2.0, "2024-01-09 00:00:00")]
+    for rows in (first, later):
+        runner.run(spark, ingest_of(rows), AS_OF, catalogue_path=path, rules=rules)
+    facts = catalog.wide_catalogue(targets.read_version(spark, path))
+    expected = [("a_b_c", "2024-01-02", "2024-01-02 00:00:00"), ("d_e_f", "2024-01-05", "2024-01-05 00:00:00")]
+    assert rows_of(facts, "table_name", "latest_date", "last_update") == expected
+    target = Target("t", "parquet", str(tmp_path / "t"), series="series")
+    runner.rebuild_catalogue(spark, [(target, series(first))], rules, path, AS_OF)
+    assert rows_of(catalog.wide_catalogue(targets.read_version(spark, path)), "table_name", "latest_date", "last_update") == expected
