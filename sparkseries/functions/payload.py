@@ -14,6 +14,20 @@ CHART_SCHEMA = "data ARRAY<ARRAY<DOUBLE>>"
 NESTED_ROUND_SCHEMA = "MAP<STRING, MAP<STRING, MAP<STRING, DOUBLE>>>"
 
 
+def unnest(df: DataFrame, keep: list, array: Column) -> DataFrame:
+    """One row per element of `array` (structs become columns, other elements `item`), next to the `keep` columns.
+
+    The array is computed once per row. A plain `inline` of a parsed payload would parse it three times, because
+    the optimizer puts tests for null and size on the same expression below it.
+    """
+    items = df.select(*keep, F.posexplode_outer(array).alias("_position", "item")).where(
+        F.col("_position").isNotNull()
+    )
+    kept = [c for c in items.columns if c not in ("_position", "item")]
+    struct = dict(items.dtypes)["item"].startswith("struct")
+    return items.select(*kept, "item.*" if struct else "item")
+
+
 def observation_points(body: Column) -> Column:
     """`CompactData.DataSet.Series.Obs` as an array of (date, value)."""
     observations = F.from_json(body, OBSERVATION_SCHEMA)["CompactData"]["DataSet"]["Series"]["Obs"]
@@ -84,8 +98,6 @@ def explode_rounds(df: DataFrame, payload: str, first_only: bool = True) -> Data
     entries = F.map_entries(F.from_json(F.col(payload), NESTED_ROUND_SCHEMA))
     if first_only:
         entries = F.slice(entries, 1, 1)
-    return (
-        df.select(*other, F.explode(entries).alias("_round"))
-        .select(*other, F.col("_round.key").alias("round"), F.explode("_round.value").alias("city", "_prices"))
-        .select(*other, "round", "city", F.explode("_prices").alias("category", "price"))
-    )
+    rounds = unnest(df, other, entries).withColumnRenamed("key", "round")
+    cities = rounds.select(*other, "round", F.explode("value").alias("city", "_prices"))
+    return cities.select(*other, "round", "city", F.explode("_prices").alias("category", "price"))

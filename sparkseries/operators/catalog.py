@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text, times
+from ..functions.payload import unnest
 from . import project, snapshot
 
 METADATA_SCHEMA = (
@@ -75,27 +76,33 @@ def load_rules(spark: SparkSession, path: str | None) -> DataFrame:
     return listed.select("rule.*", "position")
 
 
-def first_rule(names: DataFrame, rules: DataFrame, name: str = "table_name") -> DataFrame:
-    """Every distinct name with the first rule that fits it, null when none does.
+def with_first_rule(rows: DataFrame, rules: DataFrame, name: str = "table_name") -> DataFrame:
+    """Rows, one per name, with the frequency and the `other` text of the first rule that fits; null when none does.
 
-    An exact rule must equal the name, a prefix rule must start it. Each name offers all its prefixes as keys, so
-    the match is an equi-join (no nested loop however many rules there are), and Spark broadcasts the rules only
-    when they are small.
+    An exact rule must equal the name, a prefix rule must start it. Each name offers itself and all its prefixes as
+    keys, so the match is an equi-join (no nested loop however many rules there are), Spark broadcasts the rules
+    only when they are small, and the rows are read once.
     """
-    distinct = names.select(name).distinct()
-    lengths = F.sequence(F.lit(0), F.length(name))
-    candidates = distinct.select(
-        name, F.explode(F.transform(lengths, lambda n: F.substring(F.col(name), F.lit(1), n))).alias("_index")
-    ).select(name, "_index", F.lit(0).alias("_exact")).unionAll(
-        distinct.select(name, F.col(name).alias("_index"), F.lit(1).alias("_exact"))
+    whole = F.col(name)
+    prefixes = F.transform(
+        F.sequence(F.lit(0), F.length(name)),
+        lambda n: F.struct(F.substring(whole, F.lit(1), n).alias("_index"), F.lit(0).alias("_exact")),
     )
-    keyed = rules.select(F.col("index").alias("_index"), F.col("exact").alias("_exact"), "frequency", "other", "position")
-    hits = candidates.join(keyed, ["_index", "_exact"]).groupBy(name).agg(
-        F.min(F.struct("position", "frequency", "other")).alias("_rule")
+    keys = F.concat(prefixes, F.array(F.struct(whole.alias("_index"), F.lit(1).alias("_exact"))))
+    other = [c for c in rows.columns if c != name]
+    offered = unnest(rows, rows.columns, keys)
+    keyed = rules.select(
+        F.col("index").alias("_index"), F.col("exact").alias("_exact"), F.struct("position", "frequency", "other").alias("_rule")
     )
-    return distinct.join(hits, name, "left").select(
-        name, F.col("_rule.frequency").alias("frequency"), F.col("_rule.other").alias("other")
+    matched = offered.join(keyed, ["_index", "_exact"], "left").groupBy(name).agg(
+        F.min("_rule").alias("_rule"), *[F.any_value(c).alias(c) for c in other]
     )
+    return matched.select(name, *other, F.col("_rule.frequency").alias("frequency"), F.col("_rule.other").alias("other"))
+
+
+def first_rule(names: DataFrame, rules: DataFrame, name: str = "table_name") -> DataFrame:
+    """Every distinct name with its first rule."""
+    return with_first_rule(names.select(name).distinct(), rules, name)
 
 
 def catalogue_rows(df: DataFrame, rules: DataFrame, as_of, series: str = "series") -> DataFrame:
@@ -125,7 +132,7 @@ def newest_facts(facts: DataFrame, catalogue: DataFrame) -> DataFrame:
 def fact_rows(facts: DataFrame, rules: DataFrame, as_of) -> DataFrame:
     """Long catalogue rows from one row of facts per table."""
     facts = project.exclude_prefixes(facts, "table_name")
-    ruled = facts.join(first_rule(facts.select("table_name"), rules), "table_name", "left")
+    ruled = with_first_rule(facts, rules)
     table = F.col("table_name")
     entries = F.array(
         _entry("category", text.category_of(table), "string"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import decimal_comma, exact_avg, exact_sum
+from ..functions.payload import unnest
 from ..session import ensure_checkpoint_dir
 from .snapshot import first_per_group
 
@@ -42,9 +43,8 @@ def recent_rounds(df: DataFrame, lookback: int = 7, min_round: int = 14, column:
 
 def scrape_prices(df: DataFrame, round_column: str = "round", summary: str = "locationSummary") -> DataFrame:
     """`locationSummary` arrays of (location, {type: price}) as one row per price."""
-    return df.select(round_column, F.inline(summary)).select(
-        round_column, "location", F.explode("data").alias("type", "price")
-    )
+    places = unnest(df, [round_column], F.col(summary))
+    return places.select(round_column, "location", F.explode("data").alias("type", "price"))
 
 
 def round_average(prices: DataFrame, round_column: str = "round", scale: int | None = None) -> DataFrame:

@@ -230,7 +230,7 @@ def json_path(t):
         '{"CompactData":{"DataSet":{"Series":{"@FREQ":"M","Obs":[{"@TIME_PERIOD":"%s","@OBS_VALUE":"%s"}]}}}}',
         F.date_format("ts", "yyyy-MM"), F.col("value").cast("string"),
     )
-    return t.events.select("event_id", F.inline(payload.observation_points(body)))
+    return payload.unnest(t.events, ["event_id"], payload.observation_points(body))
 
 
 @query("json_points", "SELECT event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts, value FROM events")
@@ -238,7 +238,7 @@ def json_points(t):
     body = F.format_string(
         '{"data":[[%d,1.0,2.0,0.5,%s,9]]}', times.to_epoch_millis(F.col("ts")), F.col("value").cast("string")
     )
-    return t.events.select("event_id", F.inline(payload.chart_points(body)))
+    return payload.unnest(t.events, ["event_id"], payload.chart_points(body))
 
 
 @query("json_rows", "SELECT event_id, CAST(date_trunc('year', ts) AS DATE) AS date, "
@@ -246,7 +246,7 @@ def json_points(t):
 def json_rows(t):
     shown = F.when(F.col("event_type") == "error", "null").otherwise(F.col("value").cast("string"))
     body = F.format_string('[{"page":1},[{"date":"%s","value":%s}]]', F.date_format("ts", "yyyy"), shown)
-    return t.events.select("event_id", F.inline(payload.indicator_points(body)))
+    return payload.unnest(t.events, ["event_id"], payload.indicator_points(body))
 
 
 @query("json_records", "SELECT event_id, event_type AS kind, value FROM events")
@@ -258,7 +258,7 @@ def json_records(t):
     rows = F.when(F.col("user_id") < 75, payload.records(listed, "kind: STRING, value: DOUBLE")).otherwise(
         payload.columns_to_records(columnar, {"kind": "STRING", "value": "DOUBLE"})
     )
-    return t.events.select("event_id", F.inline(rows))
+    return payload.unnest(t.events, ["event_id"], rows)
 
 
 @query("nested_rounds", "SELECT event_id, strftime(ts, '%d') AS round, 'u' || user_id AS city, event_type AS category, value AS price FROM events")
@@ -277,7 +277,7 @@ def html_rows(t):
     rows = payload.table_rows(
         F.col("html"), r'<li><a href="[^"]*">[^<>]*</a>', {"href": r'href="([^"]*)"', "label": r">([^<>]*)</a>"}
     )
-    return t.pages.select("page_id", F.inline(rows))
+    return payload.unnest(t.pages, ["page_id"], rows)
 
 
 @query("writer_gate", """SELECT o_orderkey, o_custkey AS writer FROM orders WHERE o_custkey NOT IN

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.payload import unnest
+
 # Content types of the supported payloads.
 CSV_TYPE = "text/csv"
 JSON_TYPE = "application/json"
@@ -90,7 +92,7 @@ def decode_payloads(
     rows = F.when(kind == "csv", csv_records(text, schema)).when(
         kind == "json", F.from_json(text, f"ARRAY<STRUCT<{_fields(schema)}>>")
     )
-    return payloads.select(*other, F.inline(rows))
+    return unnest(payloads, other, rows)
 
 
 def _fields(schema: str) -> str:
