@@ -67,21 +67,26 @@ def settlement(
 
     Without an audit trigger, or with a positive net vote, a candidate shares the round's bounty (rounded down).
     A trigger without votes or with a negative net vote costs 70% of the stake. A tie gives no row. `bounty` is a
-    literal or a function of `round`. The number of eligible candidates comes from a partial aggregate, not from a
-    window, so a round with very many submissions is not gathered in one task.
+    literal or a function of `round`. Submissions, triggers and votes meet in one hash aggregation, and the number
+    of eligible candidates comes from a partial aggregate, not from a window: a round with very many submissions is
+    not gathered in one task.
     """
     keys = ["round", "key"]
-    judged = (
-        submissions.select(*keys).distinct()
-        .join(triggers.select(*keys).distinct().withColumn("_audited", F.lit(True)), keys, "left")
-        .join(vote_tally(votes), keys, "left")
+    def marked(df: DataFrame, mark: str, vote: Column = F.lit(None)) -> DataFrame:
+        return df.select(*keys, F.lit(mark).alias("_mark"), vote.cast("int").alias("_vote"))
+
+    vote = F.when(F.col("is_valid"), 1).otherwise(-1)
+    rows = marked(submissions, "s").unionAll(marked(triggers, "t")).unionAll(marked(votes, "v", vote))
+    judged = rows.groupBy(*keys).agg(
+        F.max(F.col("_mark") == "s").alias("_submitted"),
+        F.max(F.col("_mark") == "t").alias("_audited"),
+        F.sum("_vote").alias("net"),
     )
-    outcome = (
-        F.when(F.col("_audited").isNull() | (F.col("net") > 0), "reward")
-        .when(F.coalesce("votes", F.lit(0)) == 0, "slash")
-        .when(F.col("net") < 0, "slash")
+    # Without any vote the sum is null, and an audited candidate then loses like one with a negative sum.
+    outcome = F.when(~F.col("_audited") | (F.col("net") > 0), "reward").when(
+        F.coalesce("net", F.lit(-1)) < 0, "slash"
     )
-    decided = judged.select(*keys, outcome.alias("outcome")).where(F.col("outcome").isNotNull())
+    decided = judged.where("_submitted").select(*keys, outcome.alias("outcome")).where(F.col("outcome").isNotNull())
     shares = decided.where(F.col("outcome") == "reward").groupBy("round").agg(F.count(F.lit(1)).alias("_eligible"))
     rewarded = decided.where(F.col("outcome") == "reward").join(shares, "round").select(
         *keys, "outcome", F.floor(bounty / F.col("_eligible")).cast("double").alias("amount")

@@ -33,14 +33,14 @@ def frozen_snapshot(df: DataFrame, as_of, keys: list[str] = ("series", "date"))
     """What was known at `as_of`: one row per key.
 
     Dates up to `as_of` count versions that had arrived by then; later dates count versions that arrived by the
-    end of that date.
+    end of that date. Each rule is a filter of its own, so the scan can skip row groups by the first.
     """
     moment = times.as_timestamp(as_of)
     today = times.as_date(as_of)
     date = F.to_date("date")
     arrived = F.col("created_at").cast("timestamp_ntz")
-    visible = ((date <= today) & (arrived <= moment)) | ((date > today) & (arrived <= times.end_of_day(date)))
-    return latest_version(df.where(visible), keys)
+    visible = df.where((date > today) | (arrived <= moment)).where((date <= today) | (arrived <= times.end_of_day(date)))
+    return latest_version(visible, keys)
 
 
 def last_write_wins(stored: DataFrame, incoming: DataFrame, key: str = "id", stamp: str = "timestamp") -> DataFrame:
