@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import times
+from ..session import ensure_checkpoint_dir
 
 # Tables with these prefixes hold no series.
 RESERVED_PREFIXES = ["__metadata__", "_metadata", "categories", "normalized"]
@@ -135,18 +136,20 @@ def date_first(df: DataFrame) -> DataFrame:
     return df.select("date", *[c for c in df.columns if c != "date"])
 
 
-def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
-    """Globally sorted rows. The remaining columns and the row's place break ties, so that a value that very many
-    rows share is spread over several range partitions instead of one."""
-    named = {c for c in order if isinstance(c, str)}
-    rest = [c for c, kind in df.dtypes if c not in named and not kind.startswith(("map", "variant"))]
-    return (
-        df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order, *rest, "_place").drop("_place")
-    )
+def sort_rows(df: DataFrame, *order: str | Column, scanned: bool = False) -> DataFrame:
+    """Globally sorted rows; rows that agree in the order keep their place.
+
+    The place also spreads a value that very many rows share over several range partitions. It must not change when
+    a lost task runs again, which holds for rows straight from a file scan (`scanned`); others are checkpointed.
+    """
+    if not scanned:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
+    return df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order, "_place").drop("_place")
 
 
-def sort_numeric_text(df: DataFrame, column: str) -> DataFrame:
-    return sort_rows(df, F.col(column).try_cast("bigint"), column)
+def sort_numeric_text(df: DataFrame, column: str, scanned: bool = False) -> DataFrame:
+    return sort_rows(df, F.col(column).try_cast("bigint"), column, scanned=scanned)
 
 
 def as_text(df: DataFrame) -> DataFrame:

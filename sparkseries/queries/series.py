@@ -325,7 +325,7 @@ def union_tagged(t):
             F.to_date("l_shipdate").alias("date"), F.col("l_extendedprice").alias("value"), F.col("l_returnflag").alias("flag")
         ),
     }
-    return project.sort_rows(rec.union_tagged(frames), "table", "date")
+    return project.sort_rows(rec.union_tagged(frames), "table", "date", scanned=True)
 
 
 @query("overlay_frames", """SELECT 'a' AS name, count(*) AS n FROM lineitem UNION ALL SELECT 'b', count(*) FROM orders""")
@@ -338,7 +338,7 @@ def overlay_frames(t):
 @query("sort_numeric_text", "SELECT CAST(o_orderkey AS VARCHAR) AS round, o_totalprice AS value FROM orders")
 def sort_numeric_text(t):
     rounds = t.orders.select(F.col("o_orderkey").cast("string").alias("round"), F.col("o_totalprice").alias("value"))
-    return project.sort_numeric_text(rounds, "round")
+    return project.sort_numeric_text(rounds, "round", scanned=True)
 
 
 @query("frozen_snapshot", f"""

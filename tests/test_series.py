@@ -215,3 +215,10 @@ def test_yearly_sum(spark):
     df = spark.createDataFrame([("foo", "2000", "1"), ("bar", "2000", "1"), ("foo", "2024", "2"), ("bar", "2024", "2")],
                                "country STRING, year STRING, `Life Ladder` STRING")
     assert rows_of(rounds.yearly_sum(df, "Life Ladder")) == [("2000", 2.0), ("2024", 4.0)]
+
+
+def test_sorted_rows(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.lit(1).alias("same"))
+    assert [r["k"] for r in project.sort_rows(df, "k").collect()] == sorted(i % 3 for i in range(2000))
+    texts = spark.createDataFrame([("10",), ("9",), ("x",)], "round STRING")
+    assert [r[0] for r in project.sort_numeric_text(texts, "round").collect()] == ["x", "9", "10"]
