@@ -70,7 +70,7 @@ def records(body: Column, schema: str) -> Column:
 
 def columns_to_records(body: Column, fields: dict[str, str]) -> Column:
     """A JSON object of equally long lists as an array of structs."""
-    schema = ", ".join(f"{name}: ARRAY<{kind}>" for name, kind in fields.items())
+    schema = ", ".join(f"`{name}`: ARRAY<{kind}>" for name, kind in fields.items())
     parsed = F.from_json(body, f"STRUCT<{schema}>")
     return F.arrays_zip(*[parsed[name].alias(name) for name in fields])
 
@@ -92,6 +92,11 @@ def table_rows(html: Column, row_pattern: str, cell_patterns: dict[str, str]) ->
     )
 
 
+def first_zero_key(amounts: Column) -> Column:
+    """A key of the map whose value is zero, null when there is none."""
+    return F.get(F.map_keys(F.map_filter(amounts, lambda _key, value: value == 0)), F.lit(0))
+
+
 def explode_rounds(df: DataFrame, payload: str, first_only: bool = True) -> DataFrame:
     """`{round: {city: {category: price}}}` text as one row per price; `first_only` keeps the first round key."""
     other = [c for c in df.columns if c != payload]

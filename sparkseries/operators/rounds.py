@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import decimal_comma, exact_avg, exact_sum
-from ..functions.payload import unnest
+from ..functions.numeric import decimal_comma, exact_avg, exact_sum, price_number
+from ..functions.payload import table_rows, unnest
 from ..session import ensure_checkpoint_dir
+from .project import keep_listed
 from .snapshot import first_per_group
 
 # Audit states of a round, the share of a stake that is lost, sample sizes, the round table's axes.
@@ -47,6 +48,17 @@ def scrape_prices(df: DataFrame, round_column: str = "round", summary: str = "lo
     return places.select(round_column, "location", F.explode("data").alias("type", "price"))
 
 
+def scraped_prices(
+    pages: DataFrame, keys: list[str], html: str, row_pattern: str, type_pattern: str, price_pattern: str,
+    types: Iterable[str] = tuple(CATEGORIES),
+) -> DataFrame:
+    """Prices in the table rows of scraped pages, allowed types only; the last row of a type counts."""
+    cells = table_rows(F.col(html), row_pattern, {"type": type_pattern, "price": price_pattern})
+    numbered = F.transform(cells, lambda cell, n: F.struct(n.alias("n"), cell["type"].alias("type"), cell["price"].alias("price")))
+    rows = keep_listed(unnest(pages, keys, numbered), "type", types)
+    return rows.groupBy(*keys, "type").agg(price_number(F.max_by("price", "n")).alias("price"))
+
+
 def round_average(prices: DataFrame, round_column: str = "round", scale: int | None = None) -> DataFrame:
     """Average price by round, location and type; partial sums keep a hot round from being one task."""
     mean = F.avg("price") if scale is None else exact_avg(F.col("price"), scale)

@@ -211,6 +211,20 @@ def config_of(arguments: Iterable[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in arguments if "=" in item)
 
 
+def publish(frames: dict[str, DataFrame]) -> None:
+    """Make named frames available to SQL."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
+def clear(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
+    """Forget named frames and their views."""
+    for name, frame in frames.items():
+        frame.unpersist()
+        spark.catalog.dropTempView(name)
+    frames.clear()
+
+
 def output(spark: SparkSession, ingests: Iterable[Ingest], name: str, as_of) -> DataFrame:
     """One named frame after the given ingests ran without writing."""
     frames: dict[str, DataFrame] = {}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.payload import unnest
+from ..functions.payload import columns_to_records, records, unnest
 
 # Content types of the supported payloads.
 CSV_TYPE = "text/csv"
@@ -84,21 +84,19 @@ def decode_payloads(
 ) -> DataFrame:
     """Rows of every CSV and JSON payload with the fields of `schema`; other kinds are left out.
 
-    JSON bodies are a list of records. Each payload is decoded on its own, inside the JVM.
+    JSON bodies are a list of records or an object of lists. Each payload is decoded on its own, inside the JVM.
     """
     other = [c for c in payloads.columns if c not in (content_type, body)]
     text = F.col(body) if dict(payloads.dtypes)[body] == "string" else body_text(F.col(body))
     kind = payload_kind(F.col(content_type), force)
-    rows = F.when(kind == "csv", csv_records(text, schema)).when(
-        kind == "json", F.from_json(text, f"ARRAY<STRUCT<{_fields(schema)}>>")
-    )
+    fields = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(schema).fields}
+    listed = records(text, ", ".join(f"`{name}`: {type_}" for name, type_ in fields.items()))
+    # columns_to_records gives the same struct type, so both shapes fit one column.
+    json_rows = F.when(F.trim(text).startswith("{"), columns_to_records(text, fields)).otherwise(listed)
+    rows = F.when(kind == "csv", csv_records(text, schema)).when(kind == "json", json_rows)
     return unnest(payloads, other, rows)
 
 
-def _fields(schema: str) -> str:
-    return ", ".join(part.strip().replace(" ", ": ", 1) for part in schema.split(","))
-
-
 def fan_out(metadata: DataFrame, key: str, payloads: DataFrame, url: Callable[[Column], Column]) -> DataFrame:
     """Payloads of every table that has metadata `key`, marked with the table as `series`.
 

@@ -32,7 +32,20 @@ class Source:
     transform_args: dict = dataclasses.field(default_factory=dict)
 
 
-def _csv(spark, source, root, _frames):
+def _payload(force):
+    def read(spark, source, _root, _frames):
+        urls = source.path if isinstance(source.path, DataFrame) else spark.createDataFrame([(source.path,)], "url STRING")
+        fetched = payloads.fetch_payloads(urls, **source.options)
+        if source.schema is None:
+            return fetched
+        return payloads.decode_payloads(fetched, source.schema, force=force).drop("url", "status")
+
+    return read
+
+
+def _csv(spark, source, root, frames):
+    if isinstance(source.path, str) and source.path.startswith(("http:", "https:")):
+        return _payload("csv")(spark, source, root, frames)
     return files.read_csv(spark, files.join_path(root, source.path), source.schema, **source.options)
 
 
@@ -52,17 +65,6 @@ def _spreadsheet(spark, source, root, _frames):
     return workbooks.read_spreadsheet_export(spark, files.join_path(root, source.path), source.schema, **source.options)
 
 
-def _payload(force):
-    def read(spark, source, _root, _frames):
-        urls = source.path if isinstance(source.path, DataFrame) else spark.createDataFrame([(source.path,)], "url STRING")
-        fetched = payloads.fetch_payloads(urls, **source.options)
-        if source.schema is None:
-            return fetched
-        return payloads.decode_payloads(fetched, source.schema, force=force).drop("url", "status")
-
-    return read
-
-
 def _frame(_spark, source, _root, frames):
     return (frames or {})[source.path or source.name]
 

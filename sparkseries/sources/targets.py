@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,6 +108,12 @@ def write_json(df: DataFrame, path: str, if_exists: str = "replace") -> None:
     df.write.mode("append" if if_exists == "append" else "overwrite").json(path)
 
 
+def write_document(spark: SparkSession, document, path: str) -> None:
+    """One JSON document, given as an object or as text."""
+    body = document if isinstance(document, str) else json.dumps(document)
+    spark.createDataFrame([(body,)], "body STRING").coalesce(1).write.mode("overwrite").text(path)
+
+
 def dump(df: DataFrame, target: Target) -> None:
     """Write the whole frame over the target."""
     write_target(df, dataclasses.replace(target, replace=True))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..operators.project import rename_date
 from .files import spreadsheet_frame
+from .payloads import payload_kind
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -108,6 +109,12 @@ def read_workbooks(spark: SparkSession, path: str, schema: str, sheet: str | Non
     return parse_workbooks(spark.read.format("binaryFile").load(path).select("path", "content"), schema, sheet)
 
 
+def payload_workbooks(payloads: DataFrame, schema: str, sheet: str | None = None) -> DataFrame:
+    """Rows of the fetched payloads (url, content_type, body) that are workbooks."""
+    books = payloads.where(payload_kind(F.col("content_type")) == "excel")
+    return parse_workbooks(books.select(F.col("url").alias("path"), F.col("body").alias("content")), schema, sheet)
+
+
 def read_spreadsheet_export(spark: SparkSession, path: str, schema: str, sheet: str | None = None) -> DataFrame:
     """A landed spreadsheet export as a series; failed reads are repeated by Spark's task retry."""
     return spreadsheet_frame(read_workbooks(spark, path, schema, sheet))

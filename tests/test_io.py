@@ -210,3 +210,21 @@ def test_ledger_ids_make_a_run_repeatable(spark, tmp_path):
     for _time in range(2):
         ledger.append_ledger(rows, "db:prices", str(tmp_path), keys=["date", "value"])
     assert ledger.read_ledger(spark, "db:prices", str(tmp_path)).count() == 1
+
+
+def test_json_object_of_lists(spark):
+    df = spark.createDataFrame([("application/json", '{"a":[1,2],"b":["x","y"]}'), ("application/json", ' [{"a":3,"b":"z"}]')],
+                               "content_type STRING, body STRING")
+    assert rows_of(payloads.decode_payloads(df, NUMBERS)) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_workbook_payloads(spark):
+    books = as_workbooks(spark.createDataFrame([(1, "x")], NUMBERS).coalesce(1))
+    fetched = books.select(F.col("path").alias("url"), F.lit(payloads.EXCEL_TYPES[1]).alias("content_type"), F.col("content").alias("body"))
+    assert rows_of(workbooks.payload_workbooks(fetched, NUMBERS)) == [(1, "x")]
+
+
+def test_documents(spark, tmp_path):
+    for document in ({"a": 1, "b": "x"}, '{"a": 1, "b": "x"}'):
+        targets.write_document(spark, document, str(tmp_path / "doc"))
+        assert rows_of(files.read_json(spark, str(tmp_path / "doc"), NUMBERS)) == [(1, "x")]

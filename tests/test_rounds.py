@@ -130,3 +130,18 @@ def test_round_prefix(spark):
     df = spark.createDataFrame([("scrape:1:5",), ("scrape:11:5",), ("scrapeCid:1:5",)], "id STRING")
     assert rows_of(rounds.records_of_round(df, "scrape", 1)) == [("scrape:1:5",)]
     assert rows_of(rounds.records_of_round(df, "scrapeCid", 1)) == [("scrapeCid:1:5",)]
+
+
+def test_scraped_prices(spark):
+    row = '<tr><td class="name"> {} </td><td class="price">{}</td></tr>'
+    html = "<table>" + row.format("Economy", "$10") + row.format("Van", "$99") + row.format("Economy", "$12.5/day") + row.format("Compact", "n/a") + "</table>"
+    pages = spark.createDataFrame([(1, "Denver", html), (2, "Boston", "no table")], "round INT, location STRING, html STRING")
+    prices = rounds.scraped_prices(pages, ["round", "location"], "html", r"(?s)<tr>.*?</tr>", r'class="name">([^<]*)<', r'class="price">([^<]*)<')
+    assert rows_of(prices) == [(1, "Denver", "Compact", None), (1, "Denver", "Economy", 12.5)]
+
+
+def test_first_zero_key(spark):
+    from sparkseries.functions.payload import first_zero_key
+
+    maps = spark.createDataFrame([({"a": 1, "b": 0},), ({"a": 1},)], "m MAP<STRING, INT>")
+    assert [r[0] for r in maps.select(first_zero_key(F.col("m"))).collect()] == ["b", None]

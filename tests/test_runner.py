@@ -198,3 +198,11 @@ def test_catalogue_follows_appends_without_reading_targets(spark, series, tmp_pa
     target = Target("t", "parquet", str(tmp_path / "t"), series="series")
     runner.rebuild_catalogue(spark, [(target, series(first))], rules, path, AS_OF)
     assert rows_of(catalog.wide_catalogue(targets.read_version(spark, path)), "table_name", "latest_date", "last_update") == expected
+
+
+def test_named_frames(spark):
+    frames = {"numbers": spark.range(3)}
+    runner.publish(frames)
+    assert spark.sql("SELECT count(*) FROM numbers").first()[0] == 3
+    runner.clear(spark, frames)
+    assert not frames and not spark.catalog.tableExists("numbers")
