@@ -180,4 +180,4 @@ def empty_catalogue(spark: SparkSession) -> DataFrame:
 def wide_catalogue(df: DataFrame) -> DataFrame:
     """One row per table with its six known facts as columns."""
     keys = ["category", "name", "latest_date", "last_update", "frequency", "other"]
-    return df.groupBy("table_name").pivot("_key", keys).agg(F.max("value"))
+    return df.groupBy("table_name").agg(*[F.max(F.when(F.col("_key") == k, F.col("value"))).alias(k) for k in keys])

@@ -85,11 +85,8 @@ def history_arrays(df: DataFrame, value: str = "value", countback: int = 5, seri
 
 
 def latest_facts(df: DataFrame, series: str = "series") -> DataFrame:
-    """Per series the newest date and the arrival of that row; among equal dates the latest arrival.
-
-    Arrivals first collapse to one per date in a hash aggregation, so the ordered maximum sees few rows.
-    """
-    per_date = df.groupBy(series, "date").agg(F.max("created_at").alias("created_at"))
-    return per_date.groupBy(series).agg(
-        F.max("date").alias("latest_date"), F.max_by("created_at", "date").alias("last_update")
+    """Per series the newest date and the arrival of that row; among equal dates the latest arrival."""
+    newest = df.groupBy(series).agg(F.max(F.struct("date", "created_at")).alias("_newest"))
+    return newest.select(
+        series, F.col("_newest.date").alias("latest_date"), F.col("_newest.created_at").alias("last_update")
     )

@@ -22,6 +22,9 @@ EXCEL_TYPES = [
 ]
 OK = 200
 
+# Bodies held in memory at a time by one task.
+FETCH_ROWS = 64
+
 
 def fetch_url(url: str, timeout: float = 60.0) -> tuple[int | None, str | None, bytes | None]:
     """(status, content type, body) of one URL; a failed request has no body."""
@@ -39,7 +42,8 @@ def fetch_payloads(
 ) -> DataFrame:
     """One row per URL that answered 200, with status, content type and body next to the row's columns.
 
-    Requests run inside the tasks; `partitions` sets how many run at once. A lost task fetches its URLs again.
+    Requests run inside the tasks; `partitions` sets how many run at once. A lost task fetches its URLs again, so
+    land the result (checkpoint or table) before it is used twice.
     """
     spread = urls.repartition(partitions) if partitions else urls
     answer = T.StructType.fromDDL("status INT, content_type STRING, body BINARY")
@@ -47,12 +51,14 @@ def fetch_payloads(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [fetch(url) for url in batch[column]]
-            yield batch.assign(
-                status=pd.array([a[0] for a in answers], dtype="Int32"),
-                content_type=[a[1] for a in answers],
-                body=[a[2] for a in answers],
-            )
+            for start in range(0, len(batch), FETCH_ROWS):
+                part = batch.iloc[start:start + FETCH_ROWS]
+                answers = [fetch(url) for url in part[column]]
+                yield part.assign(
+                    status=pd.array([a[0] for a in answers], dtype="Int32"),
+                    content_type=[a[1] for a in answers],
+                    body=[a[2] for a in answers],
+                )
 
     return spread.mapInPandas(run, schema).where(F.col("status") == OK)
 
@@ -74,9 +80,14 @@ def body_text(body: Column) -> Column:
 
 
 def csv_records(body: Column, schema: str) -> Column:
-    """CSV text with a header line as an array of structs of the given fields, in column order."""
+    """CSV text as an array of structs. Its header line must name the fields of `schema`, in order; another header
+    is an error. Fields may hold quoted commas but no line breaks."""
     lines = F.filter(F.split(body, r"\r?\n"), lambda line: line != "")
-    return F.transform(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), lambda line: F.from_csv(line, schema))
+    names = F.transform(F.split(F.get(lines, F.lit(0)), ","), lambda name: F.btrim(name, F.lit(' "\ufeff')))
+    expected = F.array(*[F.lit(field.name) for field in T.StructType.fromDDL(schema).fields])
+    rows = F.transform(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), lambda line: F.from_csv(line, schema))
+    refused = F.raise_error(F.concat(F.lit("unexpected CSV header: "), F.get(lines, F.lit(0))))
+    return F.when((F.size(lines) == 0) | (names == expected), rows).otherwise(refused)
 
 
 def decode_payloads(

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource
 
+from ..session import ensure_checkpoint_dir
 from . import files, jdbc, ledger, payloads, workbooks
 
 
@@ -35,7 +36,9 @@ class Source:
 def _payload(force):
     def read(spark, source, _root, _frames):
         urls = source.path if isinstance(source.path, DataFrame) else spark.createDataFrame([(source.path,)], "url STRING")
-        fetched = payloads.fetch_payloads(urls, **source.options)
+        # Landed once: a second request could give other rows to the second use of the frame.
+        ensure_checkpoint_dir(spark)
+        fetched = payloads.fetch_payloads(urls, **source.options).checkpoint()
         if source.schema is None:
             return fetched
         return payloads.decode_payloads(fetched, source.schema, force=force).drop("url", "status")

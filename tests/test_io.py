@@ -127,6 +127,13 @@ def test_fetch_with_failures(spark):
     assert rows_of(rows) == [(1, dt.date(2024, 1, 1), 1.5), (1, dt.date(2024, 1, 2), None)]
 
 
+def test_csv_header_must_fit(spark):
+    df = spark.createDataFrame([("text/csv", '\ufeff"a", b\r\n1,"x,y"\r\n'), ("text/csv", "")], "content_type STRING, body STRING")
+    assert rows_of(payloads.decode_payloads(df, NUMBERS)) == [(1, "x,y")]
+    with pytest.raises(Exception, match="unexpected CSV header: b,a"):
+        payloads.decode_payloads(df.withColumn("body", F.lit("b,a\nx,1")), NUMBERS).collect()
+
+
 def test_forced_payload_kind(spark):
     df = spark.createDataFrame([("text/html", '[{"a":1,"b":"x"}]')], "content_type STRING, body STRING")
     assert payloads.decode_payloads(df, NUMBERS).count() == 0
