@@ -38,8 +38,8 @@ def records_of_round(df: DataFrame, kind: str, round_id: int | str, column: str
 
 def recent_rounds(df: DataFrame, lookback: int = 7, min_round: int = 14, column: str = "round") -> DataFrame:
     """The newest round and up to `lookback` rounds before it, none below `min_round`."""
-    newest = df.agg(F.max(column)).scalar()
-    return df.where((F.col(column) >= F.greatest(newest - lookback, F.lit(min_round))) & (F.col(column) <= newest))
+    oldest = df.agg(F.max(column) - lookback).scalar()
+    return df.where((F.col(column) >= oldest) & (F.col(column) >= min_round))
 
 
 def scrape_prices(df: DataFrame, round_column: str = "round", summary: str = "locationSummary") -> DataFrame:
@@ -120,8 +120,10 @@ def latest_success(records: DataFrame) -> DataFrame:
 
 def open_rounds(records: DataFrame) -> DataFrame:
     """Failed and uninitialised rounds above the newest paid round, one row each."""
-    newest = records.where(F.col("status") == PAID).agg(F.max("round")).scalar()
-    above = records.where(newest.isNull() | (F.col("round") > newest))
+    paid = F.max(F.when(F.col("status") == PAID, F.col("round")))
+    # Without a paid round all rounds are above it; one comparison with a subquery reaches the scan.
+    newest = records.agg(F.coalesce(paid, F.min("round") - 1)).scalar()
+    above = records.where(F.col("round") > newest)
     return above.where(F.col("status").isin(FAILED, UNINITIALIZED)).select("round", "status")
 
 

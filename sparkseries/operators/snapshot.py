@@ -13,7 +13,15 @@ from ..functions import times
 from ..functions.text import composite_split
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
+    """The first `k` rows of every group. Spark cuts groups before the shuffle only up to a threshold on `k`, so a
+    greater `k` raises it; otherwise a hot group would be ranked whole in one task."""
+    conf = df.sparkSession.conf
+    if k > int(conf.get(GROUP_LIMIT, "1000")):
+        conf.set(GROUP_LIMIT, str(k))
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 

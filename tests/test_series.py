@@ -129,6 +129,14 @@ def test_history_arrays_are_bounded(spark):
     assert arrays["s"] == "ok" and arrays["c"] == [18.0, 19.0, 20.0] and len(arrays["t"]) == 3
 
 
+def test_large_history_is_cut_before_the_shuffle(spark, capsys):
+    rows = spark.range(100).select(F.floor(F.col("id") / 100).alias("series"), F.col("id").alias("date"), F.col("id").alias("value"))
+    wide = snapshot.history_all(rows, countback=50_000)
+    wide.explain()
+    assert capsys.readouterr().out.count("WindowGroupLimit") == 2
+    assert wide.count() == 100
+
+
 def test_latest_facts(series):
     facts = snapshot.latest_facts(series([("a", "2024-01-02", 1.0, T0), ("a", "2024-01-02", 2.0, T1), ("a", "2024-01-01", 1.0, T2)]))
     assert rows_of(facts) == [("a", day("2024-01-02"), dt.datetime.fromisoformat(T1))]
