@@ -129,9 +129,10 @@ def test_history_arrays_are_bounded(spark):
     assert arrays["s"] == "ok" and arrays["c"] == [18.0, 19.0, 20.0] and len(arrays["t"]) == 3
 
 
-def test_large_history_is_cut_before_the_shuffle(spark, capsys):
-    rows = spark.range(100).select(F.floor(F.col("id") / 100).alias("series"), F.col("id").alias("date"), F.col("id").alias("value"))
-    wide = snapshot.history_all(rows, countback=50_000)
+def test_large_history_is_cut_before_the_shuffle(spark, tmp_path, capsys):
+    rows = spark.range(100).select((F.col("id") % 2).alias("series"), F.col("id").alias("date"), F.col("id").alias("value"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    wide = snapshot.history_all(spark.read.parquet(f"{tmp_path}/rows"), countback=50_000)
     wide.explain()
     assert capsys.readouterr().out.count("WindowGroupLimit") == 2
     assert wide.count() == 100
