@@ -89,7 +89,10 @@ def settlement(
 
     vote = F.when(F.col("is_valid"), 1).otherwise(-1)
     rows = marked(submissions, "s").unionAll(marked(triggers, "t")).unionAll(marked(votes, "v", vote))
-    judged = rows.groupBy(*keys).agg(
+    # Said here, because the join below would add the test to one of its inputs only, and then the shuffle of these
+    # rows could not be shared by the three uses of the result.
+    named = rows.where(F.col("round").isNotNull() & F.col("key").isNotNull())
+    judged = named.groupBy(*keys).agg(
         F.max(F.col("_mark") == "s").alias("_submitted"),
         F.max(F.col("_mark") == "t").alias("_audited"),
         F.sum("_vote").alias("net"),
