@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import times
-from ..functions.text import composite_split
 
 
 GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"

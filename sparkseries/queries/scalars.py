@@ -10,11 +10,15 @@ from .registry import query, sql_round
 
 
 @query("round_value", f"SELECT event_id, {sql_round('x')} AS rounded FROM "
-       "(SELECT event_id, value * CASE event_type WHEN 'click' THEN 1e-7 WHEN 'view' THEN CAST(-1e-10 AS DOUBLE) "
-       "WHEN 'error' THEN CAST(0.125 AS DOUBLE) ELSE 0 END AS x FROM events)")
+       "(SELECT event_id, value * CASE event_type WHEN 'click' THEN 1.2345678e-7 WHEN 'view' THEN -1.2345678e-10 "
+       "WHEN 'error' THEN CAST(0.12345678912 AS DOUBLE) ELSE 0 END AS x FROM events)")
 def round_value(t):
+    """Magnitudes of every level. The factors keep values off exact halves, where engines may round either way."""
     kind = F.col("event_type")
-    factor = F.when(kind == "click", 1e-7).when(kind == "view", -1e-10).when(kind == "error", 0.125).otherwise(0.0)
+    factor = (
+        F.when(kind == "click", 1.2345678e-7).when(kind == "view", -1.2345678e-10)
+        .when(kind == "error", 0.12345678912).otherwise(0.0)
+    )
     return t.events.select("event_id", numeric.round_value(F.col("value") * factor).alias("rounded"))
 
 

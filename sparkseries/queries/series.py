@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..functions import numeric, text, times
+from ..functions import numeric, text
 from ..operators import clean, project, snapshot
 from ..operators import reconcile as rec
 from ..operators.numbering import number_rows

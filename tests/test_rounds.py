@@ -1,4 +1,3 @@
-import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
