@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sparkseries.queries import ORACLE, QUERIES
 from tools.check_oracle import TABLES, compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,9 +21,9 @@ def connection():
     return made
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    _seconds, _rows, problems = compare(spark, connection, name, entry.queries()[name], entry.oracle_sql().get(name), FOLDER)
+    _seconds, _rows, problems = compare(spark, connection, name, QUERIES[name], ORACLE.get(name), FOLDER)
     assert not problems
 
 
@@ -32,4 +33,4 @@ def test_entry(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"row_uuid"}
+    assert set(QUERIES) - set(ORACLE) == {"row_uuid"}
