@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from .byte_bpe import decode, encode
 from .common import session_of
+from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +33,31 @@ def table_query(name: str, table: str):
     return register
 
 
+@table_query("op4_secret_scan", "documents")
+def op4(spark, documents, folder):
+    found = find_secrets(documents)
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = spans_text(F.col("spans"), ("assign", "access", "hex"))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), count("checked"),
+        F.sha2(base, 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@table_query("op5_byte_bpe", "documents")
+def op5(spark, documents, folder):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = decode(encode(documents, path, public_tokenizers.PATTERN), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @table_query("op10_simhash_dedup", "documents")
 def op10(spark, documents, folder):
     found = simhash_components(documents, shingle=3, most_bits=2)
