@@ -11,6 +11,7 @@ import public_tokenizers
 
 from .byte_bpe import decode, encode
 from .common import session_of
+from .html_extract import extract_pages
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 
@@ -58,6 +59,11 @@ def op5(spark, documents, folder):
     )
 
 
+@table_query("op6_html_extraction", "pages")
+def op6(spark, pages, folder):
+    return extract_pages(pages)
+
+
 @table_query("op10_simhash_dedup", "documents")
 def op10(spark, documents, folder):
     found = simhash_components(documents, shingle=3, most_bits=2)
