@@ -12,6 +12,7 @@ import public_tokenizers
 from .byte_bpe import decode, encode
 from .common import session_of
 from .html_extract import extract_pages
+from .language_id import identify
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 
@@ -64,6 +65,11 @@ def op6(spark, pages, folder):
     return extract_pages(pages)
 
 
+@table_query("op8_language_id", "documents")
+def op8(spark, documents, folder):
+    return identify(documents)
+
+
 @table_query("op10_simhash_dedup", "documents")
 def op10(spark, documents, folder):
     found = simhash_components(documents, shingle=3, most_bits=2)
