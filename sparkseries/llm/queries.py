@@ -13,6 +13,7 @@ from .byte_bpe import decode, encode
 from .common import session_of
 from .html_extract import extract_pages
 from .language_id import identify
+from .quality import score_quality
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 
@@ -65,6 +66,11 @@ def op6(spark, pages, folder):
     return extract_pages(pages)
 
 
+@table_query("op7_quality_classifier", "documents")
+def op7(spark, documents, folder):
+    return score_quality(documents, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @table_query("op8_language_id", "documents")
 def op8(spark, documents, folder):
     return identify(documents)
