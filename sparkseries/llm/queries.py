@@ -13,6 +13,7 @@ from .byte_bpe import decode, encode
 from .common import session_of
 from .html_extract import extract_pages
 from .language_id import identify
+from .packing import pack
 from .quality import score_quality
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
@@ -36,6 +37,11 @@ def table_query(name: str, table: str):
     return register
 
 
+@table_query("op2_best_fit_packing", "documents")
+def op2(spark, documents, folder):
+    return pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @table_query("op4_secret_scan", "documents")
 def op4(spark, documents, folder):
     found = find_secrets(documents)
