@@ -17,6 +17,7 @@ from .packing import pack
 from .quality import score_quality
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
+from .topk_search import top_products
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,6 +83,26 @@ def op8(spark, documents, folder):
     return identify(documents)
 
 
+@table_query("op9_topk_search", "embeddings")
+def op9(spark, embeddings, folder):
+    return top_products(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLE["op9_topk_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @table_query("op10_simhash_dedup", "documents")
 def op10(spark, documents, folder):
     found = simhash_components(documents, shingle=3, most_bits=2)
