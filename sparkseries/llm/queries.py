@@ -17,6 +17,7 @@ from .packing import pack
 from .quality import score_quality
 from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
+from .substring_dedup import drop_repeats
 from .topk_search import top_products
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,12 @@ def table_query(name: str, table: str):
     return register
 
 
+@table_query("op1_substring_dedup", "documents")
+def op1(spark, documents, folder):
+    found = drop_repeats(documents)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @table_query("op2_best_fit_packing", "documents")
 def op2(spark, documents, folder):
     return pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
