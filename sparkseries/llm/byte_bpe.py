@@ -14,6 +14,8 @@ from .chunks import MOST_REMEMBERED, chunks
 from .common import id_and_text, text_slices
 
 NEVER = 1 << 62
+#: Prefixes a task remembers; reaching it empties the memory between texts.
+MOST_PREFIXES = 800_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,7 +40,7 @@ class Vocabulary:
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._ends: dict[bytes, list[tuple[bytes, int]]] = {}
         self._starts: dict[bytes, list[tuple[bytes, int]]] = {}
-        self._beside: dict[tuple[bytes, bytes], bool] = {}
+        self.known: dict[tuple[bytes, bytes], bool] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes this one; none for a byte."""
@@ -63,13 +65,13 @@ class Vocabulary:
 
     def beside(self, left: bytes, right: bytes) -> bool:
         """Whether `right` may follow `left` in an encoding."""
-        known = self._beside.get((left, right))
+        known = self.known.get((left, right))
         if known is None:
             if left not in self._ends:
                 self._ends[left] = self._spine(left, 1)
             if right not in self._starts:
                 self._starts[right] = self._spine(right, 0)
-            known = self._beside[left, right] = not any(
+            known = self.known[left, right] = not any(
                 # Of equal merges the left one comes first.
                 (across := self.ranks.get(a + b, NEVER)) < gone and across <= merged
                 for a, gone in self._ends[left]
@@ -78,29 +80,62 @@ class Vocabulary:
         return known
 
 
-class PrefixEncoding:
-    """The encoding of every prefix of some bytes: for each prefix its last token, by length.
+class Prefixes(dict):
+    """For each byte prefix seen so far the ids of its encoding, as little-endian 32-bit numbers, and its last token.
 
-    Appending bytes never changes what is stored, so appends are exact; after an edit only the prefixes that reach
-    into it are computed again.
+    The last token of a prefix is the one token at its end that may follow the encoding of what stands before. A prefix is computed once,
+    so bytes appended to a known one cost only themselves, and an edit costs the prefixes that reach into it.
     """
 
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__({b"": (b"", None)})
+        self.vocabulary = vocabulary
+        self.packed = {token: int(rank).to_bytes(4, "little") for token, rank in vocabulary.ranks.items()}
+
+    def encode(self, data: bytes) -> bytes:
+        """The ids of some bytes. They are remembered with all their prefixes."""
+        known = self.get(data)
+        if known is not None:
+            return known[0]
+        packed, longest, vocabulary, known_beside = self.packed, self.vocabulary.longest, self.vocabulary, self.vocabulary.known
+        start = len(data) - 1
+        while data[:start] not in self:
+            start -= 1
+        for end in range(start + 1, len(data) + 1):
+            least = max(0, end - longest[data[end - 1]])
+            for at in range(end - 1, least - 1, -1):
+                token = data[at:end]
+                if token in packed:
+                    before, last = self[data[:at]]
+                    fits = last is None or known_beside.get((last, token))
+                    if fits is None:
+                        fits = vocabulary.beside(last, token)
+                    if fits:
+                        self[data[:end]] = found = (before + packed[token], token)
+                        break
+            else:
+                raise ValueError(f"no token ends with byte {data[end - 1]}")
+        return found[0]
+
+
+class PrefixEncoding:
+    """The encoding of one sequence of bytes that is appended to and edited: the last token of each of its prefixes, by length."""
+
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
         self.vocabulary, self.data, self.last = vocabulary, b"", [0]
         self.append(data)
 
     def append(self, more: bytes) -> PrefixEncoding:
+        """Adds bytes at the end; what is stored for the bytes before stays as it is."""
         start, self.data = len(self.data), self.data + more
         data, last = self.data, self.last
         ranks, longest, beside = self.vocabulary.ranks, self.vocabulary.longest, self.vocabulary.beside
         for end in range(start + 1, len(data) + 1):
-            for length in range(min(longest[data[end - 1]], end), 0, -1):
-                token = data[end - length : end]
-                if token in ranks:
-                    at = end - length
-                    if at == 0 or beside(data[at - last[at] : at], token):
-                        last.append(length)
-                        break
+            for at in range(max(0, end - longest[data[end - 1]]), end):
+                token = data[at:end]
+                if token in ranks and (at == 0 or beside(data[at - last[at] : at], token)):
+                    last.append(end - at)
+                    break
             else:
                 raise ValueError(f"no token ends with byte {data[end - 1]}")
         return self
@@ -123,22 +158,31 @@ class PrefixEncoding:
 class Encoder(dict):
     """Parts of texts and their ids as little-endian 32-bit numbers; an unknown part is encoded when asked for."""
 
+    #: A longer piece is encoded without remembering its prefixes, whose bytes would grow with the square of its length.
+    longest_shared = 64
+
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.vocabulary, self.pattern = Vocabulary(read_ranks(path)), regex.compile(pattern)
+        self.prefixes = Prefixes(self.vocabulary)
+
+    def _piece(self, piece: str) -> bytes:
+        data = piece.encode()
+        if len(data) <= self.longest_shared:
+            return self.prefixes.packed.get(data) or self.prefixes.encode(data)
+        return np.array(PrefixEncoding(self.vocabulary, data).tokens(), "<i4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
-        ids = []
-        for piece in self.pattern.findall(part):
-            data = piece.encode()
-            whole = self.vocabulary.ranks.get(data)
-            ids += PrefixEncoding(self.vocabulary, data).tokens() if whole is None else [whole]
-        self[part] = found = np.array(ids, "<i4").tobytes()
+        # A space and letters are one piece of the pattern.
+        found = self._piece(part) if part[1:].isalpha() and part[0] == " " else b"".join(map(self._piece, self.pattern.findall(part)))
+        self[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
         if len(self) > MOST_REMEMBERED:
             self.clear()
+        if len(self.prefixes) > MOST_PREFIXES:
+            self.prefixes = Prefixes(self.vocabulary)
         return b"".join(map(self.__getitem__, chunks(text)))
 
 
@@ -172,7 +216,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [b"".join(map(tokens.__getitem__, ids or ())) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+                lists = part.column("ids")
+                flat, ends = lists.flatten().to_numpy(), np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
+                texts = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id LONG, ids ARRAY<INT>, decoded BINARY")

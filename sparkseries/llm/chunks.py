@@ -8,7 +8,7 @@ import re
 LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
 BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 #: Parts a task remembers; reaching it empties the memory between texts.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 500_000
 
 
 def chunks(text: str) -> list[str]:
