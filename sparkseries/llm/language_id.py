@@ -165,6 +165,20 @@ class LanguageModel:
         return langs.tolist(), score
 
 
+def identified(texts: list[str | None], model: LanguageModel | None, letters: Letters) -> tuple[list[str], np.ndarray]:
+    """The language and score of each text; texts are turned into vectors some hundred at a time."""
+    langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    for start in range(0, len(texts), 512):
+        rows, some = vectors([t or "" for t in texts[start : start + 512]], letters)
+        if model is not None and len(rows):
+            found, sure = model.predict(rows)
+            places = start + np.flatnonzero(some)
+            scores[places] = sure
+            for at, lang in zip(places.tolist(), found, strict=True):
+                langs[at] = lang
+    return langs, scores
+
+
 def learn(
     docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
@@ -212,18 +226,24 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for part in text_slices(batches):
-            langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
-            rows, some = vectors(part.column("text").to_pylist(), letters)
-            if model is not None and len(rows):
-                found, sure = model.predict(rows)
-                scores[some] = sure
-                for at, lang in zip(np.flatnonzero(some), found, strict=True):
-                    langs[at] = lang
+            langs, scores = identified(part.column("text").to_pylist(), model, letters)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id LONG, lang_pred STRING, score DOUBLE")
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text has a language; null texts and texts without a letter go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters()
+        for batch in batches:
+            langs = identified(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), model, letters)[0]
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out_rows(doc_id: Column) -> Column:
     """The documents that are never learned from; a null id is not held out and not learned from."""
     return F.coalesce(crc_remainder(doc_id, 4) == 2, F.lit(False))

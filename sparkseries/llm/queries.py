@@ -19,6 +19,7 @@ from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 from .substring_dedup import drop_repeats
 from .topk_search import top_products
+from .winnowing import compare_with_next, fingerprint_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +51,15 @@ def op2(spark, documents, folder):
     return pack(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@table_query("op3_document_fingerprints", "documents")
+def op3(spark, documents, folder):
+    found = compare_with_next(documents)
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint_text("fp").alias("fingerprint"),
+        fingerprint_text("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 @table_query("op4_secret_scan", "documents")
 def op4(spark, documents, folder):
     found = find_secrets(documents)

@@ -151,3 +151,16 @@ def simhash_components(
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_print = labelled.select("fp", "component").join(smallest, "component").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most_bits: int = 2) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stand for their component: one for each, that with the smallest id.
+
+    Rows with a null id cannot be told apart and all stay.
+    """
+    found = simhash_components(docs, id_col, text_col, shingle, most_bits)
+    chosen = kept(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    staying = docs.join(chosen.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
+    if chosen.where(F.col("n") > 1).head(1):
+        staying = staying.dropDuplicates([id_col])
+    return staying.unionByName(docs.where(docs[id_col].isNull()))

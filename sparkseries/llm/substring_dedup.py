@@ -312,11 +312,13 @@ def covered(words: list[str], doc_id: int, shard: list[ahocorasick.Automaton]) -
     return np.cumsum(marks[:-1]) > 0
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def drop_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), keep_spacing: bool = False
+) -> DataFrame:
     """(doc_id, kept, n_words, n_removed, removed) for every row, and a struct `rest` of the columns `carry` if any are named.
 
     Words end at ASCII white space. A word is removed if it is in a window whose words also stand in a document with a smaller id, in
-    the input as it is. `kept` joins the other words by one space, `removed` holds (start, end) in words. A null or empty text has
+    the input as it is. `kept` joins the other words by one space, or with `keep_spacing` is the text itself where nothing is removed; `removed` holds (start, end) in words. A null or empty text has
     no words; a row with a null id keeps everything and takes nothing from others; rows with the same id do not remove from each
     other; an empty table gives an empty result.
     """
@@ -346,7 +348,10 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     strings = b" ".join(words).decode().split(" ") if words else []
                     gone = covered(strings, doc_id, shard)
                 border = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                left = b" ".join(words[i] for i in np.flatnonzero(~gone)) if gone.any() else b" ".join(words)
+                if gone.any():
+                    left = b" ".join(words[i] for i in np.flatnonzero(~gone))
+                else:
+                    left = text if keep_spacing else b" ".join(words)
                 spans = [{"start": a, "end": b} for a, b in border.reshape(-1, 2).tolist()]
                 rows.append((doc_id, left.decode(), len(words), int(gone.sum()), spans))
             out = _batch(schema, *(list(zip(*rows, strict=True)) if rows else [[] for _field in schema]))
