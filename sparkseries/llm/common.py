@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def kept(df: DataFrame) -> DataFrame:
 def text_slices(batches: Iterator[pa.RecordBatch], at_most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of batches with about `at_most` bytes of their column `text`; a longer text stands alone."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column("text")).to_pylist()
+        sizes = pc.binary_length(batch.column("text")).to_pylist()
         start = taken = 0
         for row, size in enumerate(sizes):
             size = size or 0

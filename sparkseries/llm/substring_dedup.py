@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,7 +200,7 @@ def recurring_windows(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for part in text_slices(batch.filter(pa.compute.is_valid(batch.column("text"))) for batch in batches):
+        for part in text_slices(batch.filter(pc.is_valid(batch.column("text"))) for batch in batches):
             out = [[] for _column in schema]
             lists = part.column("found")
             flat, ends = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
@@ -270,7 +271,7 @@ def passage_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = pa.schema([("first", pa.int64()), ("at", pa.int32()), ("passage", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batch.filter(pa.compute.is_valid(batch.column("text"))) for batch in batches):
+        for part in text_slices(batch.filter(pc.is_valid(batch.column("text"))) for batch in batches):
             ids, places, found = [], [], []
             for doc_id, text, starts in zip(part.column("doc_id").to_pylist(), utf8(part.column("text")), part.column("places").to_pylist(), strict=True):
                 words = text.split()
