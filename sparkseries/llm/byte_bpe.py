@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .chunks import MOST_REMEMBERED, chunks
-from .common import id_and_text, text_slices
+from .common import id_and_text, text_slices, worker_state
 
 NEVER = 1 << 62
 #: Prefixes a task remembers; reaching it empties the memory between texts.
@@ -199,7 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, pattern)
+        encoder = worker_state(("encoder", path, pattern), lambda: Encoder(path, pattern))
         for part in text_slices(batches):
             ids = list_of_ints([encoder.encode(text) for text in part.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])

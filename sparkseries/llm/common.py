@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +29,17 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def worker_state(key: tuple, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from one task to the next, made at first use.
+
+    Task functions travel by value, so their own globals last for a task only; a module of this process lasts longer.
+    """
+    held = sys.modules.setdefault("sparkseries_worker_state", types.ModuleType("sparkseries_worker_state")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], at_most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of batches with about `at_most` bytes of their column `text`; a longer text stands alone."""
     for batch in batches:

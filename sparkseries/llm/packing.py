@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -18,14 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import MOST_REMEMBERED, chunks
-from .common import id_and_text, kept, text_slices
+from .chunks import chunks
+from .common import id_and_text, kept, text_slices, worker_state
 
 CAPACITY = 2048
 #: Groups of large lengths, and the shares of the capacity above which a length is large: the best plan of them is taken.
 GROUPS = 96
 LARGE_SHARES = (2, 3, 4)
 MOST_ROUNDS = 3000
+#: Parts of texts a worker remembers; reaching it empties the memory between slices.
+MOST_REMEMBERED = 900_000
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
@@ -45,9 +48,9 @@ class Tokens(dict):
         if len(self) > MOST_REMEMBERED:
             self.clear()
         parts = [chunks(text) for text in texts]
-        fresh = list({part for text in parts for part in text if part not in self})
+        fresh = list(set().union(*parts).difference(self))
         for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self[part] = np.array(found.ids, "<u4").tobytes()
+            self[part] = array("I", found.ids).tobytes()
         return [b"".join(map(self.__getitem__, text)) for text in parts]
 
 
@@ -64,7 +67,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = Tokens(path), np.array([end_id], "<u4").tobytes()
+        tokens, end = worker_state(("tokens", path), lambda: Tokens(path)), np.array([end_id], "<u4").tobytes()
         for part in text_slices(batches):
             rows = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), tokens.encode(part.column("text").to_pylist()), strict=True):

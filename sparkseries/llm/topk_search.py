@@ -17,6 +17,8 @@ from .common import kept
 BLOCK = 2048
 #: Rotated components of the first and second partial sum, as shares of all.
 LEADS = (4, 2)
+#: From this share of pairs on, a block is multiplied as a whole instead of pair by pair.
+MANY = 0.02
 LONGS = (-(1 << 63), (1 << 63) - 1)
 
 
@@ -96,8 +98,7 @@ def leads(width: int) -> list[int]:
 
 def exact_products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Inner products of rows, as whole numbers; beyond 64 bits the nearest such number."""
-    most = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
-    if most < 2.0**62:
+    if small_enough(queries, candidates, 2.0**62):
         return np.einsum("ij,ij->i", queries, candidates)
     exact = (queries.astype(object) * candidates.astype(object)).sum(axis=1)
     return np.array([min(max(x, LONGS[0]), LONGS[1]) for x in exact], np.int64)
@@ -118,9 +119,16 @@ def pairs_above(q: Block, c: Block, least: np.ndarray) -> tuple[np.ndarray, np.n
     for lead in leads(width):
         partial += q.turned[:, done:lead] @ c.turned[:near, done:lead].T
         done = lead
-        alive &= partial + np.outer(q.rest[lead], c.rest[lead][:near]) >= floor[:, None]
-        if not alive.any():
-            break
+        np.logical_and(alive, partial + np.outer(q.rest[lead], c.rest[lead][:near]) >= floor[:, None], out=alive)
+        if np.count_nonzero(alive) > MANY * alive.size:
+            break  # the bound tells little here, so the next leads would cost more than the exact products
+    rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+    if np.count_nonzero(alive) > MANY * max(1, len(rows) * len(columns)) and small_enough(q.v, c.v):
+        # Products of whole numbers below 2**53 are exact in floating point.
+        scores = q.v[rows].astype(float) @ c.v[columns].astype(float).T
+        scores[q.rows[rows][:, None] == c.rows[columns][None, :]] = -np.inf
+        left, right = np.nonzero(scores >= least[rows][:, None])
+        return rows[left], columns[right], scores[left, right].astype(np.int64)
     alive &= q.rows[:, None] != c.rows[None, :near]
     left, right = np.nonzero(alive)
     found = [np.zeros(0, np.int64)]
@@ -131,6 +139,28 @@ def pairs_above(q: Block, c: Block, least: np.ndarray) -> tuple[np.ndarray, np.n
     return left[good], right[good], scores[good]
 
 
+def kth_scores(q: Block, blocks: list[Block], k: int) -> np.ndarray:
+    """For each query the k-th highest score in some blocks, without its own row; the least number if there are fewer."""
+    parts = []
+    for c in blocks:
+        if small_enough(q.v, c.v):
+            scores = q.v.astype(float) @ c.v.astype(float).T
+        else:
+            scores = np.array([exact_products(np.broadcast_to(v, c.v.shape), c.v) for v in q.v]).astype(float)
+            scores = np.nextafter(scores, -np.inf)  # rounding may not raise a bound
+        scores[q.rows[:, None] == c.rows[None, :]] = -np.inf
+        parts.append(scores)
+    scores = np.hstack(parts) if parts else np.zeros((len(q.v), 0))
+    if scores.shape[1] < k:
+        return np.full(len(q.v), float(LONGS[0]))
+    return np.maximum(-np.partition(-scores, k - 1, axis=1)[:, k - 1], float(LONGS[0]))
+
+
+def small_enough(queries: np.ndarray, candidates: np.ndarray, limit: float = 2.0**53) -> bool:
+    """Whether every inner product, and every part of its sum, stays below the limit."""
+    return float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1]) < limit
+
+
 def best(left: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best of each query: the highest scores, ties to the smaller id."""
     order = np.lexsort((ids, -scores.astype(float), left)) if np.abs(scores).max(initial=0) < 1 << 53 else np.array(sorted(range(len(left)), key=lambda i: (left[i], -int(scores[i]), ids[i])), int)
@@ -188,15 +218,9 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str
         for batch in batches:
             for row in batch.to_pylist():
                 q = Block(row, "", rotation)
-                none = np.full(len(q.v), float(LONGS[0]))
-                found = [pairs_above(q, c, none) for c in longest]
-                left, ids, scores = (np.concatenate([f[0] for f in found]), np.concatenate([c.ids[f[1]] for f, c in zip(found, longest, strict=True)]), np.concatenate([f[2] for f in found]))
-                at = best(left, ids, scores, k)
-                number = np.bincount(left[at], minlength=len(q.v))
-                last = np.cumsum(number) - 1
-                least = np.where(number == k, scores[at][np.maximum(last, 0)] if len(at) else 0, float(LONGS[0]))
+                least = kth_scores(q, longest, k)
                 need = np.min(np.where(least <= 0, -np.inf, least / np.maximum(q.lengths, 1e-300)), initial=np.inf)
-                yield pa.RecordBatch.from_arrays([pa.array([row["q"]]), pa.array([least.astype(float).tobytes()], pa.binary()), pa.array([float(need)])], ["q", "least", "need"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["q"]]), pa.array([least.tobytes()], pa.binary()), pa.array([float(need)])], ["q", "least", "need"])
 
     bounds = kept(queries.mapInArrow(first_bounds, "q LONG, least BINARY, need DOUBLE"))
     held = queries.select(*[F.col(c).alias(f"q{c}") if c != "q" else F.col(c) for c in queries.columns]).join(bounds, "q")
@@ -210,10 +234,15 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str
     both = pairs.join(candidates, "c").drop("most", "qmost")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries_held, candidates_held = {}, {}
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                q, c = Block(row, "q", rotation), Block(row, "", rotation)
+                if row["q"] not in queries_held:
+                    queries_held = {row["q"]: Block(row, "q", rotation)}
+                if row["c"] not in candidates_held:
+                    candidates_held = {row["c"]: Block(row, "", rotation)}
+                q, c = queries_held[row["q"]], candidates_held[row["c"]]
                 left, right, scores = pairs_above(q, c, np.frombuffer(row["least"]))
                 chosen_at = best(left, c.ids[right], scores, k)
                 left, right, scores = left[chosen_at], right[chosen_at], scores[chosen_at]
