@@ -10,12 +10,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .chunks import MOST_REMEMBERED, chunks
+from .chunks import chunks
 from .common import id_and_text, text_slices, worker_state
 
 NEVER = 1 << 62
-#: Prefixes a task remembers; reaching it empties the memory between texts.
-MOST_PREFIXES = 800_000
+#: Parts of texts, and prefixes and pairs of tokens, that a worker remembers; reaching a number empties that memory between texts.
+MOST_PARTS = 350_000
+MOST_PREFIXES = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -179,8 +180,10 @@ class Encoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        if len(self) > MOST_REMEMBERED:
+        if len(self) > MOST_PARTS:
             self.clear()
+        if len(self.vocabulary.known) > MOST_PREFIXES:
+            self.vocabulary.known.clear()
         if len(self.prefixes) > MOST_PREFIXES:
             self.prefixes = Prefixes(self.vocabulary)
         return b"".join(map(self.__getitem__, chunks(text)))

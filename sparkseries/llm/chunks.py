@@ -7,8 +7,6 @@ import re
 #: A space before white space or the end: only there may a split at a space change the pieces.
 LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
 BETWEEN = re.compile(r"(?<=\S)(?= \S)")
-#: Parts a task remembers; reaching it empties the memory between texts.
-MOST_REMEMBERED = 500_000
 
 
 def chunks(text: str) -> list[str]:
