@@ -13,13 +13,24 @@ _TWO_62 = 1 << 62
 def round_value(value: Column, places: int = 6) -> Column:
     """Round half-up to `places` decimals, with three more decimals each time the magnitude does not exceed 10^-places.
 
-    Zero, null, NaN and infinities pass unchanged, and so do magnitudes below the last level (10^-30 for places=6).
+    Zero, null, NaN and infinities pass unchanged. The first levels are compiled one by one; for smaller magnitudes the number of
+    decimals is worked out per row.
     """
     levels = [places + _ROUNDING_STEP * n for n in range(_ROUNDING_LEVELS)]
     chain = F.when(F.isnan(value) | F.abs(value).isin(0.0, float("inf")), value)
     for scale in levels:
         chain = chain.when(F.abs(value) > F.lit(10.0**-scale), F.round(value, scale))
-    return chain.otherwise(value)
+    return chain.otherwise(_round_tiny(value, places))
+
+
+def _round_tiny(value: Column, places: int) -> Column:
+    """The same for any magnitude, through the decimal text of the number, which knows no last level."""
+    steps = F.ceil((-F.log10(F.abs(value)) - places) / _ROUNDING_STEP).cast("int")
+    guess = F.lit(places) + F.lit(_ROUNDING_STEP) * steps
+    # The logarithm may be off at a border; the magnitude must exceed 10^-scale and not 10^-(scale - 3).
+    power = [F.concat(F.lit("1e-"), (guess + shift).cast("string")).cast("double") for shift in (0, -_ROUNDING_STEP)]
+    scale = F.when(F.abs(value) <= power[0], guess + _ROUNDING_STEP).when(F.abs(value) > power[1], guess - _ROUNDING_STEP).otherwise(guess)
+    return F.call_function("format_string", F.concat(F.lit("%."), scale.cast("string"), F.lit("f")), value).cast("double")
 
 
 def fixed_point_encode(value: Column, places: int = 6) -> Column:
@@ -34,15 +45,20 @@ def fixed_point_decode(units: Column, places: int = 6) -> Column:
 def wei_scale(value: Column) -> Column:
     """`value` times 10^18 as DECIMAL(38,0), truncated; exact in the double's binary value.
 
-    The product is split at 2^62 so both halves fit BIGINT; magnitudes from 4.25e19 on give null instead of wrapping.
+    The product is split at 2^62 and its upper part at 2^31, so every part is an exact whole number. NaN gives null; a product
+    that DECIMAL(38,0) cannot hold, from a magnitude of about 1e20 on, is an error.
     """
     scaled = value * F.lit(1e18)
-    low = (scaled % F.lit(float(_TWO_62))).cast("bigint")
-    high = ((scaled - low.cast("double")) / F.lit(float(_TWO_62))).cast("bigint")
+    low = scaled % F.lit(float(_TWO_62))
+    upper = (scaled - low) / F.lit(float(_TWO_62))
+    middle = upper % F.lit(float(1 << 31))
+    high = (upper - middle) / F.lit(float(1 << 31))
+    parts = [F.when(F.abs(value) < F.lit(1e20), part).cast("bigint").cast("decimal(19,0)") for part in (low, middle, high)]
     whole = (
-        high.cast("decimal(19,0)") * F.lit(_TWO_62).cast("decimal(19,0)") + low.cast("decimal(19,0)")
+        (parts[2] * F.lit(1 << 31).cast("decimal(10,0)") + parts[1]).cast("decimal(20,0)") * F.lit(_TWO_62).cast("decimal(19,0)") + parts[0]
     ).cast("decimal(38,0)")
-    return F.when(F.abs(value) < F.lit(4.25e19), whole)
+    refused = F.raise_error(F.concat(F.lit("too large to scale: "), value.cast("string"))).cast("decimal(38,0)")
+    return F.when(value.isNull() | F.isnan(value), F.lit(None).cast("decimal(38,0)")).when(F.abs(value) < F.lit(1e20), whole).otherwise(refused)
 
 
 def wei_scale_array(values: Column) -> Column:

@@ -35,7 +35,7 @@ def owner_and_db(name: Column) -> Column:
 
 
 def key_value_lines(text: Column) -> Column:
-    """`Key: value` lines as a map with trimmed keys and values; other lines are ignored."""
+    """`Key: value` lines as a map with trimmed keys and values; other lines are ignored, the last of equal keys counts."""
     lines = F.filter(F.split(text, r"\r?\n"), lambda line: line.rlike(r"^[\w\s/]+:\s+\S"))
     pairs = F.transform(
         lines,
@@ -43,7 +43,12 @@ def key_value_lines(text: Column) -> Column:
             F.trim(F.regexp_extract(line, r"^([^:]+):", 1)), F.trim(F.regexp_extract(line, r"^[^:]+:\s+(.*)$", 1))
         ),
     )
-    return F.map_from_entries(pairs)
+    # Of a key that occurs several times the last line counts.
+    last = F.aggregate(
+        F.reverse(pairs), F.slice(pairs, 1, 0),
+        lambda kept, pair: F.when(F.exists(kept, lambda k: k["col1"] == pair["col1"]), kept).otherwise(F.concat(F.array(pair), kept)),
+    )
+    return F.map_from_entries(last)
 
 
 def left_justify(text: Column, width: int) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,21 @@ def epoch_micros(moment: Column) -> Column:
     return F.unix_micros(moment.cast("timestamp"))
 
 
+# How publishers write dates, in the order in which the formats are tried; months come before days.
+DATE_FORMATS = [
+    "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyy/M/d", "yyyyMMdd",
+    "d.M.yyyy", "MMM yyyy", "MMMM yyyy",
+]
+
+
+def parse_text(value: Column, formats: Iterable[str] | None = None) -> Column:
+    """Date text as a timestamp, null when nothing fits: ISO text first, then the given formats or the usual ones."""
+    tried = [F.try_to_timestamp(value, F.lit(f)).cast("timestamp_ntz") for f in (formats or DATE_FORMATS)]
+    compact = value.rlike("^[0-9]{5,}$")  # a bare number is a year only up to four digits
+    iso = F.when(~compact, value.try_cast("timestamp_ntz"))
+    return F.coalesce(iso, *tried)
+
+
 def from_epoch_millis(millis: Column) -> Column:
     return F.timestamp_millis(millis).cast("timestamp_ntz")
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import times
 from . import project
 
 KINDS = ["number", "string", "boolean", "datetime", "category", "integer", "float"]
@@ -31,12 +32,18 @@ def to_truth(value: Column, kind: str) -> Column:
 
 
 def to_datetime(value: Column, formats: list[str] | None = None) -> Column:
-    """Parse or null; with several formats the first that fits wins."""
+    """Parse or null; with several formats the first that fits wins. Without any, ISO text and the usual formats are read."""
     if not formats:
-        return value.try_cast("timestamp_ntz")
+        return times.parse_text(value.cast("string"))
     return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
+def unreadable(df: DataFrame, column: str, formats: list[str] | None = None) -> DataFrame:
+    """The texts that `to_datetime` would lose, with how often each occurs."""
+    lost = F.col(column).isNotNull() & to_datetime(F.col(column), formats).isNull()
+    return df.where(lost).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def to_float32(value: Column) -> Column:
     return value.try_cast("double").cast("float")
 

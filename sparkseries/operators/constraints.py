@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from .project import nan_as_null
 from .snapshot import first_per_group
 
-# Limits of the constraint kinds.
-MAX_ALLOWED_VALUES = 20
-MAX_RECORDED_NULLS = 1
-
 CONSTRAINT_SCHEMA = "column STRING, kind STRING, value STRING"
 
 
@@ -81,11 +77,11 @@ def _could_be_unique(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns(checked) if checked else df
 
 
-def discover(df: DataFrame) -> DataFrame:
+def discover(df: DataFrame, max_allowed_values: int = 20, max_recorded_nulls: int = 1) -> DataFrame:
     """Constraints of every column as (column, kind, value) rows.
 
-    Kinds: type, min, max, sign, min_length, max_length, max_nulls (when at most one is null), no_duplicates, and
-    allowed_values (a JSON list, for text with at most 20 different values). One pass finds the bounds; only text
+    Kinds: type, min, max, sign, min_length, max_length, max_nulls (when at most `max_recorded_nulls` are null), no_duplicates, and
+    allowed_values (a JSON list, for text with at most `max_allowed_values` different values; these numbers define the kinds). One pass finds the bounds; only text
     and possibly unique integer columns go through the distinct count.
     """
     df = nan_as_null(df)
@@ -96,7 +92,7 @@ def discover(df: DataFrame) -> DataFrame:
         measures.append(F.count(F.when(c.isNull(), 1)).alias(f"nulls {name}"))
         nulls = F.col(f"`nulls {name}`")
         entries.append(_constraint(name, "type", F.lit(kind)))
-        entries.append(_constraint(name, "max_nulls", F.when(nulls <= MAX_RECORDED_NULLS, nulls)))
+        entries.append(_constraint(name, "max_nulls", F.when(nulls <= max_recorded_nulls, nulls)))
         measured = F.length(c) if kind == "string" else c
         measures += [F.min(measured).alias(f"low {name}"), F.max(measured).alias(f"high {name}")]
         low, high = F.col(f"`low {name}`"), F.col(f"`high {name}`")
@@ -121,12 +117,12 @@ def discover(df: DataFrame) -> DataFrame:
     )
     listed = first_per_group(
         counts.where(F.col("column").isin(texts)).select("column", "value"),
-        ["column"], [F.asc("value")], MAX_ALLOWED_VALUES + 1,
+        ["column"], [F.asc("value")], max_allowed_values + 1,
     )
     allowed = (
         listed.groupBy("column")
         .agg(F.array_sort(F.collect_list("value")).alias("values"))
-        .where(F.size("values") <= MAX_ALLOWED_VALUES)
+        .where(F.size("values") <= max_allowed_values)
         .select("column", F.lit("allowed_values").alias("kind"), F.to_json("values").alias("value"))
     )
     return bounds.unionAll(unique).unionAll(allowed)

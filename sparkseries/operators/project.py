@@ -58,10 +58,23 @@ def between_millis(
     return df
 
 
-def parse_date_columns(df: DataFrame, columns: Iterable[str] = ("date", "createdAt")) -> DataFrame:
-    """Text in the known date columns becomes a timestamp; columns that are absent are skipped."""
+def parse_date_columns(
+    df: DataFrame, columns: Iterable[str] = ("date", "createdAt"), formats: Iterable[str] | None = None, strict: bool = True
+) -> DataFrame:
+    """Text in the known date columns becomes a timestamp; columns that are absent are skipped.
+
+    ISO text and the formats of `times.DATE_FORMATS`, or the given ones, are read. Other text is an error, or null without `strict`.
+    """
     kinds = dict(df.dtypes)
-    parsed = {c: F.col(c).try_cast("timestamp_ntz") for c in columns if kinds.get(c) == "string"}
+    parsed = {}
+    for column in columns:
+        if kinds.get(column) == "string":
+            text = F.nullif(F.trim(F.col(column)), F.lit(""))
+            value = times.parse_text(text, formats)
+            if strict:
+                refused = F.raise_error(F.concat(F.lit(f"unreadable date in column {column}: "), text))
+                value = F.when(text.isNull() | value.isNotNull(), value).otherwise(refused)
+            parsed[column] = value
     return df.withColumns(parsed) if parsed else df
 
 
@@ -137,15 +150,20 @@ def date_first(df: DataFrame) -> DataFrame:
 
 
 def sort_rows(df: DataFrame, *order: str | Column, scanned: bool = False) -> DataFrame:
-    """Globally sorted rows; rows that agree in the order keep their place.
+    """Globally sorted rows.
 
-    The place also spreads a value that very many rows share over several range partitions. It must not change when
-    a lost task runs again, which holds for rows straight from a file scan (`scanned`); others are checkpointed.
+    Rows straight from a file scan (`scanned`) that agree in the order keep their place. Others are ordered by a hash of all their columns,
+    and rows that are equal throughout collapse to a count before the shuffle, so no value makes a range partition large and no copy of
+    the data is written.
     """
-    if not scanned:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
-    return df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order, "_place").drop("_place")
+    if scanned:
+        return df.withColumn("_place", F.monotonically_increasing_id()).orderBy(*order, "_place").drop("_place")
+    if any(kind.startswith("map") for kind in dict(df.dtypes).values()):
+        ensure_checkpoint_dir(df.sparkSession)  # maps can neither be grouped nor hashed
+        return sort_rows(df.checkpoint(), *order, scanned=True)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ordered = counted.orderBy(*order, F.xxhash64(*[F.col(c) for c in df.columns]), *df.columns)
+    return ordered.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
 def sort_numeric_text(df: DataFrame, column: str, scanned: bool = False) -> DataFrame:

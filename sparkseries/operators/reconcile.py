@@ -24,44 +24,43 @@ def round_frame(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*_rounded(df, df.columns, places))
 
 
-def within_incoming_dates(base: DataFrame, incoming: DataFrame, column: str = "date") -> DataFrame:
-    """Base rows that can equal an incoming row, judged by the date range alone.
+def within_incoming_bounds(base: DataFrame, incoming: DataFrame, columns: list[str], places: int = 6) -> DataFrame:
+    """Base rows that can equal an incoming row, judged by the ranges of some columns.
 
-    The bounds are scalar subqueries, so the scan of the base prunes partitions and row groups at run time. The
-    upper bound goes through a struct: two plain bounds would be merged into one subquery that returns both, and
-    a field of such a result is not pushed into the scan.
+    One aggregation over the incoming rows finds all bounds; as literals they reach the scan of the base, which skips partitions and
+    row groups. Fractional numbers are compared as `reconcile` compares them, after rounding.
     """
-    lowest = incoming.agg(F.min(column)).scalar()
-    highest = incoming.agg(F.max(F.struct(F.col(column).alias("bound")))["bound"]).scalar()
-    return base.where(F.col(column).isNull() | ((F.col(column) >= lowest) & (F.col(column) <= highest)))
-
-
-def within_incoming_values(base: DataFrame, incoming: DataFrame, column: str, limit: int = 1000) -> DataFrame:
-    """Base rows whose `column` occurs in the incoming rows, when it holds at most `limit` values there.
-
-    The values become a literal list that the scan can use; with more of them the base stays as it is, which
-    costs time but changes nothing. This runs a job over that one column.
-    """
-    values = [row[0] for row in incoming.select(column).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        return base
-    wanted = F.col(column).isin([v for v in values if v is not None])
-    return base.where(wanted | F.col(column).isNull()) if None in values else base.where(wanted)
-
-
-def reconcile(base: DataFrame, incoming: DataFrame, places: int = 6, prune: bool = True) -> DataFrame:
+    kinds = dict(incoming.dtypes)
+    rounded = dict(zip(columns, _rounded(incoming, columns, places), strict=True))
+    bounds = [f(rounded[c]).cast("string").alias(f"{name}_{c}") for c in columns for name, f in (("least", F.min), ("most", F.max))]
+    found = incoming.agg(*bounds).first()
+    for column in columns:
+        value = _rounded(base, [column], places)[0] if kinds[column] in ("double", "float") else F.col(column)
+        least, most = (F.lit(found[f"{name}_{column}"]).cast(kinds[column]) for name in ("least", "most"))
+        within = (value >= least) & (value <= most)
+        base = base.where(F.col(column).isNull() | within) if found[f"least_{column}"] is not None else base.where(F.col(column).isNull())
+    return base
+
+
+def reconcile(
+    base: DataFrame, incoming: DataFrame, places: int = 6, prune: bool = True, prune_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Incoming rows that the base does not hold yet, with the base's columns.
 
     Rows are the same when all columns but `created_at` agree after rounding, nulls counting as equal. Of equal
     incoming rows the earliest `created_at` stays. Both sides go through one hash aggregation over those columns:
     copies collapse before the shuffle, each row is shuffled at most once, and no key can make a task large.
+
+    With `prune` a job over the incoming rows finds the range of `date` and of the columns `prune_by`, so that the base is not read beyond
+    it; the result is the same without.
     """
     identity = [c for c in base.columns if c != ARRIVAL]
     wanted = project.like_target(incoming, [c for c in base.columns if c != ARRIVAL or ARRIVAL in incoming.columns])
     kinds = dict(base.dtypes)
     wanted = wanted.select(*[F.col(c).cast(kinds[c]).alias(c) for c in wanted.columns])
-    if prune and "date" in identity:
-        base = within_incoming_dates(base, wanted)
+    bounded = [c for c in dict.fromkeys(("date", *prune_by)) if c in identity]
+    if prune and bounded:
+        base = within_incoming_bounds(base, wanted, bounded, places)
     arrival = F.col(ARRIVAL) if ARRIVAL in wanted.columns else F.lit(None).cast(kinds.get(ARRIVAL, "timestamp_ntz"))
     known = base.select(
         *_rounded(base, identity, places), F.lit(True).alias("_known"), F.lit(None).cast(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.numeric import decimal_comma, exact_avg, exact_sum, price_number
@@ -181,26 +181,36 @@ def walk_chains(links: DataFrame, starts: DataFrame, bound: int = 0, include_roo
     `links` has (cid, prev_cid), `starts` has (cid, round). The result has (start, round, cid). A walk ends at a
     payload without a link (kept only with `include_root`), at an unknown payload, or below the bound, which also
     ends cycles. Distances are doubled: after n joins all payloads within 2^n steps are reached, for all starts at
-    once, so a long chain needs few jobs. Each step is checkpointed to cut the lineage.
+    once, so a long chain needs few jobs, and none beyond the longest distance that the rounds allow. Each step is one checkpoint, which
+    cuts the lineage and holds both the payloads reached and the links of twice the length. A payload stored more than once counts
+    once; of several links of one payload the least is followed.
     """
     ensure_checkpoint_dir(links.sparkSession)
-    known = links.select("cid", "prev_cid")
+    known = links.groupBy("cid").agg(F.min("prev_cid").alias("prev_cid"))
     linked = known.where(F.col("prev_cid").isNotNull())
+    reached = starts.select(F.col("cid").alias("start"), F.col("round"), "cid").where(F.col("round") >= bound).distinct()
+    farthest = (reached.agg(F.max("round")).first()[0] or bound) - bound
     jumps = linked.select(F.col("cid").alias("src"), F.col("prev_cid").alias("dst"))
-    reached = starts.select(F.col("cid").alias("start"), F.col("round"), "cid").where(F.col("round") >= bound)
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     span = 1
-    while True:
+    while span <= farthest:
         hops = (
             reached.join(jumps, reached["cid"] == jumps["src"])
             .select("start", (F.col("round") - span).alias("round"), F.col("dst").alias("cid"))
             .where(F.col("round") >= bound)
-            .checkpoint()
         )
-        if hops.isEmpty():
+        step = hops.select(F.lit(True).alias("hop"), *hops.columns)
+        if 2 * span <= farthest:
+            far = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
+            longer = jumps.join(far, F.col("dst") == F.col("mid"))
+            step = step.unionAll(longer.select(F.lit(False), "src", F.lit(None).cast(hops.schema["round"].dataType), "far"))
+        seen = Observation()
+        # A broadcast join keeps the parts of its inputs, whose number would double with the distance.
+        step = step.coalesce(parts).observe(seen, F.count(F.when(F.col("hop"), 1)).alias("hops")).checkpoint()
+        if not seen.get["hops"]:
             break
-        reached = reached.unionAll(hops)
-        far = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
-        jumps = jumps.join(far, F.col("dst") == F.col("mid")).select("src", F.col("far").alias("dst")).checkpoint()
+        reached = reached.unionAll(step.where("hop").drop("hop"))
+        jumps = step.where(~F.col("hop")).select(F.col("start").alias("src"), F.col("cid").alias("dst"))
         span *= 2
     kept = known if include_root else linked
     return reached.join(kept.select("cid"), "cid", "left_semi").select("start", "round", "cid")

@@ -12,15 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import times
 
 
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
-    """The first `k` rows of every group. Spark cuts groups before the shuffle only up to a threshold on `k`, so a
-    greater `k` raises it; otherwise a hot group would be ranked whole in one task."""
-    conf = df.sparkSession.conf
-    if k > int(conf.get(GROUP_LIMIT, "1000")):
-        conf.set(GROUP_LIMIT, str(k))
+    """The first `k` rows of every group. Spark cuts groups before the shuffle up to the `k` that the setting
+    spark.sql.optimizer.windowGroupLimitThreshold names; `build_session` raises it, so that a hot group is never ranked whole in one task."""
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 
@@ -91,6 +85,21 @@ def history_arrays(df: DataFrame, value: str = "value", countback: int = 5, seri
     )
 
 
+def history_answer(
+    df: DataFrame, symbol: str, start: int | None = None, end: int | None = None, countback: int = 5
+) -> DataFrame:
+    """One row that answers for one `category:column` within epoch-ms bounds: status, times and values, oldest first.
+
+    The status is `ok`, or `no_data` with empty arrays. The arrays hold at most `countback` elements.
+    """
+    column = symbol.split(":")[1]
+    rows = history(df, symbol, start, end, countback)
+    points = F.array_sort(F.collect_list(F.struct(times.to_epoch_millis(F.col("date")).alias("t"), F.col(column).alias("c"))))
+    return rows.agg(points.alias("_points")).select(
+        F.when(F.size("_points") > 0, "ok").otherwise("no_data").alias("s"), F.col("_points.t").alias("t"), F.col("_points.c").alias("c")
+    )
+
+
 def latest_facts(df: DataFrame, series: str = "series") -> DataFrame:
     """Per series the newest date and the arrival of that row; among equal dates the latest arrival."""
     newest = df.groupBy(series).agg(F.max(F.struct("date", "created_at")).alias("_newest"))

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog, project
-from ..operators.reconcile import overlay, reconcile, round_frame, within_incoming_values
+from ..operators.reconcile import overlay, reconcile, round_frame
 from ..operators.snapshot import latest_facts
 from ..session import ensure_checkpoint_dir
-from ..sources.registry import Source, read_source
+from ..sources.registry import Source, failed_name, read_source
 from ..sources.targets import Target, append_manifest, read_target, read_version, write_target, write_version
 
 log = logging.getLogger(__name__)
@@ -45,6 +45,7 @@ class Run:
     frames: dict[str, DataFrame] = dataclasses.field(default_factory=dict)
     new_rows: dict[str, DataFrame] = dataclasses.field(default_factory=dict)
     entries: list[tuple] = dataclasses.field(default_factory=list)
+    failed_urls: dict[str, int] = dataclasses.field(default_factory=dict)
 
     def report(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.entries, REPORT_SCHEMA)
@@ -57,33 +58,30 @@ def load(spark: SparkSession, source: Source, frames: dict[str, DataFrame] | Non
         df = source.parse(df)
     if df is not None and source.transform is not None:
         df = source.transform(df, **source.transform_args)
-    return None if df is None else project.parse_date_columns(df)
+    return None if df is None else project.parse_date_columns(df, formats=source.date_formats, strict=source.strict_dates)
 
 
 def new_rows(spark: SparkSession, target: Target, incoming: DataFrame, as_of) -> DataFrame:
-    """What an export would append to its target, as one lazy plan."""
-    if "date" not in incoming.columns:
-        return incoming
-    stamped = project.stamp_created(project.nan_as_null(incoming), as_of)
+    """What an export would append to its target; frames without a date are compared by all their columns too."""
+    stamped = project.stamp_created(project.nan_as_null(incoming), as_of) if "date" in incoming.columns else project.nan_as_null(incoming)
     base = read_target(spark, target, stamped)
     if base is None:
         if target.replace:
             return round_frame(stamped)
         base = spark.createDataFrame([], stamped.schema)
         return reconcile(base, stamped, prune=False)
-    if target.few_values_of:
-        base = within_incoming_values(base, stamped, target.few_values_of)
-    if "created_at" in base.columns:
+    if "created_at" in base.columns and "created_at" in stamped.columns:
         base = project.stamp_created(base, as_of)
     if target.reconcile is not None:
         return stamped if base.isEmpty() else target.reconcile(base, stamped)
-    return reconcile(base, stamped)
+    return reconcile(base, stamped, prune_by=(target.few_values_of,) if target.few_values_of else ())
 
 
 def export(spark: SparkSession, target: Target, incoming: DataFrame, as_of, dry_run: bool = False, keep: bool = False):
-    """(new rows, number written). The write is the only job, and the count comes from that job.
+    """(new rows, number written). Nothing is written when an appended target gets no new rows.
 
-    With `keep` the new rows are checkpointed first, so they can be read again once the target holds them.
+    The rows are computed once: they are held while they are tested and written. With `keep` they are checkpointed, so they can be
+    read again once the target holds them.
     """
     rows = new_rows(spark, target, incoming, as_of)
     if dry_run:
@@ -91,9 +89,17 @@ def export(spark: SparkSession, target: Target, incoming: DataFrame, as_of, dry_
     if keep:
         ensure_checkpoint_dir(spark)
         rows = rows.checkpoint()
-    seen = Observation()
-    write_target(rows.observe(seen, F.count(F.lit(1)).alias("rows")), target)
-    return rows, seen.get["rows"]
+    else:
+        rows = rows.persist()
+    try:
+        if not target.replace and target.create_table is None and rows.isEmpty():
+            return rows, 0
+        seen = Observation()
+        write_target(rows.observe(seen, F.count(F.lit(1)).alias("rows")), target)
+        return rows, seen.get["rows"]
+    finally:
+        if not keep:
+            rows.unpersist()
 
 
 def _dated_rows(target: Target, rows: DataFrame) -> DataFrame:
@@ -106,24 +112,74 @@ def _has_facts(rows: DataFrame | None) -> bool:
 
 
 def refresh_catalogue(
-    spark: SparkSession, appended: list[tuple[Target, DataFrame]], rules: DataFrame, path: str, as_of
+    spark: SparkSession, appended: list[tuple[Target, DataFrame]], rules: DataFrame, path: str, as_of, gone: DataFrame | None = None
 ) -> None:
-    """A new version of the catalogue after appends. Only the appended rows are read, not the targets."""
-    parts = [_dated_rows(target, rows) for target, rows in appended if _has_facts(rows)]
-    if not parts:
-        return
-    facts = latest_facts(functools.reduce(DataFrame.unionAll, parts), "table_name")
-    single = [(target.name,) for target, rows in appended if _has_facts(rows) and not target.series]
-    if single:
-        # Tables without new rows are refreshed too; they keep the facts they have.
-        named = spark.createDataFrame(single, "table_name STRING")
-        facts = named.join(facts, "table_name", "full")
+    """A new version of the catalogue after writes; it always agrees with what the targets hold.
+
+    Appended rows are merged with the facts held; a replaced target's rows stand alone, and its series named in `gone(table_name)` that did
+    not come again lose their rows. When the catalogue holds nothing about a target yet, its facts come from the stored rows.
+    """
     old = read_version(spark, path)
     old = old if old is not None else catalog.empty_catalogue(spark)
-    fresh = catalog.fact_rows(catalog.newest_facts(facts, old), rules, as_of)
+    with_facts = [(target, rows) for target, rows in appended if _has_facts(rows)]
+    if not with_facts:
+        return
+    alone, merged = [], []
+    for target, rows in with_facts:
+        if target.replace:
+            alone.append(_dated_rows(target, rows))
+        elif _unknown(old, target, rows):
+            stored = read_target(spark, target, rows)
+            alone.append(_dated_rows(target, stored if _has_facts(stored) else rows))
+        else:
+            merged.append(_dated_rows(target, rows))
+    facts = []
+    if alone:
+        facts.append(latest_facts(functools.reduce(DataFrame.unionAll, alone), "table_name"))
+    if merged:
+        found = latest_facts(functools.reduce(DataFrame.unionAll, merged), "table_name")
+        facts.append(catalog.newest_facts(found, old))
+    single = [(target.name,) for target, _rows in with_facts if not target.series]
+    known = functools.reduce(DataFrame.unionAll, facts)
+    if single:
+        # Tables without new rows are refreshed too; appended ones keep the facts they have, replaced ones are empty now.
+        named = spark.createDataFrame(single, "table_name STRING").join(known.select("table_name"), "table_name", "left_anti")
+        replaced = [t.name for t, _rows in with_facts if t.replace and not t.series]
+        held = catalog.newest_facts(named.select("table_name", F.lit(None).cast("date").alias("latest_date"), F.lit(None).cast("timestamp_ntz").alias("last_update")), old)
+        void = F.col("table_name").isin(replaced)
+        known = known.unionByName(held.select("table_name", *[F.when(~void, F.col(c)).alias(c) for c in ("latest_date", "last_update")]))
+    fresh = catalog.fact_rows(known, rules, as_of)
+    renewed = [t.name for t, _rows in with_facts if t.replace and not t.series]
+    if renewed:
+        # What a replaced table no longer has a fact for is not carried over.
+        facts_keys = F.col("_key").isin("latest_date", "last_update")
+        stale = old.where(F.col("table_name").isin(renewed) & facts_keys).select("table_name", "_key")
+        old = old.join(stale.join(fresh, ["table_name", "_key"], "left_anti"), ["table_name", "_key"], "left_anti")
+    if gone is not None:
+        lost = gone.select("table_name").join(known.select("table_name"), "table_name", "left_anti")
+        old = old.join(lost, "table_name", "left_anti")
     write_version(catalog.upsert_catalogue(old, fresh), path)
 
 
+def _unknown(catalogue: DataFrame, target: Target, rows: DataFrame) -> bool:
+    """Whether the catalogue holds no facts of a target that is not new: of its only series, or of some series among its new rows."""
+    held = catalogue.where(F.col("_key") == "latest_date").select("table_name")
+    if not target.series:
+        return held.where(F.col("table_name") == target.name).isEmpty()
+    return not _dated_rows(target, rows).select("table_name").distinct().join(held, "table_name", "left_anti").isEmpty()
+
+
+def _series_of(spark: SparkSession, target: Target, like: DataFrame) -> DataFrame | None:
+    """The series a replaced target holds before it is written again."""
+    if not (target.replace and target.series):
+        return None
+    stored = read_target(spark, dataclasses.replace(target, replace=False), like)
+    if stored is None or target.series not in stored.columns:
+        return None
+    ensure_checkpoint_dir(spark)
+    return stored.select(F.col(target.series).cast("string").alias("table_name")).distinct().checkpoint()
+
+
 def rebuild_catalogue(
     spark: SparkSession, targets: Iterable[tuple[Target, DataFrame]], rules: DataFrame, path: str, as_of
 ) -> None:
@@ -161,11 +217,15 @@ def run(
             frame = load(spark, source, result.frames)
             if frame is not None:
                 result.frames[source.name] = frame
+            failed = result.frames.get(failed_name(source.name))
+            if failed is not None:
+                result.failed_urls[source.name] = failed.count()
         steps = ingest.transform if isinstance(ingest.transform, (list, tuple)) else [ingest.transform]
         for step in steps:
             if step is not None:
                 result.frames = overlay(result.frames, step(result.frames))
-        manifest = []
+        run_id = uuid.uuid4().hex
+        rules = rules if rules is not None or not catalogue_path else catalog.load_rules(spark, None)
         for target in ingest.targets:
             target_name = target.name
             incoming = result.frames.get(target.name)
@@ -173,21 +233,20 @@ def run(
                 result.entries.append((ingest.name, target.name, "no frame", 0, 0.0, None))
                 continue
             begun = time.monotonic()
+            gone = _series_of(spark, target, incoming) if catalogue_path and not dry_run else None
             rows, written = export(spark, target, incoming, as_of, dry_run, keep=catalogue_path is not None)
             result.new_rows[target.name] = rows
             status = "dry run" if dry_run else "written"
             result.entries.append((ingest.name, target.name, status, written, time.monotonic() - begun, None))
-            if not dry_run:
-                manifest.append((target.name, target.location, written))
+            # Each target is recorded right after its write, so a later failure leaves nothing unrecorded.
+            if not dry_run and manifest_path:
+                append_manifest(spark, manifest_path, run_id, [(target.name, target.location, written)])
+            if not dry_run and catalogue_path:
+                refresh_catalogue(spark, [(target, rows)], rules, catalogue_path, as_of, gone)
+        for name, failed in result.failed_urls.items():
+            result.entries.append((ingest.name, name, "failed urls", failed, 0.0, None))
         if ingest.after:
             ingest.after()
-        if not dry_run and manifest:
-            if manifest_path:
-                append_manifest(spark, manifest_path, uuid.uuid4().hex, manifest)
-            if catalogue_path:
-                rules = rules if rules is not None else catalog.load_rules(spark, None)
-                appended = [(t, result.new_rows[t.name]) for t in ingest.targets if t.name in result.new_rows]
-                refresh_catalogue(spark, appended, rules, catalogue_path, as_of)
         log.info("ingest %s ran in %.1f seconds", ingest.name, time.monotonic() - started)
     except Exception as error:
         log.exception("ingest %s failed", ingest.name)

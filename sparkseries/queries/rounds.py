@@ -110,56 +110,59 @@ def round_average(t):
     return rounds.round_average(prices, scale=2)
 
 
-@query("wide_pivot", """
+KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _pivot_sql(kind: str) -> str:
+    return f"""max(price) FILTER (city = '{kind}' AND category = 'low') AS "{kind}-low",
+  max(price) FILTER (city = '{kind}' AND category = 'high') AS "{kind}-high",
+  strftime(max(seen) FILTER (city = '{kind}'), '%Y-%m-%d %H:%M:%S') AS "{kind}-timestamp\""""
+
+
+@query("wide_pivot", f"""
 WITH p AS (SELECT CAST(ts AS DATE) AS round, user_id, event_type AS city, CASE WHEN value < 10 THEN 'low' ELSE 'high' END AS category,
   max(value) AS price, max(ts) AS seen FROM events GROUP BY ALL)
-SELECT round, user_id, max(price) FILTER (city = 'click' AND category = 'low') AS "click-low",
-  max(price) FILTER (city = 'click' AND category = 'high') AS "click-high",
-  strftime(max(seen) FILTER (city = 'click'), '%Y-%m-%d %H:%M:%S') AS "click-timestamp",
-  max(price) FILTER (city = 'view' AND category = 'low') AS "view-low",
-  max(price) FILTER (city = 'view' AND category = 'high') AS "view-high",
-  strftime(max(seen) FILTER (city = 'view'), '%Y-%m-%d %H:%M:%S') AS "view-timestamp"
-FROM p GROUP BY round, user_id""")
+SELECT round, user_id, {', '.join(map(_pivot_sql, KINDS))} FROM p GROUP BY round, user_id""")
 def wide_pivot(t):
     prices = t.events.select(
         F.struct(F.to_date("ts").alias("round"), "user_id").alias("round"), F.col("event_type").alias("city"),
         F.when(F.col("value") < 10, "low").otherwise("high").alias("category"), F.col("value").alias("price"), "ts",
     )
-    wide = rounds.wide_rounds(prices, ["click", "view"], ["low", "high"], timestamp="ts")
+    wide = rounds.wide_rounds(prices, KINDS, ["low", "high"], timestamp="ts")
     return wide.select("round.*", *[c for c in wide.columns if c != "round"])
 
 
 @query("fill_unfinished", """
-WITH paid AS (SELECT DISTINCT o_custkey AS round FROM orders WHERE o_orderpriority = '5-LOW' AND o_custkey IN
+WITH paid AS (SELECT DISTINCT o_custkey AS round FROM orders WHERE o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED') AND o_custkey IN
   (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')))
 SELECT o_custkey AS round, o_totalprice AS price FROM orders WHERE o_orderpriority = '1-URGENT'
-UNION ALL SELECT o_custkey, o_totalprice FROM orders WHERE o_orderpriority = '2-HIGH' AND o_custkey IN (SELECT round FROM paid)
+UNION ALL SELECT o_custkey, o_totalprice FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM') AND o_custkey IN (SELECT round FROM paid)
   AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def fill_unfinished(t):
-    def of(priority):
-        rows = t.orders.where(F.col("o_orderpriority") == priority)
+    """Every order has a part: current data, unfinished rounds, or data that came later."""
+    def of(*priorities):
+        rows = t.orders.where(F.col("o_orderpriority").isin(*priorities))
         return rows.select(F.col("o_custkey").alias("round"), F.col("o_totalprice").alias("price"))
 
     paid = F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
     audits = t.customer.select(
         F.col("c_custkey").alias("round"), F.when(paid, rounds.PAID).otherwise(rounds.UNINITIALIZED).alias("status")
     )
-    return rounds.fill_unfinished(of("1-URGENT"), of("5-LOW"), audits, of("2-HIGH"))
+    return rounds.fill_unfinished(of("1-URGENT"), of("5-LOW", "4-NOT SPECIFIED"), audits, of("2-HIGH", "3-MEDIUM"))
 
 
 @query("chain_walk", """
-WITH RECURSIVE links AS (SELECT o_orderkey AS cid, CASE WHEN o_orderkey >= 3 THEN o_orderkey // 3 END AS prev_cid FROM orders),
-walk AS (SELECT o_orderkey AS start, CAST(year(o_orderdate) - 1993 AS INTEGER) AS round, o_orderkey AS cid FROM orders WHERE o_orderpriority = '1-URGENT'
+WITH RECURSIVE links AS (SELECT DISTINCT o_orderkey AS cid, CASE WHEN o_orderkey >= 3 THEN o_orderkey // 3 END AS prev_cid FROM orders),
+walk AS (SELECT o_orderkey AS start, CAST(year(o_orderdate) - 1993 AS INTEGER) AS round, o_orderkey AS cid FROM orders WHERE year(o_orderdate) >= 1993
   UNION ALL SELECT start, round - 1, prev_cid FROM walk JOIN links USING (cid) WHERE prev_cid IS NOT NULL AND round > 0)
 SELECT start, round, cid FROM walk JOIN links USING (cid) WHERE prev_cid IS NOT NULL""")
 def chain_walk(t):
-    """Many walks at once over links that fork and meet; each ends at the root or at round 0."""
-    links = t.orders.select(
+    """A walk from every order over links that fork and meet, each link stored twice; a walk ends at the root or at round 0."""
+    once = t.orders.select(
         F.col("o_orderkey").alias("cid"), F.when(F.col("o_orderkey") >= 3, F.expr("o_orderkey DIV 3")).alias("prev_cid")
     )
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
-    starts = urgent.select(F.col("o_orderkey").alias("cid"), (F.year("o_orderdate") - 1993).alias("round"))
-    return rounds.walk_chains(links, starts)
+    starts = t.orders.select(F.col("o_orderkey").alias("cid"), (F.year("o_orderdate") - 1993).alias("round"))
+    return rounds.walk_chains(once.unionAll(once), starts)
 
 
 @query("chain_walk_long", """

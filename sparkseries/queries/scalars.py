@@ -66,9 +66,12 @@ def key_uuid(t):
     return t.customer.select("c_custkey", numeric.key_uuid(F.col("c_custkey"), F.col("c_name")).alias("id"))
 
 
-@query("row_uuid")
+@query("row_uuid", "SELECT count(*) AS rows, count(*) AS shaped, count(*) AS different FROM customer")
 def row_uuid(t):
-    return t.customer.select("c_custkey", F.uuid().alias("id"))
+    """Random ids: all of the right shape, no two alike."""
+    ids = t.customer.select("c_custkey", F.uuid().alias("id"))
+    shape = F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return ids.agg(F.count(F.lit(1)).alias("rows"), F.count_if(shape).alias("shaped"), F.count_distinct("id").alias("different"))
 
 
 @query("epoch_nanos", "SELECT event_id, epoch_us(ts) * 1000 AS nanos, ts AS back FROM events")
@@ -197,7 +200,7 @@ def calendar_flags(t):
 def key_value_lines(t):
     lines = F.concat(
         F.lit("Name: "), F.col("c_name"), F.lit("\r\nno pair here\nNation:   "), F.col("c_nationkey").cast("string"),
-        F.lit("\nMarket segment: "), F.col("c_mktsegment"),
+        F.lit("\nMarket segment: first\nMarket segment: "), F.col("c_mktsegment"),
     )
     pairs = text.key_value_lines(lines)
     return t.customer.select(

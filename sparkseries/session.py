@@ -18,6 +18,9 @@ def build_session(app: str = "sparkseries", master: str | None = None, **conf: s
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Building wide plans is twice as fast without a call site per expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Rankings with a bound are cut before the shuffle up to this bound.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -20,6 +20,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def join_path(root: str | None, path: str) -> str:
     if not root or "://" in path or path.startswith("/"):
         return path

@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 SQL_SCHEMES = ["sqlite", "postgresql", "mysql", "mariadb", "oracle", "mssql", "sqlalchemy", "pybigquery", "jdbc"]
 INSERT_CHUNK = 1000
 VERSIONED_TYPES = {"date": "DATE", "created_at": "TIMESTAMP"}
-JDBC_NAMES = {"mssql": "sqlserver"}
+#: JDBC URLs by scheme; schemes without a driver of their own are refused.
+JDBC_URLS = {
+    "postgresql": "jdbc:postgresql://{host}/{name}", "mysql": "jdbc:mysql://{host}/{name}", "mariadb": "jdbc:mariadb://{host}/{name}",
+    "mssql": "jdbc:sqlserver://{host};databaseName={name}", "oracle": "jdbc:oracle:thin:@//{host}/{name}", "sqlite": "jdbc:sqlite:{name}",
+}
 
 
 def database_url(db_type: str = "mariadb+pymysql", env: dict[str, str] | None = None) -> str:
@@ -31,7 +35,15 @@ def jdbc_options(url: str) -> dict[str, str]:
     host = parts.hostname or ""
     if parts.port:
         host += f":{parts.port}"
-    options = {"url": f"jdbc:{JDBC_NAMES.get(scheme, scheme)}://{host}{parts.path}"}
+    if scheme not in JDBC_URLS:
+        raise ValueError(f"no JDBC driver for {scheme!r}; give a jdbc: URL, or one of {sorted(JDBC_URLS)}")
+    # After three slashes a SQLite path is relative, after four absolute; elsewhere the path is the database's name.
+    name = parts.path.removeprefix("/")
+    target = JDBC_URLS[scheme].format(host=host, name=name)
+    if parts.query:
+        first, between = (";", ";") if scheme == "mssql" else ("?", "&")
+        target += first + between.join(parts.query.split("&"))
+    options = {"url": target}
     if parts.username:
         options["user"] = unquote(parts.username)
     if parts.password:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -26,6 +27,11 @@ OK = 200
 FETCH_ROWS = 64
 
 
+# Tries of one URL and the seconds between them.
+TRIES = 3
+WAIT = 2.0
+
+
 def fetch_url(url: str, timeout: float = 60.0) -> tuple[int | None, str | None, bytes | None]:
     """(status, content type, body) of one URL; a failed request has no body."""
     try:
@@ -37,30 +43,68 @@ def fetch_url(url: str, timeout: float = 60.0) -> tuple[int | None, str | None,
         return None, None, None
 
 
-def fetch_payloads(
-    urls: DataFrame, column: str = "url", fetch: Callable = fetch_url, partitions: int | None = None
+def fetch_again(fetch: Callable, url: str, tries: int, wait: float) -> tuple:
+    """(status, content type, body, error): the first good answer of some tries.
+
+    No answer, a server's error and too many requests may pass, so these are tried again; other answers are final. What `fetch`
+    raises counts as no answer.
+    """
+    status, error = None, None
+    for attempt in range(tries):
+        if attempt:
+            time.sleep(wait)
+        try:
+            status, kind, body = fetch(url)
+            error = None if status == OK else f"status {status}"
+        except Exception as problem:
+            status, error = None, f"{type(problem).__name__}: {problem}"
+        if status == OK:
+            return status, kind, body, None
+        if status is not None and status < 500 and status != 429:
+            break
+    return status, None, None, error
+
+
+def fetch_answers(
+    urls: DataFrame, column: str = "url", fetch: Callable = fetch_url, partitions: int | None = None, tries: int = TRIES, wait: float = WAIT
 ) -> DataFrame:
-    """One row per URL that answered 200, with status, content type and body next to the row's columns.
+    """One row per URL with status, content type, body and error next to the row's columns; failed URLs are rows too.
 
-    Requests run inside the tasks; `partitions` sets how many run at once. A lost task fetches its URLs again, so
-    land the result (checkpoint or table) before it is used twice.
+    Requests run inside the tasks, spread by row over `partitions` (by default one per core or shuffle partition, whichever
+    are more). A lost task fetches its URLs again, so land the result (checkpoint or table) before it is used twice.
     """
-    spread = urls.repartition(partitions) if partitions else urls
-    answer = T.StructType.fromDDL("status INT, content_type STRING, body BINARY")
+    spark = urls.sparkSession
+    number = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = urls.repartition(number)
+    answer = T.StructType.fromDDL("status INT, content_type STRING, body BINARY, error STRING")
     schema = T.StructType([*spread.schema.fields, *answer.fields])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), FETCH_ROWS):
                 part = batch.iloc[start:start + FETCH_ROWS]
-                answers = [fetch(url) for url in part[column]]
+                answers = [fetch_again(fetch, url, tries, wait) for url in part[column]]
                 yield part.assign(
                     status=pd.array([a[0] for a in answers], dtype="Int32"),
                     content_type=[a[1] for a in answers],
                     body=[a[2] for a in answers],
+                    error=[a[3] for a in answers],
                 )
 
-    return spread.mapInPandas(run, schema).where(F.col("status") == OK)
+    return spread.mapInPandas(run, schema)
+
+
+def good_answers(answers: DataFrame) -> DataFrame:
+    return answers.where(F.col("status") == OK).drop("error")
+
+
+def failed_answers(answers: DataFrame) -> DataFrame:
+    return answers.where(~F.col("status").eqNullSafe(F.lit(OK))).drop("content_type", "body")
+
+
+def fetch_payloads(urls: DataFrame, column: str = "url", fetch: Callable = fetch_url, **options) -> DataFrame:
+    """The good answers of `fetch_answers` alone."""
+    return good_answers(fetch_answers(urls, column, fetch, **options))
 
 
 def payload_kind(content_type: Column, force: str | None = None) -> Column:
@@ -79,15 +123,35 @@ def body_text(body: Column) -> Column:
     return F.decode(body, "UTF-8")
 
 
+# Stand in for line ends inside quotes while lines are told apart.
+_QUOTED_ENDS = {"\n": "\u0001", "\r": "\u0002"}
+
+
 def csv_records(body: Column, schema: str) -> Column:
     """CSV text as an array of structs. Its header line must name the fields of `schema`, in order; another header
-    is an error. Fields may hold quoted commas but no line breaks."""
-    lines = F.filter(F.split(body, r"\r?\n"), lambda line: line != "")
+    is an error, and so is a quote that is never closed. Quoted fields may hold commas, line breaks and doubled quotes."""
+    fields = T.StructType.fromDDL(schema).fields
+    # Every second part between quotes is inside them.
+    parts = F.split(body, '"', -1)
+    ends, marks = "".join(_QUOTED_ENDS), "".join(_QUOTED_ENDS.values())
+    marked = F.array_join(F.transform(parts, lambda part, at: F.when(at % 2 == 1, F.translate(part, ends, marks)).otherwise(part)), '"')
+    lines = F.filter(F.split(marked, r"\r?\n"), lambda line: line != "")
     names = F.transform(F.split(F.get(lines, F.lit(0)), ","), lambda name: F.btrim(name, F.lit(' "\ufeff')))
-    expected = F.array(*[F.lit(field.name) for field in T.StructType.fromDDL(schema).fields])
-    rows = F.transform(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), lambda line: F.from_csv(line, schema))
+    expected = F.array(*[F.lit(field.name) for field in fields])
+
+    def record(line: Column) -> Column:
+        row = F.from_csv(line, schema, {"escape": '"'})
+        texts = (T.StringType, T.VarcharType, T.CharType)
+        return F.struct(*[
+            (F.translate(row[f.name], marks, ends) if isinstance(f.dataType, texts) else row[f.name]).alias(f.name) for f in fields
+        ])
+
+    rows = F.transform(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), record)
     refused = F.raise_error(F.concat(F.lit("unexpected CSV header: "), F.get(lines, F.lit(0))))
-    return F.when((F.size(lines) == 0) | (names == expected), rows).otherwise(refused)
+    unclosed = F.raise_error(F.lit("a quote in a CSV payload is never closed"))
+    return (
+        F.when(F.size(parts) % 2 == 0, unclosed).when((F.size(lines) == 0) | (names == expected), rows).otherwise(refused)
+    )
 
 
 def decode_payloads(

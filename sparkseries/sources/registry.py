@@ -19,7 +19,9 @@ class Source:
     """Where a named frame comes from.
 
     `format` is a type string such as `csv:/data`, `rest+http` or a database URL, or a callable
-    `(spark, source) -> DataFrame`. `read` overrides everything. `parse` and `transform` shape the frame.
+    `(spark, source) -> DataFrame`. `read` overrides everything. `parse` and `transform` shape the frame. Text in date columns is read
+    by `date_formats`, or the usual ones; unreadable text is an error unless `strict_dates` is off. Of a source of URLs the option
+    `on_failure="continue"` keeps the failed ones in a frame of their own instead of raising an error.
     """
 
     name: str
@@ -31,14 +33,31 @@ class Source:
     parse: Callable[[DataFrame], DataFrame] | None = None
     transform: Callable[..., DataFrame] | None = None
     transform_args: dict = dataclasses.field(default_factory=dict)
+    date_formats: tuple[str, ...] | None = None
+    strict_dates: bool = True
+
+
+def failed_name(source: str) -> str:
+    """The name of the frame that holds a source's failed URLs."""
+    return f"{source}__failed"
 
 
 def _payload(force):
-    def read(spark, source, _root, _frames):
+    def read(spark, source, _root, frames):
         urls = source.path if isinstance(source.path, DataFrame) else spark.createDataFrame([(source.path,)], "url STRING")
         # Landed once: a second request could give other rows to the second use of the frame.
         ensure_checkpoint_dir(spark)
-        fetched = payloads.fetch_payloads(urls, **source.options).checkpoint()
+        options = dict(source.options)
+        on_failure = options.pop("on_failure", "raise")
+        answers = payloads.fetch_answers(urls, **options).checkpoint()
+        failed = payloads.failed_answers(answers)
+        if on_failure != "continue":
+            shown = failed.limit(3).collect()
+            if shown:
+                raise files.SourceError(f"source {source.name}: failed URLs, such as {[(r['url'], r['error']) for r in shown]}")
+        elif frames is not None:
+            frames[failed_name(source.name)] = failed
+        fetched = payloads.good_answers(answers)
         if source.schema is None:
             return fetched
         return payloads.decode_payloads(fetched, source.schema, force=force).drop("url", "status")
@@ -47,7 +66,7 @@ def _payload(force):
 
 
 def _csv(spark, source, root, frames):
-    if isinstance(source.path, str) and source.path.startswith(("http:", "https:")):
+    if isinstance(source.path, DataFrame) or source.path.startswith(("http:", "https:")):
         return _payload("csv")(spark, source, root, frames)
     return files.read_csv(spark, files.join_path(root, source.path), source.schema, **source.options)
 

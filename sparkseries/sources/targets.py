@@ -7,7 +7,6 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.project import as_text
 from . import files, jdbc, ledger
@@ -21,8 +20,9 @@ class Target:
 
     `replace` writes over what is there, otherwise only new rows are appended. `reconcile(base, incoming)` and
     `create_table(target, rows)` replace the built-in steps. `partition_by` keeps scans of a large target short, and
-    so does `few_values_of`: a column, such as the series, that few different values arrive in per run. `series`
-    names the column that tells apart the series of a target; without it the target is one series.
+    so does `few_values_of`: a column, such as the series, whose values in a run lie in a small range; the target is read in that range
+    only. `series` names the column that tells apart the series of a target; without it the target is one series. `partition` gives
+    column, lower, upper and number for parallel reads of a database table.
     """
 
     name: str
@@ -34,6 +34,7 @@ class Target:
     partition_by: tuple[str, ...] = ()
     few_values_of: str | None = None
     series: str | None = None
+    partition: dict | None = None
     options: dict = dataclasses.field(default_factory=dict)
 
     @property
@@ -55,11 +56,11 @@ def read_target(spark: SparkSession, target: Target, like: DataFrame) -> DataFra
     if kind == "ledger":
         return ledger.read_ledger(spark, target.path, target.format.partition(":")[2] or None)
     if kind in jdbc.SQL_SCHEMES:
-        return jdbc.read_jdbc(spark, target.format, target.path or target.name)
+        return jdbc.read_jdbc(spark, target.format, target.path or target.name, partition=target.partition)
     if not files.path_exists(spark, location):
         return None
     types = dict(like.dtypes)
-    if kind == "csv":
+    if kind in ("csv", "gsheet"):
         header = spark.read.option("header", True).csv(location).columns
         return files.read_csv(spark, location, ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header))
     if kind == "json":
@@ -142,19 +143,28 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
+#: Versions that stay readable; a plan may still read the one before the newest.
+VERSIONS_KEPT = 2
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the complete versions in a folder; a version is complete when its commit mark is there."""
+    names = files.child_names(spark, path) if files.path_exists(spark, path) else []
+    numbers = sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
+    return [n for n in numbers if files.path_exists(spark, f"{path.rstrip('/')}/version={n}/_SUCCESS")]
+
+
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest version of a table written by `write_version`, None when there is none."""
-    if not files.path_exists(spark, path):
-        return None
-    stored = spark.read.parquet(path)
-    newest = stored.agg(F.max("version")).first()[0]
-    return stored.where(F.col("version") == newest).drop("version")
+    """The newest version of a table written by `write_version`, also when it has no rows; None when there is none."""
+    numbers = _versions(spark, path)
+    return spark.read.parquet(f"{path.rstrip('/')}/version={numbers[-1]}") if numbers else None
 
 
 def write_version(df: DataFrame, path: str) -> None:
-    """Write a whole small table as a new version, so it can be computed from the version before."""
+    """Write a whole small table as a new version, so it can be computed from the version before; old versions go."""
     spark = df.sparkSession
-    newest = 0
-    if files.path_exists(spark, path):
-        newest = spark.read.parquet(path).agg(F.max("version")).first()[0] or 0
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={newest + 1}")
+    numbers = _versions(spark, path)
+    number = numbers[-1] + 1 if numbers else 1
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={number}")
+    for old in numbers[: max(0, len(numbers) + 1 - VERSIONS_KEPT)]:
+        files.delete_folder(spark, f"{path.rstrip('/')}/version={old}")

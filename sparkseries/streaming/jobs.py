@@ -95,6 +95,14 @@ def round_average_stream(
     )
 
 
+def write_averages(averages: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Each closed window is appended once, in folders by month; what was written is never read again."""
+    dated = averages.withColumn("month", F.date_format("round_start", "yyyy-MM"))
+    writer = dated.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy("month")
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+
+
 def drop_repeats(stream: DataFrame, keys: list[str], time: str, late: str = "1 hour") -> DataFrame:
     """Repeated deliveries of a row within the watermark; corrections differ in a key and stay."""
     marked = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)

@@ -33,8 +33,19 @@ def test_scaling_is_exact_in_binary(spark, value):
     assert apply(spark, [value], "DOUBLE", numeric.wei_scale) == [int(value * 10**18)]
 
 
-def test_scaling_out_of_range_is_null(spark):
-    assert apply(spark, [1e21, None], "DOUBLE", numeric.wei_scale) == [None, None]
+def test_scaling_out_of_range_is_an_error(spark):
+    assert apply(spark, [None, float("nan"), 9.9e19, -5e19], "DOUBLE", numeric.wei_scale) == [None, None, int(9.9e19 * 1e18), int(-5e19 * 1e18)]
+    for value in (1e21, float("inf")):
+        with pytest.raises(Exception, match="too large to scale"):
+            apply(spark, [value], "DOUBLE", numeric.wei_scale)
+
+
+@pytest.mark.parametrize("value", [1.23456e-32, 9.9999e-31, 1e-30, 1e-33, 1.0000001e-33, -7.65432109e-200, 5e-324, 3.33333e-308])
+def test_rounding_has_no_last_level(spark, value):
+    scale = 6
+    while abs(value) <= 10.0**-scale and scale < 330:
+        scale += 3
+    assert apply(spark, [value], "DOUBLE", numeric.round_value) == [float(f"{value:.{scale}f}")]
 
 
 def test_fixed_point(spark):

@@ -186,6 +186,80 @@ def test_versions(spark, tmp_path):
     targets.write_version(spark.createDataFrame([(1, "x")], NUMBERS), path)
     targets.write_version(targets.read_version(spark, path).unionAll(spark.createDataFrame([(2, "y")], NUMBERS)), path)
     assert rows_of(targets.read_version(spark, path)) == [(1, "x"), (2, "y")]
+    targets.write_version(spark.createDataFrame([], NUMBERS), path)
+    assert targets.read_version(spark, path).count() == 0
+    os.makedirs(f"{path}/version=9")  # a version whose write broke off
+    assert targets.read_version(spark, path).count() == 0
+    assert sorted(n for n in os.listdir(path) if n.startswith("version")) == ["version=2", "version=3", "version=9"]
+
+
+@pytest.mark.parametrize(
+    "url, jdbc_url",
+    [
+        ("mssql+pyodbc://u:p@h:1433/d?encrypt=true", "jdbc:sqlserver://h:1433;databaseName=d;encrypt=true"),
+        ("oracle://h:1521/service", "jdbc:oracle:thin:@//h:1521/service"), ("sqlite:///x.db", "jdbc:sqlite:x.db"),
+        ("sqlite:////data/x.db", "jdbc:sqlite:/data/x.db"), ("postgresql://h/d?ssl=true&a=b", "jdbc:postgresql://h/d?ssl=true&a=b"),
+    ],
+)
+def test_jdbc_urls(url, jdbc_url):
+    assert jdbc.jdbc_options(url)["url"] == jdbc_url
+
+
+def test_schemes_without_a_driver_are_refused():
+    with pytest.raises(ValueError, match="no JDBC driver"):
+        jdbc.jdbc_options("pybigquery://project/data")
+
+
+def test_partitioned_target_reads():
+    options = jdbc.read_options("mysql://h/d", "t", {"column": "id", "lower": 0, "upper": 9, "number": 3})
+    assert options["numPartitions"] == "3" and options["partitionColumn"] == "id"
+
+
+def test_fetches_are_tried_again():
+    answers = iter([(503, None, None), (None, None, None), (200, "text/csv", b"x")])
+    assert payloads.fetch_again(lambda _url: next(answers), "u", 3, 0) == (200, "text/csv", b"x", None)
+    calls = []
+    assert payloads.fetch_again(lambda url: calls.append(url) or (404, None, None), "u", 3, 0) == (404, None, None, "status 404")
+    assert len(calls) == 1
+
+    def broken(_url):
+        raise OSError("down")
+
+    assert payloads.fetch_again(broken, "u", 2, 0) == (None, None, None, "OSError: down")
+
+
+def test_failed_urls_end_an_ingest(spark):
+    urls = spark.createDataFrame([("u:1",), ("u:2",)], "url STRING")
+    fetch = lambda url: (200, "text/csv", b"a,b\n1,x\n") if url == "u:1" else (404, None, None)
+    with pytest.raises(files.SourceError, match="u:2"):
+        read_source(spark, Source("s", "csv+http", urls, NUMBERS, {"fetch": fetch, "wait": 0}))
+    frames = {}
+    kept = Source("s", "csv+http", urls, NUMBERS, {"fetch": fetch, "wait": 0, "on_failure": "continue"})
+    assert rows_of(read_source(spark, kept, frames)) == [(1, "x")]
+    assert rows_of(frames[registry.failed_name("s")]) == [("u:2", 404, "status 404")]
+
+
+def test_csv_quotes(spark):
+    def rows(body):
+        frame = spark.createDataFrame([("text/csv", body)], "content_type STRING, body STRING")
+        return [tuple(r) for r in payloads.decode_payloads(frame, NUMBERS).collect()]
+
+    assert rows('a,b\n1,"x\r\ny, ""z"""\n2,\n') == [(1, 'x\r\ny, "z"'), (2, None)]
+    with pytest.raises(Exception, match="never closed"):
+        rows('a,b\n1,"x\n')
+
+
+def test_unreadable_dates_are_errors(spark):
+    from sparkseries.operators import project
+
+    df = spark.createDataFrame([("Jan 5, 2024",), (None,), ("",), ("02/03/2024",)], "date STRING")
+    found = sorted(str(r[0]) for r in project.parse_date_columns(df).collect())
+    assert found == ["2024-01-05 00:00:00", "2024-02-03 00:00:00", "None", "None"]
+    odd = spark.createDataFrame([("soon",)], "date STRING")
+    with pytest.raises(Exception, match="unreadable date"):
+        project.parse_date_columns(odd).collect()
+    assert project.parse_date_columns(odd, strict=False).first()[0] is None
+    assert project.parse_date_columns(spark.createDataFrame([("3.2.2024",)], "date STRING"), formats=["d.M.yyyy"]).first()[0] == dt.datetime(2024, 2, 3)
 
 
 def test_ledger(spark, tmp_path):

@@ -33,4 +33,4 @@ def test_entry(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"row_uuid"}
+    assert set(QUERIES) - set(ORACLE) == set()

@@ -69,14 +69,18 @@ def test_reconcile_shuffles_once_and_prunes_the_base(series, spark, tmp_path, ca
     plan = capsys.readouterr().out
     tree, details = plan.split("(1) ", 1)[0], plan.split("===== Subqueries")[0]
     assert tree.count("Exchange") == 1 and "Join" not in plan
-    assert "GreaterThanOrEqual(date,ScalarSubquery" in details and "LessThanOrEqual(date,ScalarSubquery" in details
+    assert "GreaterThanOrEqual(date,2024-01-01)" in details and "LessThanOrEqual(date,2024-01-01)" in details
 
 
 def test_few_values_prune_exactly(series):
     base = series([("a", "2024-01-01", 1.0, T0), ("b", "2024-01-01", 1.0, T0), (None, "2024-01-01", 1.0, T0)])
     incoming = base.where("series = 'a' OR series IS NULL")
-    assert rows_of(rec.within_incoming_values(base, incoming, "series"), "series") == [("a",), (None,)]
-    assert rec.within_incoming_values(base, incoming, "series", limit=1).count() == 3
+    assert rows_of(rec.within_incoming_bounds(base, incoming, ["series"]), "series") == [("a",), (None,)]
+    assert rec.within_incoming_bounds(base, incoming.where("series IS NULL"), ["series"]).count() == 1
+    unrounded = series([("a", "2024-01-01", 0.1234567, T0)])
+    stored = series([("a", "2024-01-01", 0.123457, T0), ("a", "2024-01-01", 0.5, T0)])
+    assert rec.within_incoming_bounds(stored, unrounded, ["date", "value"]).count() == 1
+    assert rec.reconcile(stored, unrounded, prune_by=("value",)).count() == 0
 
 
 def test_frozen_snapshot(series):
