@@ -1,3 +1,5 @@
+"""Fixtures of the tests in this folder; a second conftest would hide the first."""
+
 import random
 
 import pytest

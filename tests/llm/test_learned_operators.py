@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from llm_fixtures import documents, words  # noqa: F401
 
 import __spark_entry__ as entry
 from sparkseries.llm import html_extract, language_id, quality, topk_search

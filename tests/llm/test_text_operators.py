@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from llm_fixtures import documents, words  # noqa: F401
 
 from sparkseries.llm import byte_bpe, packing, secret_scan, simhash_dedup, substring_dedup, winnowing
 
