@@ -183,16 +183,20 @@ def learn(
     docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> LanguageModel | None:
-    """A model from at most `per_language` documents of each language, those with the smallest hash of their id.
+    """A model from at most `per_language` documents of each language, drawn by a hash of their id.
 
     `learn_from` says which rows may be learned from. Rows without a language, without an id or without a letter are left out;
     None if no row is left.
     """
     rows = docs.where(learn_from & docs[lang_col].isNotNull() & docs[id_col].isNotNull() & docs[text_col].isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = rows.select(rows[id_col].cast("long").alias("doc_id"), rows[lang_col].alias("lang")).distinct()
+    # Ids are thinned out by their hash before they are ranked, so that a frequent language sends few of them to one task.
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).cast("double") / (1 << 30)
     chosen = (
-        rows.select(rows[id_col].cast("long").alias("doc_id"), rows[lang_col].alias("lang"))
-        .distinct()
+        ids.join(sizes, "lang")
+        .where(draw * F.col("size") < 1.25 * per_language + 50)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
         .select("doc_id", "lang")
