@@ -79,13 +79,14 @@ def load_rules(spark: SparkSession, path: str | None) -> DataFrame:
 def with_first_rule(rows: DataFrame, rules: DataFrame, name: str = "table_name") -> DataFrame:
     """Rows, one per name, with the frequency and the `other` text of the first rule that fits; null when none does.
 
-    An exact rule must equal the name, a prefix rule must start it. Each name offers itself and all its prefixes as
-    keys, so the match is an equi-join (no nested loop however many rules there are), Spark broadcasts the rules
-    only when they are small, and the rows are read once.
+    An exact rule must equal the name, a prefix rule must start it. Each name offers itself and its prefixes of the lengths that
+    rules have as keys, so the match is an equi-join (no nested loop however many rules there are), Spark broadcasts the rules
+    only when they are small, and the rows are read once. The lengths, no more than a name has characters, come from a job over the rules.
     """
     whole = F.col(name)
+    lengths = sorted(r[0] for r in rules.where("exact = 0 AND index IS NOT NULL").select(F.length("index")).distinct().collect())
     prefixes = F.transform(
-        F.sequence(F.lit(0), F.length(name)),
+        F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name)),
         lambda n: F.struct(F.substring(whole, F.lit(1), n).alias("_index"), F.lit(0).alias("_exact")),
     )
     keys = F.concat(prefixes, F.array(F.struct(whole.alias("_index"), F.lit(1).alias("_exact"))))
