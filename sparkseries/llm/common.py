@@ -55,6 +55,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], at_most: int = SLICE_BYTES) -
             yield batch.slice(start)
 
 
+def join_sums(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+    """The rows joined with sums of theirs by a key that may be very frequent.
+
+    Both sides are shuffled for the join alone, by the key with a bit flipped: a side that still lay as its aggregation left it would keep
+    adaptive execution from splitting a frequent key.
+    """
+    flipped = F.col(key).bitwiseXOR(F.lit(1).cast("long")).alias("_met")
+    left = rows.select(*rows.columns, flipped)
+    right = counted.select(flipped, *[c for c in counted.columns if c != key])
+    return left.join(right, "_met").drop("_met")
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

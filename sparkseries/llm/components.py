@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, signature
+from .common import join_sums, kept, signature
 
 MOST_ROUNDS = 100
 
@@ -41,11 +41,11 @@ def _large_star(stars: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = stars.select("u", "v").unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return join_sums(both.where(F.col("v") > F.col("u")), smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(stars: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them."""
     smallest = stars.groupBy("u").agg(F.min("v").alias("m"))
-    moved = stars.join(smallest, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = join_sums(stars, smallest, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()

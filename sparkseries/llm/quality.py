@@ -124,7 +124,7 @@ def normal_equations(rows: DataFrame, kernel: Kernel) -> dict[int, np.ndarray]:
         return pa.table({"fold": table.column("fold").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
     parts = rows.select("fold", "stats", "label").mapInArrow(partial, "fold INT, sums BINARY")
-    groups = max(1, math.isqrt(rows.sparkSession.sparkContext.defaultParallelism))
+    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
     merged = parts.withColumn("part", F.spark_partition_id() % groups).groupBy("fold", "part").applyInArrow(
         lambda table: merge(table.select(["fold", "sums"])), "fold INT, sums BINARY"
     )

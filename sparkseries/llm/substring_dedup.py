@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, text_slices, utf8
+from .common import join_sums, kept, text_slices, utf8
 
 WINDOW = 50
 #: Words in the phrases whose hashes are compared; a window holds WINDOW - PHRASE + 1 of them.
@@ -177,22 +177,10 @@ def recurring_anchors(texts: DataFrame) -> DataFrame:
         .where(F.col("first") < F.col("last"))
         .drop("last")
     )
-    useful = _met(rows.select("h", "doc_id"), shared, "h").where(~F.col("same") | (F.col("doc_id") > F.col("first")))
+    useful = join_sums(rows.select("h", "doc_id"), shared, "h").where(~F.col("same") | (F.col("doc_id") > F.col("first")))
     return useful.groupBy("doc_id").agg(F.collect_list(F.struct("h", "first", "q", "same")).alias("found"))
 
 
-def _met(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
-    """The rows joined with sums of theirs by a key that may be very frequent.
-
-    Both sides are shuffled for the join alone, by the key with a bit flipped: a side that still lay as its aggregation left it would keep
-    adaptive execution from splitting a frequent key.
-    """
-    flipped = F.col(key).bitwiseXOR(F.lit(1).cast("long")).alias("_met")
-    left = rows.select(*rows.columns, flipped)
-    right = counted.select(flipped, *[c for c in counted.columns if c != key])
-    return left.join(right, "_met").drop("_met")
-
-
 def _with(texts: DataFrame, other: DataFrame, column: str) -> DataFrame:
     """Every text with a column of another table by doc_id; the texts of rows without it are not passed on.
 
@@ -263,7 +251,7 @@ def passages(texts: DataFrame, shared: DataFrame) -> DataFrame:
         .select("w", "least", "place")
     )
     later = open_ones.where(F.col("doc_id") > F.col("first")).select("w", "doc_id", "p")
-    again = _met(later, counted, "w").where(F.col("doc_id") > F.col("least"))
+    again = join_sums(later, counted, "w").where(F.col("doc_id") > F.col("least"))
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

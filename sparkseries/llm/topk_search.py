@@ -186,7 +186,7 @@ def rotation_of(candidates: DataFrame, width: int) -> np.ndarray:
         return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
 
     parts = candidates.select("v").mapInArrow(partial, "sums BINARY")
-    groups = max(1, math.isqrt(candidates.sparkSession.sparkContext.defaultParallelism))
+    groups = max(1, math.isqrt(int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     merged = parts.withColumn("part", F.spark_partition_id() % groups).groupBy("part").applyInArrow(
         lambda table: merge(table.select(["sums"])), "sums BINARY"
     )

@@ -1,7 +1,6 @@
 """Operators over texts against plain Python, with nulls, empty and long texts, ties, repeated rows and empty tables."""
 
 import base64
-import hashlib
 import re
 import zlib
 
