@@ -34,17 +34,22 @@ BOILERPLATE_NAMES = re.compile(
     r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|skip-link)(?:$|[\s_-])",
     re.I,
 )
+#: Names such as `with-sidebar` tell of the layout around, and `userComments` is two words.
+LAYOUT_NAMES = re.compile(r"\b(?:with|without|has|no|show|hide)[-_]\w+", re.I)
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: If furniture takes more of a page's text than this, its names are not believed.
+MOST_FURNITURE = 0.95
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
 class Node:
-    """An open or closed element: its place in the tree and whether it or one above it is page furniture."""
+    """An open or closed element: its place in the tree and whether it or one above it is page furniture, by its kind or also by its name."""
 
-    __slots__ = ("tag", "parent", "path", "furniture", "depth", "linked")
+    __slots__ = ("tag", "parent", "path", "furniture", "by_kind", "depth", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, name: str, furniture: bool, linked: bool):
-        self.tag, self.parent, self.furniture, self.linked = tag, parent, furniture, linked
+    def __init__(self, tag: str, parent: Node | None, name: str, furniture: bool, by_kind: bool, linked: bool):
+        self.tag, self.parent, self.furniture, self.by_kind, self.linked = tag, parent, furniture, by_kind, linked
         self.path = f"{parent.path}/{name}" if parent else name
         self.depth = parent.depth + 1 if parent else 0
 
@@ -63,7 +68,7 @@ class PageReader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.top = self.root = Node("#", None, "", False, False)
+        self.top = self.root = Node("#", None, "", False, False, False)
         self.silent: list[str] = []
         self.blocks: list[Block] = []
         self.border = True
@@ -91,13 +96,14 @@ class PageReader(HTMLParser):
             self._close(CLOSES_ITSELF[tag], until=CONTAINERS | {"ul", "ol", "dl", "table"} - CLOSES_ITSELF[tag])
         known = dict(attrs)
         names = f"{known.get('class') or ''} {known.get('id') or ''}".strip()
-        furniture = self.top.furniture
+        furniture, by_kind = self.top.furniture, self.top.by_kind
         if tag not in ("html", "body", "article", "main"):
             role = (known.get("role") or "").lower()
-            furniture = furniture or tag in BOILERPLATE or role in BOILERPLATE_ROLES or "hidden" in known
-            furniture = furniture or (tag not in INLINE and bool(BOILERPLATE_NAMES.search(names)))
+            by_kind = by_kind or tag in BOILERPLATE or role in BOILERPLATE_ROLES or "hidden" in known
+            said = LAYOUT_NAMES.sub(" ", HUMP.sub("-", names))
+            furniture = furniture or by_kind or (tag not in INLINE and bool(BOILERPLATE_NAMES.search(said)))
         name = ".".join([tag, *sorted(names.split())]) if tag not in ("html", "body") else tag
-        self.top = Node(tag, self.top, name, furniture, self.top.linked or tag == "a")
+        self.top = Node(tag, self.top, name, furniture, by_kind, self.top.linked or tag == "a")
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -240,6 +246,9 @@ def main_text(html: str) -> str:
     blocks = blocks_of(html)
     if not blocks:
         return ""
+    if sum(len(b.text) for b in blocks if b.node.furniture) > MOST_FURNITURE * sum(len(b.text) for b in blocks):
+        for block in blocks:
+            block.node.furniture = block.node.by_kind
     scores = path_scores(blocks)
     found = container(blocks, content_paths(blocks, scores))
     if found is None:

@@ -41,6 +41,14 @@ def test_odd_pages(html, text):
     assert html_extract.main_text(html) == text
 
 
+def test_names_of_the_layout():
+    for name in ("with-sidebar", "page no-header", "sidebar-layout"):
+        page = f'<body><nav><a href=x>Menu, here.</a></nav><div class="{name}"><div class="text">{BODY}</div></div></body>'
+        assert html_extract.main_text(page) == TEXT
+    page = f'<body><div class="text">{BODY}</div><div id="userComments"><p>Nice, very nice. Really, it is.</p></div></body>'
+    assert html_extract.main_text(page) == TEXT
+
+
 def test_long_page():
     body = "".join(f"<p>Paragraph {n}, with words. And more, of them.</p>" for n in range(20000))
     assert html_extract.main_text(PAGE.replace("{body}", body)).count("\n") == 19999
