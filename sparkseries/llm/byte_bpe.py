@@ -201,9 +201,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     result; the time for a long text grows with its length. `path` names a file of ranks that every executor has.
     """
 
+    key = ("encoder", path, pattern)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(("encoder", path, pattern), lambda: Encoder(path, pattern))
-        for part in text_slices(batches):
+        encoder = worker_state(key, lambda: Encoder(path, pattern))
+        for part in text_slices(batches, holding=key):
             ids = list_of_ints([encoder.encode(text) for text in part.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 

@@ -30,18 +30,33 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def worker_state(key: tuple, make: Callable[[], Any]) -> Any:
-    """What a Python worker keeps from one task to the next, made at first use.
+    """What a Python worker keeps from one task to the next of the same kind, made at first use.
 
-    Task functions travel by value, so their own globals last for a task only; a module of this process lasts longer.
+    Task functions travel by value, so their own globals last for a task only; a module of this process lasts longer. The first task of
+    another kind that reads texts drops it again, so that stages which follow each other do not add up in memory.
     """
     held = sys.modules.setdefault("sparkseries_worker_state", types.ModuleType("sparkseries_worker_state")).__dict__
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    state = held.setdefault("state", {})
+    if key not in state:
+        state.clear()
+        state[key] = make()
+    return state[key]
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], at_most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of batches with about `at_most` bytes of their column `text`; a longer text stands alone."""
+def drop_worker_state(holding: tuple | None) -> None:
+    held = sys.modules.get("sparkseries_worker_state")
+    if held is not None and holding not in held.__dict__.get("state", {}):
+        held.__dict__["state"] = {}
+
+
+def text_slices(
+    batches: Iterator[pa.RecordBatch], at_most: int = SLICE_BYTES, holding: tuple | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with about `at_most` bytes of their column `text`; a longer text stands alone.
+
+    `holding` is the key of the worker's state that the task uses.
+    """
+    drop_worker_state(holding)
     for batch in batches:
         sizes = pc.binary_length(batch.column("text")).to_pylist()
         start = taken = 0

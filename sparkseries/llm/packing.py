@@ -28,7 +28,7 @@ GROUPS = 96
 LARGE_SHARES = (2, 3, 4)
 MOST_ROUNDS = 3000
 #: Parts of texts a worker remembers; reaching it empties the memory between slices.
-MOST_REMEMBERED = 900_000
+MOST_REMEMBERED = 600_000
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
@@ -66,9 +66,11 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
     (doc_id, piece, start, length, ids_crc32), and `ids` if asked for. A null or empty text has the end id only.
     """
 
+    key = ("tokens", path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = worker_state(("tokens", path), lambda: Tokens(path)), np.array([end_id], "<u4").tobytes()
-        for part in text_slices(batches):
+        tokens, end = worker_state(key, lambda: Tokens(path)), np.array([end_id], "<u4").tobytes()
+        for part in text_slices(batches, holding=key):
             rows = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), tokens.encode(part.column("text").to_pylist()), strict=True):
                 ids += end
