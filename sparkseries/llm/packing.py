@@ -28,7 +28,7 @@ GROUPS = 96
 LARGE_SHARES = (2, 3, 4)
 MOST_ROUNDS = 3000
 #: Parts of texts a worker remembers; reaching it empties the memory between slices.
-MOST_REMEMBERED = 600_000
+MOST_REMEMBERED = 800_000
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
