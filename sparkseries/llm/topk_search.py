@@ -37,7 +37,8 @@ def blocks(rows: DataFrame, width: int, label: str) -> DataFrame:
     """
     square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
     sized = rows.withColumn("square", square)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # No more parts than blocks are needed: every pair of blocks is looked at.
+    parts = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(1, -(-rows.count() // BLOCK)))
     dealt = sized.repartitionByRange(parts, F.desc("square"), F.col("vec_id")).sortWithinPartitions(F.desc("square"), F.col("vec_id"))
 
     def packed(ids: list, at: list, values: list[np.ndarray], part: int, place: int) -> pa.RecordBatch:
