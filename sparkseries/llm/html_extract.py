@@ -201,7 +201,7 @@ def content_paths(blocks: list[Block], scores: np.ndarray) -> set[str]:
 
 
 def container(blocks: list[Block], paths: set[str]) -> Node | None:
-    """The element that holds the content: the deepest with most of the text of the content paths, widened to the article around it."""
+    """The element that holds most of the content: the deepest with over half of the text of the content paths, widened to the article around it."""
     weight: dict[Node, int] = defaultdict(int)
     total = 0
     for block in blocks:
@@ -229,6 +229,52 @@ def container(blocks: list[Block], paths: set[str]) -> Node | None:
     return best
 
 
+def common_ancestor(nodes: list[Node]) -> Node:
+    """The deepest element that holds all of `nodes`."""
+    found = nodes[0]
+    for node in nodes[1:]:
+        while not _inside(node, found):
+            found = found.parent
+    return found
+
+
+def content_blocks(blocks: list[Block], paths: set[str]) -> list[Block]:
+    """The blocks of the article in page order: all on a content path, and what the elements around them add.
+
+    The element that holds most of the content adds all it has. The element that holds all of the content adds each part that is
+    not mostly links. Page furniture is left out.
+    """
+    own = [b for b in blocks if not b.node.furniture]
+    content = [b.node for b in own if b.node.path in paths]
+    if not content:
+        return []
+    found, around, wanted = container(blocks, paths), common_ancestor(content), set(content)
+    text, linked = defaultdict(int), defaultdict(int)
+    for block in own:
+        node = block.node
+        while node is not None and node is not around:
+            text[node] += len(block.text)
+            linked[node] += block.linked
+            node = node.parent
+    holds = set()
+    for node in content:
+        while node is not None and node not in holds:
+            holds.add(node)
+            node = node.parent
+
+    def added(block: Block) -> bool:
+        if not _inside(block.node, around):
+            return False
+        part = block.node
+        if part in holds:
+            return block.linked * 2 <= len(block.text)
+        while part.parent not in holds:
+            part = part.parent
+        return linked[part] * 2 <= text[part]
+
+    return [b for b in own if b.node in wanted or _inside(b.node, found) or added(b)]
+
+
 def _inside(node: Node | None, outer: Node) -> bool:
     while node and node.depth > outer.depth:
         node = node.parent
@@ -250,11 +296,7 @@ def main_text(html: str) -> str:
         for block in blocks:
             block.node.furniture = block.node.by_kind
     scores = path_scores(blocks)
-    found = container(blocks, content_paths(blocks, scores))
-    if found is None:
-        return ""
-    chosen = [b for b in blocks if not b.node.furniture and _inside(b.node, found)]
-    return "\n".join(b.text for b in chosen)
+    return "\n".join(b.text for b in content_blocks(blocks, content_paths(blocks, scores)))
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators over pages, vectors and learned models, and the pipeline, against plain Python or held-out rows."""
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -49,6 +50,21 @@ def test_names_of_the_layout():
     assert html_extract.main_text(page) == TEXT
 
 
+def test_content_in_several_parts():
+    first, second = ("".join(f"<p>{kind} part number {n}, with some words. And more, of them.</p>" for n in range(k)) for kind, k in (("First", 4), ("Other", 6)))
+    want = [re.sub("<.*?>", "", p) for p in (first + second).split("</p>")[:-1]]
+    menu = "<ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul>"
+    for page in (
+        f"<body>{menu}<div class=intro>{first}</div><div class=rest>{second}</div></body>",
+        f"<body><main>{menu}<article class=a>{first}</article><article class=b>{second}</article></main></body>",
+        f"<body>{menu}<table><tr><td class=a>{first}</td><td class=b>{second}</td></tr></table></body>",
+        f"<body>{menu}{first}<blockquote>{second}</blockquote></body>",
+    ):
+        assert html_extract.main_text(page).split("\n") == want, page
+    page = f"<body>{menu}<div class=intro>{first}</div><h2>Heading</h2><div class=rest>{second}</div></body>"
+    assert html_extract.main_text(page).split("\n") == [*want[:4], "Heading", *want[4:]]
+
+
 def test_long_page():
     body = "".join(f"<p>Paragraph {n}, with words. And more, of them.</p>" for n in range(20000))
     assert html_extract.main_text(PAGE.replace("{body}", body)).count("\n") == 19999
