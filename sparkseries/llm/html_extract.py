@@ -28,30 +28,71 @@ ENDS_PARAGRAPH = frozenset(
     "menu nav ol p pre section table ul".split()
 )
 CONTAINERS = frozenset("article main section div td body blockquote center".split())
-BOILERPLATE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|comments?|commentlist|disqus|repl(?:y|ies)|respond|"
-    r"sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|skip-link)(?:$|[\s_-])",
-    re.I,
+#: What names say of furniture. A name counts whole: words that say nothing of the kind, such as `work` in `related-work`, weaken it.
+READERS_WORDS = frozenset("comment comments commentlist disqus replies".split())
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertisements".split())
+CONSENT_WORDS = frozenset("cookie cookies consent gdpr".split())
+DIALOG_WORDS = frozenset("banner notice alert popup modal overlay".split())
+FURNITURE_WORDS = (
+    READERS_WORDS | ADVERT_WORDS | CONSENT_WORDS | DIALOG_WORDS
+    | frozenset(
+        "advertising sponsor sponsored promo promotion reply respond sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header "
+        "masthead share sharing social related recommended newsletter subscribe signup login search pagination pager widget toolbar skiplink".split()
+    )
 )
+PLAIN_WORDS = frozenset(
+    "site main top bottom left right primary secondary global inner outer wrapper wrap container box area block section bar list item items "
+    "link links button buttons icons row col column group panel form count wp js the slot unit google".split()
+)
+READERS_PLAIN_WORDS = PLAIN_WORDS | frozenset("post entry article blog page content body text title meta author user users reader readers all new fb facebook thread".split())
+NAMED = frozenset("div section ul ol dl table td center".split())
+#: Comments and adverts also go by the names of these.
+NAMED_PARTS = NAMED | frozenset("li tr tbody dd figure blockquote".split())
+#: How far a name is believed: never, if links and text tell the same, if the text tells the same, always.
+NO_NAME, HINT, NAME, CERTAIN = range(4)
 #: Names such as `with-sidebar` tell of the layout around, and `userComments` is two words.
 LAYOUT_NAMES = re.compile(r"\b(?:with|without|has|no|show|hide)[-_]\w+", re.I)
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
-#: If furniture takes more of a page's text than this, its names are not believed.
-MOST_FURNITURE = 0.95
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？؟،]")
 
 
+def strength_of(tag: str, classes: str, ident: str) -> int:
+    """How far the class and id of an element are believed to name page furniture."""
+    if tag not in NAMED_PARTS:
+        return NO_NAME
+    best = NO_NAME
+    for names, slug in ((classes, False), (ident, tag not in ("div", "ul", "ol", "table"))):
+        said = LAYOUT_NAMES.sub(" ", HUMP.sub("-", names)).lower().replace("side-bar", "sidebar").replace("skip-link", "skiplink")
+        for name in said.split():
+            words = {w for w in re.split("[-_]+", name) if w and not w.isdigit()}
+            known = words & FURNITURE_WORDS
+            if not known:
+                continue
+            if known & READERS_WORDS and words <= FURNITURE_WORDS | READERS_PLAIN_WORDS:
+                return CERTAIN
+            whole = words <= FURNITURE_WORDS | PLAIN_WORDS
+            if whole and not slug and (known & ADVERT_WORDS or (known & CONSENT_WORDS and (known & DIALOG_WORDS or len(known) > 1))):
+                return CERTAIN
+            if tag in NAMED:
+                best = max(best, NAME if whole else HINT)
+    return best
+
+
 class Node:
-    """An open or closed element: its place in the tree and whether it or one above it is page furniture, by its kind or also by its name."""
+    """An open or closed element: its place in the tree, whether it or one above it is page furniture by its kind, and how it is named.
+
+    `named` is the nearest of it and those above it that names itself furniture; `furniture` is settled once the page is read.
+    """
 
-    __slots__ = ("tag", "parent", "path", "furniture", "by_kind", "depth", "linked")
+    __slots__ = ("tag", "parent", "path", "furniture", "by_kind", "depth", "linked", "strength", "named")
 
-    def __init__(self, tag: str, parent: Node | None, name: str, furniture: bool, by_kind: bool, linked: bool):
-        self.tag, self.parent, self.furniture, self.by_kind, self.linked = tag, parent, furniture, by_kind, linked
+    def __init__(self, tag: str, parent: Node | None, name: str, by_kind: bool, linked: bool, strength: int = NO_NAME):
+        self.tag, self.parent, self.by_kind, self.linked, self.strength = tag, parent, by_kind, linked, strength
+        self.furniture = by_kind
         self.path = f"{parent.path}/{name}" if parent else name
         self.depth = parent.depth + 1 if parent else 0
+        self.named = self if strength else parent.named if parent else None
 
 
 class Block:
@@ -68,9 +109,10 @@ class PageReader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.top = self.root = Node("#", None, "", False, False, False)
+        self.top = self.root = Node("#", None, "", False, False)
         self.silent: list[str] = []
         self.blocks: list[Block] = []
+        self.strengths: dict[tuple[str, str, str], int] = {}
         self.border = True
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -96,14 +138,16 @@ class PageReader(HTMLParser):
             self._close(CLOSES_ITSELF[tag], until=CONTAINERS | {"ul", "ol", "dl", "table"} - CLOSES_ITSELF[tag])
         known = dict(attrs)
         names = f"{known.get('class') or ''} {known.get('id') or ''}".strip()
-        furniture, by_kind = self.top.furniture, self.top.by_kind
+        by_kind, strength = self.top.by_kind, NO_NAME
         if tag not in ("html", "body", "article", "main"):
             role = (known.get("role") or "").lower()
             by_kind = by_kind or tag in BOILERPLATE or role in BOILERPLATE_ROLES or "hidden" in known
-            said = LAYOUT_NAMES.sub(" ", HUMP.sub("-", names))
-            furniture = furniture or by_kind or (tag not in INLINE and bool(BOILERPLATE_NAMES.search(said)))
+            said = (tag, known.get("class") or "", known.get("id") or "")
+            if said not in self.strengths:
+                self.strengths[said] = strength_of(*said)
+            strength = self.strengths[said]
         name = ".".join([tag, *sorted(names.split())]) if tag not in ("html", "body") else tag
-        self.top = Node(tag, self.top, name, furniture, by_kind, self.top.linked or tag == "a")
+        self.top = Node(tag, self.top, name, by_kind, self.top.linked or tag == "a", strength)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -163,6 +207,51 @@ def blocks_of(html: str) -> list[Block]:
     return [b for b in reader.blocks if b.text]
 
 
+def _namesakes(node: Node) -> Iterator[Node]:
+    """The element and those above it that name themselves furniture, from the inside out."""
+    named = node.named
+    while named is not None:
+        yield named
+        named = named.parent.named
+
+
+def settle_furniture(blocks: list[Block]) -> None:
+    """Marks the blocks' elements that are furniture: by kind, or by a name that the element's text bears out.
+
+    Comments and adverts are furniture whatever their size. Other names are believed where each tag path inside has less than half of
+    the text a block, links aside, of the page's best path; a name with words of another kind only if most of the text is in links as well.
+    """
+    length, number = defaultdict(int), defaultdict(int)
+    text, linked, paths = defaultdict(int), defaultdict(int), defaultdict(set)
+    for block in blocks:
+        above = list(_namesakes(block.node))
+        if block.node.by_kind or any(n.strength == CERTAIN for n in above):
+            continue
+        path = block.node.path
+        number[path] += 1
+        length[path] += max(0, len(block.text) - block.linked)
+        for node in above:
+            text[node] += len(block.text)
+            linked[node] += block.linked
+            paths[node].add(path)
+    ratios = {path: length[path] / n for path, n in number.items()}
+    best = max(ratios.values(), default=0)
+
+    def borne_out(node: Node) -> bool:
+        if node.strength == CERTAIN:
+            return True
+        if node.strength == HINT and linked[node] * 2 <= text[node]:
+            return False
+        return all(ratios[path] * 2 < best for path in paths[node])
+
+    believed: dict[Node, bool] = {}
+    for block in blocks:
+        for node in _namesakes(block.node):
+            if node not in believed:
+                believed[node] = borne_out(node)
+        block.node.furniture = block.node.by_kind or any(believed[n] for n in _namesakes(block.node))
+
+
 def smoothed(values: np.ndarray, radius: int = 1) -> np.ndarray:
     """Gaussian smoothing over neighbouring blocks."""
     weights = np.exp(-0.5 * (np.arange(-radius, radius + 1) / max(radius, 1)) ** 2)
@@ -292,9 +381,7 @@ def main_text(html: str) -> str:
     blocks = blocks_of(html)
     if not blocks:
         return ""
-    if sum(len(b.text) for b in blocks if b.node.furniture) > MOST_FURNITURE * sum(len(b.text) for b in blocks):
-        for block in blocks:
-            block.node.furniture = block.node.by_kind
+    settle_furniture(blocks)
     scores = path_scores(blocks)
     return "\n".join(b.text for b in content_blocks(blocks, content_paths(blocks, scores)))
 

@@ -50,6 +50,32 @@ def test_names_of_the_layout():
     assert html_extract.main_text(page) == TEXT
 
 
+@pytest.mark.parametrize("opened, closed", [
+    ('<h2 id="search">', "</h2>"), ('<section id="related-work"><h2>', "</h2><p>What others found, in short.</p></section>"),
+    ('<div id="social-policy"><p>', "</p><p>A paragraph on policy, and on more.</p></div>"), ('<p class="alert">', "</p>"),
+    ('<div class="article-header"><h1>', "</h1><p>The lead of the article, with a few words more.</p></div>"),
+])
+def test_names_that_are_slugs(opened, closed):
+    part = f"{opened}Its title{closed}"
+    page = f"<body><nav><a href=x>Menu, here.</a></nav><article>{part}{BODY}</article></body>"
+    assert html_extract.main_text(page) == "\n".join([t for t in re.split("<.*?>", part) if t] + [TEXT])
+
+
+@pytest.mark.parametrize("number", [1, 10, 100, 1000])
+def test_comments_are_never_content(number):
+    said = "<p>Great article, thanks a lot, really. I liked it, it is good, and long, and so on.</p>" * number
+    for comments in (f'<div class="comments">{said}</div>', f'<ul><li class="comment">{said}</li></ul>', f'<section id="comments">{said}</section>'):
+        assert html_extract.main_text(f'<body><div class="text">{BODY}</div>{comments}</body>') == TEXT
+    assert html_extract.main_text(f'<body><div class="comments">{said}</div></body>') == ""
+
+
+def test_names_borne_out():
+    links = "<a href=x>One page</a> <a href=y>Another page</a>"
+    for name in ("menu", "related-stories", "social", "site-footer"):
+        assert html_extract.main_text(f'<body><div class="text">{BODY}</div><div class="{name}">{links}</div></body>') == TEXT
+    assert html_extract.main_text(f'<body><div class="overlay"><div class="text">{BODY}</div></div><p>Foot.</p></body>').startswith(TEXT)
+
+
 def test_content_in_several_parts():
     first, second = ("".join(f"<p>{kind} part number {n}, with some words. And more, of them.</p>" for n in range(k)) for kind, k in (("First", 4), ("Other", 6)))
     want = [re.sub("<.*?>", "", p) for p in (first + second).split("</p>")[:-1]]
