@@ -19,7 +19,7 @@ from .secret_scan import find_secrets, spans_text
 from .simhash_dedup import simhash_components
 from .substring_dedup import drop_repeats
 from .topk_search import top_products
-from .winnowing import compare_with_next, fingerprint_text
+from .winnowing import CHARACTERS, compare_with_next, fingerprint_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,7 +53,7 @@ def op2(spark, documents, folder):
 
 @table_query("op3_document_fingerprints", "documents")
 def op3(spark, documents, folder):
-    found = compare_with_next(documents)
+    found = compare_with_next(documents, k=CHARACTERS, unit="characters")
     return found.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint_text("fp").alias("fingerprint"),
         fingerprint_text("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",

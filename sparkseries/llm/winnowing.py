@@ -1,8 +1,8 @@
 """Document fingerprints by winnowing, with DataFrame functions only.
 
-K-grams are of words. Each window of `window` k-grams gives up its smallest hash, the rightmost of equal ones, together with its
-place. A run of window + k - 1 words that two texts share therefore leaves a common hash in both fingerprints, and a run of
-fewer than k words leaves none.
+K-grams are of words or of code points, as `unit` says. Each window of `window` k-grams gives up its smallest hash, the rightmost of
+equal ones, together with its place. A run of window + k - 1 words (code points) that two texts share therefore leaves a common hash in
+both fingerprints, and a run of fewer than k leaves none.
 """
 
 from __future__ import annotations
@@ -14,27 +14,24 @@ from pyspark.sql import functions as F
 
 KGRAM = 3
 WINDOW = 8
+#: Code points in a k-gram of these.
+CHARACTERS = 8
+#: The polynomial over a k-gram: its value at BASE modulo a prime, so that products fit in 63 bits.
+PRIME = (1 << 31) - 1
+BASE = 0x2545F491
 #: A hash and its place share 63 bits; the place counts down from here, so that of equal hashes the rightmost is the smallest number.
 LAST_PLACE = (1 << 31) - 1
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
-def with_fingerprint(df: DataFrame, text_col: str, out: str, k: int = KGRAM, window: int = WINDOW) -> DataFrame:
+def with_fingerprint(df: DataFrame, text_col: str, out: str, k: int = KGRAM, window: int = WINDOW, unit: str = "words") -> DataFrame:
     """The rows with `out`: the chosen k-grams of a text by place, each as one number; see `hashes` and `places`.
 
-    A text of fewer than k words is one k-gram, a text without words has none; fewer k-grams than a window holds are one window. Each step is a
+    A text of fewer than k units is one k-gram, a text without any has none; fewer k-grams than a window holds are one window. Each step is a
     column of its own, because a later step reads it more than once.
     """
-    words, grams = f"{out}_words", f"{out}_grams"
-    df = df.withColumn(words, F.transform(F.filter(F.split(text_col, SPACES), lambda w: w != ""), lambda w: F.xxhash64(w)))
-    number = F.greatest(F.size(words) - (k - 1), F.least(F.size(words), F.lit(1)))
-
-    def packed(h: Column, place: Column) -> Column:
-        # The hash rolls on by a word from place to place; words beyond the end are null, which the hash skips.
-        gram = F.xxhash64(h, *[F.get(F.col(words), place + step) for step in range(1, k)])
-        return F.shiftleft(gram.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), 31).bitwiseOR(F.lit(LAST_PLACE).cast("long") - place)
-
-    df = df.withColumn(grams, F.slice(F.transform(F.col(words), packed), F.lit(1), number)).drop(words)
+    grams = f"{out}_grams"
+    df = {"words": _word_grams, "characters": _character_grams}[unit](df, text_col, grams, k)
     df = df.withColumn(out, F.col(grams))
     span = 1
     while span < window:
@@ -47,13 +44,64 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str, k: int = KGRAM, win
     return df.withColumn(out, F.array_distinct(F.slice(out, F.lit(1), full))).drop(grams)
 
 
+def _packed(gram: Column, place: Column) -> Column:
+    return F.shiftleft(gram, 31).bitwiseOR(F.lit(LAST_PLACE).cast("long") - place)
+
+
+def _word_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFrame:
+    """The rows with the packed k-grams of the words of a text."""
+    words = f"{grams}_words"
+    df = df.withColumn(words, F.transform(F.filter(F.split(text_col, SPACES), lambda w: w != ""), lambda w: F.xxhash64(w)))
+    number = F.greatest(F.size(words) - (k - 1), F.least(F.size(words), F.lit(1)))
+
+    def packed(h: Column, place: Column) -> Column:
+        # Words beyond the end are null, which the hash skips.
+        gram = F.xxhash64(h, *[F.get(F.col(words), place + step) for step in range(1, k)])
+        return _packed(gram.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), place)
+
+    return df.withColumn(grams, F.slice(F.transform(F.col(words), packed), F.lit(1), number)).drop(words)
+
+
+def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFrame:
+    """The rows with the packed k-grams of the code points of a text.
+
+    The polynomials of all places are put together from those of half as many code points, so a place costs log2(k) steps; a
+    hash that rolls on from place to place would need an array that grows by copies.
+    """
+    n = F.length(text_col)
+    number = F.greatest(n - (k - 1), F.least(n, F.lit(1)))
+    part = f"{grams}_1"
+    codes = F.transform(F.split(text_col, ""), lambda c: F.xxhash64(c).bitwiseAND(F.lit(0x3FFFFFFF).cast("long")) + 1)
+    df, made, spans = df.withColumn(part, codes), [part], {1: part}
+
+    def joined(left: str, right: str, a: int, b: int) -> Column:
+        """The polynomials of a + b code points from those of the first a and the next b; beyond the end they are 0."""
+        later = F.slice(right, a + 1, F.greatest(F.size(right) - a, F.lit(0)))
+        power = F.lit(pow(BASE, b, PRIME)).cast("long")
+        return F.zip_with(F.col(left), later, lambda x, y: (x * power + F.coalesce(y, F.lit(0).cast("long"))) % F.lit(PRIME).cast("long"))
+
+    span = 1
+    while span * 2 <= k:
+        spans[span * 2] = f"{grams}_{span * 2}"
+        df = df.withColumn(spans[span * 2], joined(spans[span], spans[span], span, span))
+        made.append(spans[span * 2])
+        span *= 2
+    whole, rest = spans[span], span
+    for size in sorted((s for s in spans if k & s and s != span), reverse=True):
+        name = f"{grams}_{rest + size}"
+        df = df.withColumn(name, joined(whole, spans[size], rest, size))
+        made.append(name)
+        whole, rest = name, rest + size
+    return df.withColumn(grams, F.slice(F.transform(F.col(whole), _packed), F.lit(1), number)).drop(*made)
+
+
 def hashes(fingerprint: Column | str) -> Column:
     """The distinct hashes of a fingerprint."""
     return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(x, 31)))
 
 
 def places(fingerprint: Column | str) -> Column:
-    """The places of a fingerprint's k-grams, counted in words."""
+    """The places of a fingerprint's k-grams, counted in words or code points."""
     return F.transform(fingerprint, lambda x: F.lit(LAST_PLACE).cast("long") - x.bitwiseAND(F.lit(LAST_PLACE).cast("long")))
 
 
@@ -114,16 +162,20 @@ def with_next(df: DataFrame, id_col: str, add, *columns: str) -> DataFrame:
     return following.where(~F.col("guest")).drop("guest", "range")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = KGRAM, window: int = WINDOW) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = KGRAM, window: int = WINDOW, unit: str = "words"
+) -> DataFrame:
     """(doc_id, text, fp) for every row: the fingerprint of the whole text; a null text counts as empty."""
-    return with_fingerprint(_texts(docs, id_col, text_col), "text", "fp", k, window)
+    return with_fingerprint(_texts(docs, id_col, text_col), "text", "fp", k, window, unit)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
-def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = KGRAM, window: int = WINDOW) -> DataFrame:
+def compare_with_next(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = KGRAM, window: int = WINDOW, unit: str = "words"
+) -> DataFrame:
     """(doc_id, n_chars, edited, fp, edited_fp, near_edited, near_next) for every row.
 
     `edited` is the text with its last half (rounded down, in code points) replaced by as many from the start of the next
@@ -131,12 +183,12 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     single row follows itself, an empty table gives an empty result.
     """
     texts = _texts(docs, id_col, text_col)
-    rows = with_next(texts, "doc_id", lambda dealt: with_fingerprint(dealt, "text", "fp", k, window), "text", "fp")
+    rows = with_next(texts, "doc_id", lambda dealt: with_fingerprint(dealt, "text", "fp", k, window, unit), "text", "fp")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = with_likeness(rows, "fp", "next_fp", "near_next").select(
         "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next"
     )
-    rows = with_fingerprint(rows, "edited", "edited_fp", k, window)
+    rows = with_fingerprint(rows, "edited", "edited_fp", k, window, unit)
     return with_likeness(rows, "fp", "edited_fp", "near_edited")

@@ -197,6 +197,38 @@ def test_shared_run_is_always_found(documents, words):
     assert set.intersection(*sets)
 
 
+@pytest.mark.parametrize("k", [1, 8, 11])
+def test_characters(documents, words, k):
+    texts = ["", "a", "ab", "1234567", "12345678", "é𝒳 \n\tx" * 5, " ".join(words(60)), "漢字" * 20, "".join(words(20))]
+    docs = documents([*enumerate(texts), (99, None)])
+    got = {r["doc_id"]: r["f"] for r in winnowing.fingerprints(docs, k=k, unit="characters").select("doc_id", winnowing.fingerprint_text("fp").alias("f")).collect()}
+
+    def by_hand(text):
+        codes = [(xxhash.xxh64_intdigest(c.encode(), 42) & 0x3FFFFFFF) + 1 for c in text] + [0] * k
+        grams = []
+        for at in range(max(len(text) - k + 1, min(len(text), 1))):
+            h = 0
+            for code in codes[at : at + k]:
+                h = (h * winnowing.BASE + code) % winnowing.PRIME
+            grams.append(h)
+        chosen = {}
+        for at in range(max(len(grams) - 7, min(len(grams), 1))):
+            part = grams[at : at + 8]
+            chosen.setdefault(at + max(i for i, h in enumerate(part) if h == min(part)), min(part))
+        return " ".join(f"{h:x}@{p}" for p, h in chosen.items())
+
+    assert got == {**{i: by_hand(t) for i, t in enumerate(texts)}, 99: ""}
+
+
+def test_short_and_unspaced_texts_are_like_their_edits(spark, documents, words, tmp_path):
+    from sparkseries.llm import queries
+
+    texts = [" ".join(words(8, longest=9)) for _ in range(5)] + ["".join(chr(0x4E00 + 37 * (n * i + n) % 5000) for n in range(60)) for i in range(5)] + ["".join(words(20))]
+    documents(list(enumerate(t.ljust(30, "~") for t in texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.QUERIES["op3_document_fingerprints"](spark, str(tmp_path)).collect()
+    assert len(found) == len(texts) and all(r["near_edited"] > 0 for r in found)
+
+
 def test_places(documents):
     row = winnowing.fingerprints(documents([(1, "a b c")])).select(winnowing.places("fp").alias("p")).first()
     assert row["p"] == [0]
