@@ -237,13 +237,18 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, whose text has a language; null texts and texts without a letter go."""
+    """The rows of `docs`, with all their columns, whose text has a language; null texts and texts without a letter go.
+
+    A text with a letter stays if nothing was learned too, or if its language was learned as `und`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for batch in batches:
-            langs = identified(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), model, letters)[0]
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            langs = identified(texts, model, letters)[0] if model is not None else [UNKNOWN] * len(texts)
+            known = [lang != UNKNOWN or ngram_counts(text or "", letters) is not None for lang, text in zip(langs, texts, strict=True)]
+            yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

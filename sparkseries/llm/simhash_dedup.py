@@ -8,8 +8,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import id_and_text, kept, text_slices, utf8
 from .components import connected_components
@@ -144,23 +145,49 @@ def simhash_components(
     like others; repeated rows stay repeated; a null doc_id takes part but names no component unless all its ids are
     null (then null); an empty table gives an empty result.
     """
+    return _with_components(docs, id_col, text_col, shingle, most_bits).select("doc_id", "fp", "component_id")
+
+
+def _with_components(docs: DataFrame, id_col: str, text_col: str, shingle: int, most_bits: int) -> DataFrame:
+    """The rows of `simhash_components` with `component`, which also tells components apart that share their smallest id."""
     prints = kept(fingerprints(docs, id_col, text_col, shingle))
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     joined = connected_components(links(distinct.select("fp"), most_bits)).withColumnRenamed("node", "fp")
     labelled = distinct.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = labelled.select("fp", "component").join(smallest, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = labelled.select("fp", "component").join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def _rows_with_prints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(row, _fp): the rows of `docs` as structs, and the fingerprints of their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            values = np.array([simhash(text, shingle) for text in utf8(part.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(values.view(np.int64))], ["row", "_fp"])
+
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return rows.mapInArrow(run, T.StructType([T.StructField("row", docs.schema), T.StructField("_fp", T.LongType())]))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most_bits: int = 2) -> DataFrame:
     """The rows of `docs`, with all their columns, that stand for their component: one for each, that with the smallest id.
 
-    Rows with a null id cannot be told apart and all stay.
+    Of rows with that id in the component the one with the smallest text stays, nulls first, then the first by its other columns; an id
+    that several rows share may so stand for several components. Rows with a null id cannot be told apart and all stay.
     """
-    found = simhash_components(docs, id_col, text_col, shingle, most_bits)
-    chosen = kept(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    staying = docs.join(chosen.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
-    if chosen.where(F.col("n") > 1).head(1):
-        staying = staying.dropDuplicates([id_col])
+    found = _with_components(docs, id_col, text_col, shingle, most_bits)
+    stands = F.col("doc_id") == F.col("component_id")
+    ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    chosen = kept(ids.agg(F.count(F.when(stands, 1)).alias("n"), F.count(F.lit(1)).alias("rows")).where(F.col("n") > 0))
+    own = chosen.select(F.col("doc_id").alias(id_col), "rows")
+    staying = docs.join(own.where(F.col("rows") == 1).drop("rows"), id_col, "left_semi")
+    if chosen.where(F.col("rows") > 1).head(1):
+        shared = _rows_with_prints(docs.join(own.where(F.col("rows") > 1).drop("rows"), id_col, "left_semi"), text_col, shingle)
+        standing = found.where(stands).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "component").distinct()
+        shared = shared.withColumn("_id", F.col("row")[id_col].cast("long")).join(standing, ["_id", "_fp"])
+        order = Window.partitionBy("component").orderBy(F.asc_nulls_first(F.col("row")[text_col]), F.to_json("row"))
+        one = shared.withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1)
+        staying = staying.unionByName(one.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
     return staying.unionByName(docs.where(docs[id_col].isNull()))

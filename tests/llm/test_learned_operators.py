@@ -181,6 +181,17 @@ def test_without_languages(documents):
     assert {(r["lang_pred"], r["score"]) for r in only.collect()} == {("en", 1.0)}
 
 
+def test_texts_stay_without_a_model(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    held = next(n for n in range(99) if zlib.crc32(str(n).encode()) % 4 == 2)
+    rows = [(held, "a text", "en"), (held, "12 34", "en"), (held, None, "en"), (None, "another", None), (None, "", None)]
+    kept = corpus_pipeline.identify_language(spark, documents(rows), str(tmp_path)).collect()
+    assert sorted(r["text"] for r in kept) == ["a text", "another"]
+    kept = corpus_pipeline.identify_language(spark, documents([(n, "some text", "und") for n in range(9)]), str(tmp_path))
+    assert kept.count() == 9
+
+
 def test_counts_do_not_depend_on_stretches(words, monkeypatch):
     text, letters = "!! ".join(words(80)) + " Ñandú 𝒳", language_id.Letters()
     whole = language_id.ngram_counts(text, letters)

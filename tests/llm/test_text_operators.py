@@ -366,6 +366,16 @@ def test_simhash_table(documents, words):
     assert simhash_dedup.simhash_components(documents([])).count() == 0
 
 
+def test_one_of_each_with_shared_ids(documents, words):
+    a, b, c, d = (" ".join(words(60)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, c), (5, c), (5, d), (5, d), (6, None), (6, "one"), (6, "ONE"), (None, a)]
+    for _again in range(2):
+        kept = simhash_dedup.keep_one_of_each(documents(rows))
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+        assert got == sorted([(1, a), (1, b), (4, c), (5, d), (6, None), (6, "ONE"), (None, a)], key=repr)
+        rows = rows[::-1]
+
+
 @pytest.mark.parametrize("size", [5, 30, 700])
 def test_links_join_what_is_near(spark, size):
     rng = np.random.default_rng(size)
