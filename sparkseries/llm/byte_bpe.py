@@ -85,7 +85,7 @@ class Prefixes(dict):
     """For each byte prefix seen so far the ids of its encoding, as little-endian 32-bit numbers, and its last token.
 
     The last token of a prefix is the one token at its end that may follow the encoding of what stands before. A prefix is computed once,
-    so bytes appended to a known one cost only themselves, and an edit costs the prefixes that reach into it.
+    so bytes appended to a known one cost only themselves; for edits see `PrefixEncoding.replace`.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -129,24 +129,40 @@ class PrefixEncoding:
     def append(self, more: bytes) -> PrefixEncoding:
         """Adds bytes at the end; what is stored for the bytes before stays as it is."""
         start, self.data = len(self.data), self.data + more
+        for end in range(start + 1, len(self.data) + 1):
+            self.last.append(self._last(end))
+        return self
+
+    def _last(self, end: int) -> int:
+        """The length of the last token of the prefix that ends at `end`; all shorter prefixes are known."""
         data, last = self.data, self.last
         ranks, longest, beside = self.vocabulary.ranks, self.vocabulary.longest, self.vocabulary.beside
-        for end in range(start + 1, len(data) + 1):
-            for at in range(max(0, end - longest[data[end - 1]]), end):
-                token = data[at:end]
-                if token in ranks and (at == 0 or beside(data[at - last[at] : at], token)):
-                    last.append(end - at)
-                    break
-            else:
-                raise ValueError(f"no token ends with byte {data[end - 1]}")
-        return self
+        for at in range(max(0, end - longest[data[end - 1]]), end):
+            token = data[at:end]
+            if token in ranks and (at == 0 or beside(data[at - last[at] : at], token)):
+                return end - at
+        raise ValueError(f"no token ends with byte {data[end - 1]}")
 
     def replace(self, start: int, end: int, new: bytes) -> PrefixEncoding:
-        """The bytes from `start` to `end` replaced; prefixes up to `start` are kept."""
-        rest = new + self.data[end:]
-        self.data = self.data[:start]
-        del self.last[start + 1 :]
-        return self.append(rest)
+        """The bytes from `start` to `end` replaced; prefixes up to `start` are kept.
+
+        The last token of a prefix follows from its last bytes, as many as the longest token has, and the last tokens of the prefixes that
+        end before these. So once old and new agree for as many prefixes in a row, and the tokens there lie behind the edit, they agree to the end.
+        """
+        old = self.last
+        self.data = self.data[:start] + new + self.data[end:]
+        self.last = last = old[: start + 1]
+        moved, need, same = end - start - len(new), max(self.vocabulary.longest), 0
+        changed = start + len(new)
+        for place in range(start + 1, len(self.data) + 1):
+            last.append(self._last(place))
+            # A token before the edit has other bytes although it may be as long.
+            behind = place - last[place] >= changed
+            same = same + 1 if behind and old[place + moved] == last[place] else 0
+            if same >= need:
+                last.extend(old[place + moved + 1 :])
+                break
+        return self
 
     def tokens(self) -> list[int]:
         found, at = [], len(self.data)

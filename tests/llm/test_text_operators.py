@@ -310,6 +310,27 @@ def test_prefix_encoding(reference_encoding):
         assert found.tokens() == reference_encoding._encode_single_piece(data[:start] + b"xyz the" + data[end:])
 
 
+def test_edits_cost_little(reference_encoding, monkeypatch):
+    vocabulary = byte_bpe.Vocabulary(byte_bpe.read_ranks(RANKS))
+    rng = np.random.default_rng(3)
+    data = bytes(rng.choice(list(b"the andingof\xc3\xa9\n"), 6000))
+    found, taken = byte_bpe.PrefixEncoding(vocabulary, data), []
+    inner = byte_bpe.PrefixEncoding._last
+    monkeypatch.setattr(byte_bpe.PrefixEncoding, "_last", lambda self, end: taken.append(end) or inner(self, end))
+    for start, end, new in [(5, 9, b"xyz the"), (0, 3, b""), (0, 0, b"a"), (2000, 2001, b"and"), (5990, 5995, b"of"), (3000, 3000, b" in"), (10, 40, b"")]:
+        taken.clear()
+        data = data[:start] + new + data[end:]
+        assert found.replace(start, end, new).tokens() == reference_encoding._encode_single_piece(data) and found.data == data
+        assert len(found.last) == len(data) + 1 and len(taken) < 1000
+    for trial in range(60):
+        data = b"ab" * 300 if trial % 2 else data
+        found = byte_bpe.PrefixEncoding(vocabulary, data)
+        start, end = sorted(rng.integers(0, len(data), 2).tolist())
+        new = bytes(rng.choice(list(b"ab"), rng.integers(0, 4)))
+        data = data[:start] + new + data[end:]
+        assert found.replace(start, end, new).tokens() == reference_encoding._encode_single_piece(data)
+
+
 def test_bpe_table(documents, words, reference_encoding):
     rng = np.random.default_rng(4)
     signs = list("aabcde é  　\n\n\t'sll'12ß漢字𝒳.,!-\x1c\x85")
