@@ -46,6 +46,28 @@ def op1(spark, documents, folder):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE["op1_substring_dedup"] = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), g AS (
+    SELECT r, doc_id, p, array_to_string(w[p:p + 49], ' ') AS passage
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE doc_id IS NOT NULL AND len(w) >= 50)
+), f AS (
+    SELECT passage, min(doc_id) AS least FROM g GROUP BY passage
+), gone AS (
+    SELECT DISTINCT r, unnest(range(p, p + 50)) AS i FROM g JOIN f USING (passage) WHERE least < doc_id
+), words AS (
+    SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), k AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
 @table_query("op2_best_fit_packing", "documents")
 def op2(spark, documents, folder):
     return pack(documents, public_tokenizers.path("byte_bpe_50k.json"))

@@ -1,6 +1,7 @@
 """Operators over texts against plain Python, with nulls, empty and long texts, ties, repeated rows and empty tables."""
 
 import base64
+import hashlib
 import re
 import zlib
 
@@ -412,3 +413,38 @@ def test_links_join_what_is_near(spark, size):
     roots = components_by_hand(prints)
     assert [found.get(p, p) for p in prints] == [prints[r] for r in roots]
     assert links.count() <= 28 * size
+
+
+# --- The registered queries, with their digests
+
+
+def test_registered_queries_by_hand(spark, documents, words, reference_encoding, tmp_path):
+    import duckdb
+
+    from sparkseries.llm import queries
+
+    rows = repeat_rows(words) + [(200 + n, t) for n, t in enumerate(SECRETS)]
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+
+    def query(name):
+        return sorted((tuple(r) for r in queries.QUERIES[name](spark, str(tmp_path)).collect()), key=repr)
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    found = query("op1_substring_dedup")
+    assert found == sorted(((i, n, gone, digest(kept)) for i, kept, n, gone in repeats_by_hand(rows)), key=repr)
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert found == sorted(duckdb.sql(queries.ORACLE["op1_substring_dedup"]).fetchall(), key=repr)
+
+    spans = {(i, digest(",".join(f"{k}:{a}:{b}" for k, a, b in scan_by_hand(t or "")))) for i, t in rows}
+    assert {(r[0], r[5]) for r in query("op4_secret_scan")} == spans
+
+    ids = [(i, reference_encoding.encode_ordinary(t or ""), t or "") for i, t in rows]
+    assert query("op5_byte_bpe") == sorted(((i, len(x), digest(",".join(map(str, x))), digest(t)) for i, x, t in ids), key=repr)
+
+    prints = [simhash_by_hand(t) for _i, t in rows]
+    roots = components_by_hand(prints)
+    least = {r: min((i for (i, _t), root in zip(rows, roots, strict=True) if root == r and i is not None), default=None) for r in roots}
+    want = [(i, f"{p:016x}", least[r]) for (i, _t), p, r in zip(rows, prints, roots, strict=True)]
+    assert query("op10_simhash_dedup") == sorted(want, key=repr)
