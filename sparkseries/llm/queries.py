@@ -13,10 +13,13 @@ from .byte_bpe import decode, encode
 from .common import session_of
 from .html_extract import extract_pages
 from .language_id import identify
+from .lexical_search import search_documents
 from .packing import pack
 from .quality import score_quality
 from .secret_scan import find_secrets, spans_text
+from .sharding import shard_digests
 from .simhash_dedup import simhash_components
+from .spelling import spelling_groups
 from .substring_dedup import drop_repeats
 from .topk_search import top_products
 from .winnowing import CHARACTERS, compare_with_next, fingerprint_text
@@ -146,3 +149,49 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def op10(spark, documents, folder):
     found = simhash_components(documents, shingle=3, most_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@table_query("op11_sharding", "documents")
+def op11(spark, documents, folder):
+    placed = shard_digests(documents, shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@table_query("op12_spelling_variants", "documents")
+def op12(spark, documents, folder):
+    return spelling_groups(documents, drop_every=97)
+
+
+@table_query("op13_lexical_search", "documents")
+def op13(spark, documents, folder):
+    return search_documents(documents, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+ORACLE["op13_lexical_search"] = """
+WITH terms AS (SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS pattern),
+d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), (SELECT pattern FROM terms)) AS t FROM documents
+), i AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), (SELECT pattern FROM terms)) AS t FROM benchmark
+), asked AS (
+    SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(t) AS term FROM i) GROUP BY ALL
+), p AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term
+), s AS (
+    SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0
+), w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+), scored AS (
+    SELECT item, item_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(t) * n) // l)))) AS BIGINT) AS score
+    FROM asked JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), s GROUP BY item, item_id, r
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM scored JOIN d USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
