@@ -226,7 +226,8 @@ def visit_owner(bundles: DataFrame, postings: DataFrame, asked: Asked, stage: in
 
 
 def best_of_partitions(bundles: DataFrame, best: int) -> DataFrame:
-    """(place, doc_id, score): for each item the best documents of each partition of the bundles, equal scores by ascending id, null ids last."""
+    """(place, at, doc_id, score): for each item the best documents of each partition of the bundles, from `at` 0 on; equal scores by ascending id,
+    null ids last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -244,23 +245,15 @@ def best_of_partitions(bundles: DataFrame, best: int) -> DataFrame:
                     order = np.lexsort((own[2], own[1], -own[0]))[:best]
                     held[item] = tuple(c[order] for c in own)
         for item, (scores, nameless, ids) in held.items():
-            columns = [pa.array(np.full(len(ids), item, np.int64)), pa.array(ids, pa.int64(), mask=nameless), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "doc_id", "score"])
+            columns = [pa.array(np.full(len(ids), item, np.int64)), pa.array(np.arange(len(ids)), pa.int32()), pa.array(ids, pa.int64(), mask=nameless)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], ["place", "at", "doc_id", "score"])
 
-    return bundles.select("items", "docs", "scores", "doc_ids").mapInArrow(run, "place LONG, doc_id LONG, score LONG")
+    return bundles.select("items", "docs", "scores", "doc_ids").mapInArrow(run, "place LONG, at INT, doc_id LONG, score LONG")
 
 
 def surely_reached(bundles: DataFrame, best: int) -> dict[int, int]:
     """For each item the largest score that its last place in the result is known to reach: the last of the best of some partition."""
-    rows = best_of_partitions(bundles, best)
-
-    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # An item's best of a partition are one batch.
-        for batch in batches:
-            if batch.num_rows == best:
-                yield pa.RecordBatch.from_arrays([batch.column("place").slice(0, 1), batch.column("score").slice(best - 1, 1)], ["place", "score"])
-
-    ends = rows.mapInArrow(last, "place LONG, score LONG")
+    ends = best_of_partitions(bundles, best).where(F.col("at") == best - 1)
     return {r["place"]: r["score"] for r in ends.groupBy("place").agg(F.max("score").alias("score")).collect()}
 
 
@@ -304,7 +297,6 @@ def search_documents(
     are ordered by id, null ids last. Empty tables give an empty result; other columns are not looked at. The items' texts are
     held in tasks about `batch_bytes` at a time, with a pass over the documents for each batch; nothing else that tasks hold grows with the input.
     """
-    spark = docs.sparkSession
     rows = items.select(items[item_id_col].alias("item_id"), F.coalesce(items[item_text_col], F.lit("")).alias("text"))
     rows = kept(rows.withColumn("item", F.monotonically_increasing_id()))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -317,7 +309,8 @@ def search_documents(
         if candidates is not None:
             found.append(candidates)
     if not found:
-        return spark.createDataFrame([], rows.select("item_id").schema.add("rank", "int").add("doc_id", "long").add("score", "long"))
+        none = rows.select("item_id", *[F.lit(None).cast(k).alias(c) for c, k in (("rank", "int"), ("doc_id", "bigint"), ("score", "bigint"))])
+        return none.limit(0)
     every = found[0]
     for more in found[1:]:
         every = every.unionAll(more)

@@ -112,7 +112,7 @@ def numbered(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     for number in range(max(counts, default=-1) + 1):
         firsts.append(before)
         before += counts.get(number, 0)
-    first = F.get(F.split(F.lit(",".join(map(str, firsts))), ",").cast("array<long>"), part.cast("int"))
+    first = F.get(F.split(F.lit(",".join(map(str, firsts or [0]))), ",").cast("array<long>"), part.cast("int"))
     inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
     return placed.withColumn("number", first + inside).drop("_at"), before
 
