@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import decimal_comma, exact_avg, exact_sum, price_number
 from ..functions.payload import table_rows, unnest
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from .project import keep_listed
 from .snapshot import first_per_group
 
@@ -175,45 +176,150 @@ def fill_unfinished(current: DataFrame, unfinished: DataFrame, audits: DataFrame
     return current.unionByName(late.select(*current.columns))
 
 
+#: Walks of at most so many steps are taken step by step; longer ones over a contracted chain.
+FEW_STEPS = 16
+#: A payload is drawn for contraction with this chance, in each round anew. Contraction ends at this share of the links or so few links that
+#: rounds cost more than they spare, or when a round takes out less than the least share.
+DRAWN, CONTRACTED_TO, FEW_LINKS, LEAST_SHARE = 0.4, 1 / 64, 10_000, 0.04
+
+
 def walk_chains(links: DataFrame, starts: DataFrame, bound: int = 0, include_root: bool = False) -> DataFrame:
     """Follow `prev_cid` from every start payload, one round lower per step, down to round `bound`.
 
     `links` has (cid, prev_cid), `starts` has (cid, round). The result has (start, round, cid). A walk ends at a
     payload without a link (kept only with `include_root`), at an unknown payload, or below the bound, which also
-    ends cycles. Distances are doubled: after n joins all payloads within 2^n steps are reached, for all starts at
-    once, so a long chain needs few jobs, and none beyond the longest distance that the rounds allow. Each step is one checkpoint, which
-    cuts the lineage and holds both the payloads reached and the links of twice the length. A payload stored more than once counts
-    once; of several links of one payload the least is followed.
+    ends cycles. A payload stored more than once counts once; of several links of one payload the least is followed.
+
+    Few steps are joins with the same links, which are shuffled once for all of them. Long walks are list ranking: payloads
+    between the starts are spliced out in rounds, the few links that stay are walked, and then every round's splices are put back, so
+    the work is in proportion to the links and the rows of the result, whatever the distance.
     """
-    ensure_checkpoint_dir(links.sparkSession)
-    known = links.groupBy("cid").agg(F.min("prev_cid").alias("prev_cid"))
-    linked = known.where(F.col("prev_cid").isNotNull())
-    reached = starts.select(F.col("cid").alias("start"), F.col("round"), "cid").where(F.col("round") >= bound).distinct()
-    farthest = (reached.agg(F.max("round")).first()[0] or bound) - bound
-    jumps = linked.select(F.col("cid").alias("src"), F.col("prev_cid").alias("dst"))
-    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    begins = starts.where(F.col("round") >= bound).select(F.col("cid").alias("start"), "round", F.col("cid").alias("src")).distinct()
+    farthest = (begins.agg(F.max("round")).first()[0] or bound) - bound
+    if farthest < FEW_STEPS:
+        return _step_by_step(_first_links(links, include_root), begins, farthest, bound)
+    return _ranked(links, starts, begins, bound, include_root, farthest)
+
+
+def _first_links(links: DataFrame, include_root: bool) -> DataFrame:
+    """(src, dst): one link of each payload, the least; with `include_root` a root has a link to nowhere."""
+    known = links.groupBy(F.col("cid").alias("src")).agg(F.min("prev_cid").alias("dst")).where(F.col("src").isNotNull())
+    return known if include_root else known.where(F.col("dst").isNotNull())
+
+
+def _step_by_step(linked: DataFrame, begins: DataFrame, farthest: int, bound: int) -> DataFrame:
+    """All walks at once, a join per step; a row carries its walk so far, at most as long as there are steps.
+
+    Walks that have ended have no next payload; the hash beside it in the join keeps them from meeting in one task.
+    """
+    found = linked.withColumn("_hash", F.xxhash64("src"))
+    walks = begins.join(linked, "src").select("start", "round", F.array("src").alias("walk"), F.col("dst").alias("next"))
+    for number in range(1, farthest + 1):
+        onward = F.when(F.col("round") - number >= bound, F.col("next"))
+        walks = walks.select("start", "round", "walk", onward.alias("next")).withColumn(
+            "_hash", F.coalesce(F.when(F.col("next").isNotNull(), F.xxhash64("next")), F.xxhash64("start", "round"))
+        )
+        met = walks.join(found, (walks["_hash"] == found["_hash"]) & (walks["next"] == found["src"]), "left")
+        walks = met.select("start", "round", F.when(F.col("src").isNull(), F.col("walk")).otherwise(F.array_append("walk", F.col("src"))).alias("walk"), F.col("dst").alias("next"))
+    return walks.select("start", "round", F.posexplode("walk").alias("at", "cid")).select("start", (F.col("round") - F.col("at")).alias("round"), "cid")
+
+
+def _heads(cid: Column, turn: int) -> Column:
+    """Whether a payload is drawn in a round; a payload that is nowhere is not."""
+    return F.coalesce(F.pmod(F.xxhash64(cid, F.lit(turn)), F.lit(1000)) < int(DRAWN * 1000), F.lit(False))
+
+
+def _ranked(links: DataFrame, starts: DataFrame, begins: DataFrame, bound: int, include_root: bool, farthest: int) -> DataFrame:
+    named = starts.select("cid", F.lit(None).cast(links.schema["prev_cid"].dataType).alias("prev_cid"), F.lit(False).alias("stored"))
+    marked = links.select("cid", "prev_cid", F.lit(True).alias("stored")).unionAll(named).where(F.col("cid").isNotNull())
+    found = marked.groupBy(F.col("cid").alias("src")).agg(
+        F.min("prev_cid").alias("dst"), F.bool_or("stored").alias("stored"), F.bool_or(~F.col("stored")).alias("start")
+    )
+    chain = found.where("stored" if include_root else F.col("dst").isNotNull())
+    chain = chain.select("src", "dst", "start", F.lit(1).cast("bigint").alias("len"), F.lit(0).alias("level"))
+    parts = int(chain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turn = 0
+    splices: list[DataFrame] = []
+    chain = written(chain, "links")
+    size = left = chain.count()
+    while left > max(FEW_LINKS, size * CONTRACTED_TO):
+        turn += 1
+        seen = Observation()
+        # A union has the parts of both sides, and a broadcast join keeps them, so their number would double with each round.
+        step = _splice_out(chain, turn).coalesce(parts).observe(seen, F.count(F.when(~F.col("out"), 1)).alias("left"), F.count(F.when(F.col("out"), 1)).alias("out"))
+        step = written(step.where(~F.col("out")).drop("out"), "splices")
+        left, out = seen.get["left"], seen.get["out"]
+        splices.append(step.where(F.col("via").isNotNull()).select(
+            "src", "via", "src_len", "src_level", "via_level"
+        ))
+        chain = step.select("src", "dst", "start", "len", "level")
+        if out <= LEAST_SHARE * (left + out):
+            break
+    rows = _doubled(chain, begins, bound, farthest)
+    frames = [rows]
+    for level in range(len(splices), 0, -1):
+        mine = functools.reduce(DataFrame.unionAll, [f.where(F.col("level") == level) for f in frames]).coalesce(parts)
+        back = mine.drop("level").join(splices[level - 1], "src")
+        halves = F.inline(F.array(
+            F.struct("start", "round", "src", F.col("src_level").alias("level")),
+            F.struct("start", (F.col("round") - F.col("src_len")).alias("round"), F.col("via").alias("src"), F.col("via_level").alias("level")),
+        ))
+        frames.append(written(back.select(halves).where(F.col("round") >= bound), "walks"))
+    whole = [f.where(F.col("level") == 0).select("start", F.col("round").cast(begins.schema["round"].dataType).alias("round"), F.col("src").alias("cid")) for f in frames]
+    return functools.reduce(DataFrame.unionAll, whole)
+
+
+def _splice_out(chain: DataFrame, turn: int) -> DataFrame:
+    """One round: drawn payloads whose own link leads to one that is not drawn are `out`; links to them lead to where they led.
+
+    Both draws are known from a payload's own link, so only links to drawn payloads and the links taken out are shuffled.
+    """
+    none = {"via": F.lit(None).cast(chain.schema["src"].dataType), "src_len": F.lit(None).cast("bigint"), "via_len": F.lit(None).cast("bigint"),
+            "src_level": F.lit(None).cast("int"), "via_level": F.lit(None).cast("int")}
+    out = _heads(F.col("src"), turn) & ~_heads(F.col("dst"), turn) & ~F.col("start")
+    gone = chain.where(out)
+    resting = chain.where(out | ~_heads(F.col("dst"), turn)).withColumns({**none, "out": out})
+    taken = gone.select(F.col("src").alias("via"), F.col("dst").alias("far"), F.col("len").alias("via_len"), F.col("level").alias("via_level"))
+    moving = chain.where(_heads(F.col("dst"), turn)).join(taken, F.col("dst") == F.col("via"), "left")
+    passes = F.col("via").isNotNull()
+    moved = moving.select(
+        "src", F.when(passes, F.col("far")).otherwise(F.col("dst")).alias("dst"), "start",
+        F.when(passes, F.col("len") + F.col("via_len")).otherwise(F.col("len")).alias("len"),
+        F.when(passes, F.lit(turn)).otherwise(F.col("level")).alias("level"),
+        "via", F.when(passes, F.col("len")).alias("src_len"), "via_len", F.when(passes, F.col("level")).alias("src_level"), "via_level",
+        F.lit(False).alias("out"),
+    )
+    return resting.select(moved.columns).unionAll(moved)
+
+
+def _doubled(chain: DataFrame, begins: DataFrame, bound: int, farthest: int) -> DataFrame:
+    """(start, round, src, level): the links that walks pass, the distance doubled per step, one table each."""
+    parts = int(chain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reached = begins.select("start", F.col("round").cast("bigint").alias("round"), "src")
+    jumps = chain.where(F.col("dst").isNotNull()).select("src", "dst", "len")
     span = 1
     while span <= farthest:
         hops = (
-            reached.join(jumps, reached["cid"] == jumps["src"])
-            .select("start", (F.col("round") - span).alias("round"), F.col("dst").alias("cid"))
+            reached.join(jumps, "src")
+            .select("start", (F.col("round") - F.col("len")).alias("round"), F.col("dst").alias("src"))
             .where(F.col("round") >= bound)
         )
-        step = hops.select(F.lit(True).alias("hop"), *hops.columns)
+        step = hops.select(F.lit(True).alias("hop"), "start", "round", "src", F.lit(None).cast(jumps.schema["src"].dataType).alias("dst"))
         if 2 * span <= farthest:
-            far = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
-            longer = jumps.join(far, F.col("dst") == F.col("mid"))
-            step = step.unionAll(longer.select(F.lit(False), "src", F.lit(None).cast(hops.schema["round"].dataType), "far"))
+            far = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"), F.col("len").alias("more"))
+            longer = jumps.join(far, F.col("dst") == F.col("mid")).where(F.col("len") + F.col("more") <= farthest)
+            start = F.lit(None).cast(begins.schema["start"].dataType)
+            step = step.unionAll(longer.select(F.lit(False), start, F.col("len") + F.col("more"), "src", "far"))
         seen = Observation()
         # A broadcast join keeps the parts of its inputs, whose number would double with the distance.
-        step = step.coalesce(parts).observe(seen, F.count(F.when(F.col("hop"), 1)).alias("hops")).checkpoint()
+        step = step.coalesce(parts).observe(seen, F.count(F.when(F.col("hop"), 1)).alias("hops"))
+        step = written(step, "hops")
         if not seen.get["hops"]:
             break
-        reached = reached.unionAll(step.where("hop").drop("hop"))
-        jumps = step.where(~F.col("hop")).select(F.col("start").alias("src"), F.col("cid").alias("dst"))
+        reached = reached.unionAll(step.where("hop").select("start", "round", "src"))
+        jumps = step.where(~F.col("hop")).select("src", "dst", F.col("round").alias("len"))
         span *= 2
-    kept = known if include_root else linked
-    return reached.join(kept.select("cid"), "cid", "left_semi").select("start", "round", "cid")
+    return written(reached.join(chain.select("src", "level"), "src").select("start", "round", "src", "level"), "walks")
 
 
 def _draw(key: Column, seed: str) -> Column:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "sparkseries", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,3 +63,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to a scratch table and read back.
+
+    It cuts the lineage as a checkpoint does, and what the optimizer has inferred about the rows as well: loops that join a table with itself
+    gather so many constraints through checkpoints that planning takes longer with every step.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
