@@ -8,7 +8,9 @@ documents; what is left over and the small lengths are packed best-fit, the long
 
 from __future__ import annotations
 
+import logging
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -22,36 +24,78 @@ from pyspark.sql import functions as F
 from .chunks import chunks
 from .common import id_and_text, kept, text_slices, worker_state
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 2048
 #: Groups of large lengths, and the shares of the capacity above which a length is large: the best plan of them is taken.
 GROUPS = 96
 LARGE_SHARES = (2, 3, 4)
 MOST_ROUNDS = 3000
-#: Parts of texts a worker remembers; reaching it empties the memory between slices.
-MOST_REMEMBERED = 800_000
+#: Parts of texts a worker remembers: up to so many that came up lately, and as many from before.
+MOST_REMEMBERED = 400_000
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
 
-class Tokens(dict):
-    """Parts of texts and their ids as little-endian 32-bit numbers."""
+#: A word of Latin letters, which the tokenizer's splitting pattern leaves in one piece, and a mark behind it, which is a piece of its own.
+PLAIN_WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([.,;:!?]?)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else the next one from 256 on."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + number for number, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def byte_letters(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
+class Tokens:
+    """Parts of texts and their ids as little-endian 32-bit numbers.
+
+    Memory has two generations. A part found in the older one moves to the younger; when that is full it becomes the older one, so parts
+    that come up again and again stay and rare ones go.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text without special tokens; parts not seen before are encoded in one call."""
-        if len(self) > MOST_REMEMBERED:
-            self.clear()
+        """The ids of each text without special tokens.
+
+        Of the parts not remembered, plain words go to the tokenizer's model as the single pieces that they are, the others through the whole
+        tokenizer in one call.
+        """
+        if len(self.young) > MOST_REMEMBERED:
+            self.young, self.old = {}, self.young
         parts = [chunks(text) for text in texts]
-        fresh = list(set().union(*parts).difference(self))
+        missed = set().union(*parts).difference(self.young)
+        known = missed & self.old.keys()
+        for part in known:
+            self.young[part] = self.old[part]
+        fresh = []
+        for part in missed - known:
+            if found := PLAIN_WORD.fullmatch(part):
+                ids = [t.id for t in self.model.tokenize(byte_letters(found[1]))]
+                if found[2]:
+                    ids += [t.id for t in self.model.tokenize(found[2])]
+                self.young[part] = array("I", ids).tobytes()
+            else:
+                fresh.append(part)
         for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self[part] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.__getitem__, text)) for text in parts]
+            self.young[part] = array("I", found.ids).tobytes()
+        return [b"".join(map(self.young.__getitem__, text)) for text in parts]
 
 
 def cut(size: int, capacity: int) -> list[tuple[int, int]]:
@@ -130,7 +174,10 @@ def configurations(sizes: np.ndarray, members: np.ndarray, capacity: int) -> lis
     columns = [np.eye(n, dtype=int)[i] * (capacity // sizes[i]) for i in range(n)]
     inverse = np.diag(1.0 / np.array([c[i] for i, c in enumerate(columns)]))
     need = members.astype(float)
-    for _round in range(MOST_ROUNDS):
+    for number in range(MOST_ROUNDS + 1):
+        if number == MOST_ROUNDS:
+            log.warning("column generation stopped after %d rounds; the plan is valid, but may take more sequences", MOST_ROUNDS)
+            break
         prices = np.maximum(inverse.sum(axis=0), 0)
         value, column = best_configuration(prices, sizes, capacity)
         if value <= 1 + 1e-4:
