@@ -187,8 +187,39 @@ def compare_with_next(
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_likeness(rows, "fp", "next_fp", "near_next").select(
-        "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next"
-    )
-    rows = with_fingerprint(rows, "edited", "edited_fp", k, window, unit)
+    rows = with_likeness(rows, "fp", "next_fp", "near_next")
+    if unit != "characters":
+        rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next")
+        return with_likeness(with_fingerprint(rows, "edited", "edited_fp", k, window, unit), "fp", "edited_fp", "near_edited")
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next", (n - half).alias("cut"))
+    rows = _with_edited_fingerprint(rows, k, window)
     return with_likeness(rows, "fp", "edited_fp", "near_edited")
+
+
+def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
+    """The rows with `edited_fp`, where `edited` has the first `cut` code points of the text whose fingerprint is `fp`.
+
+    Windows that end before the cut are the text's own: what they chose is the start of its fingerprint. Only the rest is hashed.
+    """
+    # The first window with a code point behind the cut.
+    rows = rows.withColumn("own", F.greatest(F.col("cut") - (k - 1) - (window - 1), F.lit(0)))
+    rest = F.substring(F.col("edited"), F.col("own") + 1, F.length("edited"))
+    rows = rows.withColumn("rest", rest)
+    rows = with_fingerprint(rows, "rest", "rest_fp", k, window, "characters")
+
+    def first_window(x: Column, at: Column) -> Column:
+        """The window that is the first to choose an entry: when it comes in, if it is less than the one before, or when that goes out."""
+        before = F.get(F.col("fp"), at - 1)
+        comes_in = F.greatest(_place(x) - (window - 1), F.lit(0))
+        return F.when(before.isNull() | (x < before), comes_in).otherwise(_place(before) + 1)
+
+    kept = F.filter(F.col("fp"), lambda x, at: first_window(x, at) < F.col("own"))
+    shifted = F.transform("rest_fp", lambda x: x - F.col("own"))
+    # Where nothing follows the cut, all windows are the text's own.
+    nothing = (F.col("own") > 0) & (F.length("edited") == F.col("cut"))
+    found = F.when(nothing, kept).otherwise(F.array_distinct(F.concat(kept, shifted)))
+    return rows.withColumn("edited_fp", found).drop("own", "rest", "rest_fp", "cut")
+
+
+def _place(entry: Column) -> Column:
+    return F.lit(LAST_PLACE).cast("long") - entry.bitwiseAND(F.lit(LAST_PLACE).cast("long"))

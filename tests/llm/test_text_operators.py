@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -448,3 +450,37 @@ def test_registered_queries_by_hand(spark, documents, words, reference_encoding,
     least = {r: min((i for (i, _t), root in zip(rows, roots, strict=True) if root == r and i is not None), default=None) for r in roots}
     want = [(i, f"{p:016x}", least[r]) for (i, _t), p, r in zip(rows, prints, roots, strict=True)]
     assert query("op10_simhash_dedup") == sorted(want, key=repr)
+
+
+def test_edited_fingerprint_is_that_of_the_edited_text(spark, documents):
+    """The part of a fingerprint that is taken over from the text equals hashing the edited text whole, with ties, short and empty texts."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab" if i % 2 else "abcdefgh é𝄞") for _ in range(rng.choice([0, 1, 5, 8, 14, 15, 29, 30, 31, 60, 200]))) for i in range(150)]
+    rows = [(i, t) for i, t in enumerate([*texts, None, "", "x" * 50, "", "y" * 40])]
+    for k, window in ((8, 8), (3, 4), (1, 1), (5, 1)):
+        found = winnowing.compare_with_next(documents(rows), k=k, window=window, unit="characters")
+        whole = winnowing.with_fingerprint(found.select("doc_id", "edited", "edited_fp"), "edited", "again", k, window, "characters").collect()
+        assert len(whole) == len(rows)
+        assert [r["doc_id"] for r in whole if r["edited_fp"] != r["again"]] == []
+
+
+def test_plain_words_are_single_pieces():
+    """Parts that skip the tokenizer's splitting get the ids that the whole tokenizer gives them."""
+    tokens = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(2)
+    letters = "abzAZéßØøŁſɏ"
+    parts = [" " * rng.randint(0, 1) + "".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) + rng.choice(["", *".,;:!?"]) for _ in range(3000)]
+    parts += ["don't", "it's.", " l'été", "a1.", "×", " ÷,", "end.\nNext", "word..", " (x)", "𝄞a,"]
+    for part, got in zip(parts, tokens.encode(parts), strict=True):
+        assert got == array("I", tokens.tokenizer.encode(part, add_special_tokens=False).ids).tobytes(), part
+
+
+def test_two_generations_of_parts(monkeypatch):
+    """However small the memory is, texts get the same ids, and frequent parts are not encoded again."""
+    monkeypatch.setattr(packing, "MOST_REMEMBERED", 30)
+    tokens, whole = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json")), packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(4)
+    for number in range(40):
+        texts = [" ".join(["always"] * 2 + ["w%d" % rng.randrange(2000) for _ in range(20)]) for _ in range(3)]
+        assert tokens.encode(texts) == [array("I", whole.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+        assert " always" in tokens.young, number
