@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, id_and_text, text_slices
+from .common import crc_remainder, id_and_text, kept, text_slices
 
 # Families of closely related languages by ISO 639-1 code; a language in none of them is a family of its own.
 FAMILIES = {
@@ -31,6 +31,8 @@ UNKNOWN = "und"
 FEATURES = 1 << 12
 #: The most documents per language from which the machines are learned.
 PER_LANGUAGE = 1000
+#: From this score on a language found stands against the one that a row says.
+SURE = 0.9
 #: Code points of a text that are counted at once.
 STRETCH = 1 << 20
 
@@ -116,13 +118,10 @@ class OneVersusOne:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES + 1)))
 
     @classmethod
-    def learn(cls, rows: np.ndarray, names: np.ndarray) -> OneVersusOne:
-        classes = sorted(set(names.tolist()))
-        weights = []
-        for a, b in combinations(classes, 2):
-            mine = (names == a) | (names == b)
-            weights.append(linear_svm(rows[mine], np.where(names[mine] == a, 1.0, -1.0)))
-        return cls(classes, np.array(weights).reshape(-1, FEATURES + 1))
+    def of(cls, classes: list[str], machines: dict[tuple[str, str], np.ndarray]) -> OneVersusOne:
+        classes = sorted(classes)
+        weights = [machines[pair] for pair in combinations(classes, 2)]
+        return cls(classes, np.array(weights, np.float32).reshape(-1, FEATURES + 1))
 
     def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class number of each row, and how sure its weakest machine is, from 0 to 1."""
@@ -148,10 +147,13 @@ class LanguageModel:
     members: dict[str, OneVersusOne]
 
     @classmethod
-    def learn(cls, rows: np.ndarray, langs: np.ndarray) -> LanguageModel:
-        families = np.array([family_of(lang) for lang in langs])
-        members = {f: OneVersusOne.learn(rows[families == f], langs[families == f]) for f in sorted(set(families.tolist()))}
-        return cls(OneVersusOne.learn(rows, families), members)
+    def of(cls, langs: list[str], machines: dict[str, dict[tuple[str, str], np.ndarray]]) -> LanguageModel:
+        """From the machines between families (under the name "") and between the members of each family."""
+        members: dict[str, list[str]] = {}
+        for lang in langs:
+            members.setdefault(family_of(lang), []).append(lang)
+        within = {f: OneVersusOne.of(own, machines.get(f, {})) for f, own in members.items()}
+        return cls(OneVersusOne.of(list(members), machines.get("", {})), within)
 
     def predict(self, rows: np.ndarray) -> tuple[list[str], np.ndarray]:
         family, score = self.families.predict(rows)
@@ -179,27 +181,30 @@ def identified(texts: list[str | None], model: LanguageModel | None, letters: Le
     return langs, scores
 
 
-def learn(
-    docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    per_language: int = PER_LANGUAGE,
-) -> LanguageModel | None:
-    """A model from at most `per_language` documents of each language, drawn by a hash of their id.
+def draw_sample(
+    docs: DataFrame, learn_from: Column, id_col: str, text_col: str, lang_col: str, per_language: int
+) -> DataFrame:
+    """(doc_id, lang, family, with_family, row): the vectors from which machines are learned, at most `per_language` of each language.
 
-    `learn_from` says which rows may be learned from. Rows without a language, without an id or without a letter are left out;
-    None if no row is left.
+    `with_family` marks those that speak for the family as well, at most as many of each family. Which documents are drawn depends on a hash of
+    their ids alone.
     """
     rows = docs.where(learn_from & docs[lang_col].isNotNull() & docs[id_col].isNotNull() & docs[text_col].isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    families = {lang: name for name, members in FAMILIES.items() for lang in members}
+    known = F.create_map(*[F.lit(x) for pair in families.items() for x in pair])
     ids = rows.select(rows[id_col].cast("long").alias("doc_id"), rows[lang_col].alias("lang")).distinct()
     # Ids are thinned out by their hash before they are ranked, so that a frequent language sends few of them to one task.
     sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).cast("double") / (1 << 30)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = (
         ids.join(sizes, "lang")
         .where(draw * F.col("size") < 1.25 * per_language + 50)
-        .withColumn("place", F.row_number().over(order))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("place") <= per_language)
-        .select("doc_id", "lang")
+        .withColumn("family", F.coalesce(F.try_element_at(known, F.col("lang")), "lang"))
+        .withColumn("in_family", F.row_number().over(Window.partitionBy("family").orderBy(*order, "lang")))
+        .select("doc_id", "lang", "family", (F.col("in_family") <= per_language).alias("with_family"))
     )
     texts = rows.select(rows[id_col].cast("long").alias("doc_id"), rows[lang_col].alias("lang"), rows[text_col].alias("text"))
 
@@ -207,17 +212,59 @@ def learn(
         letters = Letters()
         for part in text_slices(batches):
             found, some = vectors(part.column("text").to_pylist(), letters)
-            langs = part.column("lang").filter(pa.array(some))
-            yield pa.RecordBatch.from_arrays([langs, pa.array([r.astype("<f2").tobytes() for r in found], pa.binary())], ["lang", "row"])
+            kept_rows = part.filter(pa.array(some, pa.bool_()))
+            columns = [kept_rows.column(c) for c in ("doc_id", "lang", "family", "with_family")]
+            rows_out = pa.array([r.astype("<f2").tobytes() for r in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, rows_out], ["doc_id", "lang", "family", "with_family", "row"])
 
     # The chosen ids are at most `per_language` for each language, so sending them to every task is bounded.
-    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).mapInArrow(run, "lang STRING, row BINARY").toArrow()
-    if sample.num_rows == 0:
+    joined = texts.join(F.broadcast(chosen), ["doc_id", "lang"])
+    return joined.mapInArrow(run, "doc_id LONG, lang STRING, family STRING, with_family BOOLEAN, row BINARY")
+
+
+def learn(
+    docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    per_language: int = PER_LANGUAGE,
+) -> LanguageModel | None:
+    """A model from at most `per_language` documents of each language, drawn by a hash of their id.
+
+    `learn_from` says which rows may be learned from. Rows without a language, without an id or without a letter are left out;
+    None if no row is left. Each machine is trained in a task of its own from the vectors of its two classes, at most `per_language`
+    each; only its weights, 16 KB, come back.
+    """
+    sample = kept(draw_sample(docs, learn_from, id_col, text_col, lang_col, per_language))
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())  # as many as there are languages
+    if not langs:
         return None
-    rows_found = np.array([np.frombuffer(r, "<f2") for r in sample.column("row").to_pylist()], np.float32)
-    langs = np.array(sample.column("lang").to_pylist(), object)
-    order_found = np.lexsort((rows_found @ np.arange(FEATURES), langs.astype(str)))
-    return LanguageModel.learn(rows_found[order_found], langs[order_found])
+    families = sorted({family_of(lang) for lang in langs})
+    others = {lang: [o for o in langs if o != lang and family_of(o) == family_of(lang)] for lang in langs}
+
+    def pairs(own: str, rest: str, level: str) -> Column:
+        """The machines a row goes to: its class with each other class."""
+        every = F.transform(rest, lambda o: F.struct(
+            F.expr(level).alias("level"), F.least(F.col(own), o).alias("a"), F.greatest(F.col(own), o).alias("b"), (F.col(own) < o).alias("first")
+        ))
+        return every
+
+    siblings = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.array(*[F.lit(o) for o in others[lang]]).cast("array<string>"))])
+    dealt = sample.withColumns({
+        "siblings": F.try_element_at(siblings, F.col("lang")),
+        "rivals": F.filter(F.array(*[F.lit(f) for f in families]), lambda f: F.col("with_family") & (f != F.col("family"))),
+    })
+    dealt = dealt.select("doc_id", "row", F.inline(F.concat(pairs("lang", "siblings", "family"), pairs("family", "rivals", "''"))))
+
+    def train(rows: pa.Table) -> pa.Table:
+        level, a, b = (rows.column(c)[0].as_py() for c in ("level", "a", "b"))
+        rows = rows.sort_by([("doc_id", "ascending"), ("first", "ascending"), ("row", "ascending")]) if rows.num_rows > 1 else rows
+        found = np.frombuffer(b"".join(rows.column("row").to_pylist()), "<f2").reshape(rows.num_rows, FEATURES).astype(np.float32)
+        weights = linear_svm(found, np.where(rows.column("first").to_numpy(), 1.0, -1.0))
+        return pa.table({"level": [level], "a": [a], "b": [b], "weights": [weights.astype("<f4").tobytes()]})
+
+    trained = dealt.groupBy("level", "a", "b").applyInArrow(train, "level STRING, a STRING, b STRING, weights BINARY")
+    machines: dict[str, dict[tuple[str, str], np.ndarray]] = {}
+    for r in trained.collect():
+        machines.setdefault(r["level"], {})[r["a"], r["b"]] = np.frombuffer(r["weights"], "<f4")
+    return LanguageModel.of(langs, machines)
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,19 +283,28 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id LONG, lang_pred STRING, score DOUBLE")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+def keep_identified(
+    docs: DataFrame, model: LanguageModel | None, text_col: str = "text", lang_col: str = "lang", sure: float = SURE
+) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text has a language; null texts and texts without a letter go.
 
-    A text with a letter stays if nothing was learned too, or if its language was learned as `und`.
+    The language column tells what the text is in: where it is null it gets the language found, and so it does where it says otherwise and the
+    score is `sure` or more. A text with a letter stays, its row as it is, if nothing was learned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            langs = identified(texts, model, letters)[0] if model is not None else [UNKNOWN] * len(texts)
-            known = [lang != UNKNOWN or ngram_counts(text or "", letters) is not None for lang, text in zip(langs, texts, strict=True)]
-            yield batch.filter(pa.array(known, pa.bool_()))
+            if model is None:
+                yield batch.filter(pa.array([ngram_counts(t or "", letters) is not None for t in texts], pa.bool_()))
+                continue
+            langs, scores = identified(texts, model, letters)
+            at = batch.schema.get_field_index(lang_col)
+            said = batch.column(at).to_pylist()
+            told = [f if f != UNKNOWN and (s is None or (s != f and p >= sure)) else s for f, s, p in zip(langs, said, scores.tolist(), strict=True)]
+            known = [lang != UNKNOWN or ngram_counts(t or "", letters) is not None for lang, t in zip(langs, texts, strict=True)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(told, batch.schema.field(at).type)).filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

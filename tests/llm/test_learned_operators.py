@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from llm_fixtures import documents, words  # noqa: F401
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sparkseries.llm import html_extract, language_id, quality, topk_search
@@ -245,7 +246,7 @@ def test_large_components(spark):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @tables
@@ -291,3 +292,33 @@ def test_pipeline_runs(spark):
     import corpus_pipeline
 
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_pipeline_uses_the_languages_found(spark, documents, words, tmp_path, monkeypatch):
+    """Null languages are filled and sure contradictions put right, so another model gives other rows; no text with a letter is lost."""
+    import corpus_pipeline
+
+    rows = language_rows(words)
+    # One document of each language has no label and one has the wrong one.
+    changed = {rows[n][0]: None if k % 2 else "xx" for k, n in enumerate(range(0, len(rows), len(rows) // 6))}
+    told = [(i, t, changed.get(i, lang)) for i, t, lang in rows]
+    kept = corpus_pipeline.identify_language(spark, documents(told), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(i for i, _t, _l in rows)
+    right = {i: lang for i, _t, lang in rows}
+    filled = [r["doc_id"] for r in kept if changed.get(r["doc_id"], "") is None]
+    assert filled and all(r["lang"] == right[r["doc_id"]] for r in kept if r["doc_id"] in filled)
+
+    model = language_id.learn(documents(rows), F.lit(True))
+    other = language_id.LanguageModel(model.families, {name: language_id.OneVersusOne(["zz"]) for name in model.members})
+    for used, expected in ((model, set(right.values())), (other, {"zz"})):
+        found = language_id.keep_identified(documents([(i, t, None) for i, t, _l in rows]), used).collect()
+        assert {r["lang"] for r in found} <= expected and len(found) == len(rows)
+
+
+def test_machines_are_trained_in_tasks(documents, words, monkeypatch):
+    """Nothing but weights reaches the driver, and a language inside a family is told from its siblings only."""
+    rows = [(i, t, {"aa": "de", "bb": "en", "cc": "fr"}.get(lang, lang)) for i, t, lang in language_rows(words)]
+    model = language_id.learn(documents(rows), F.lit(True))
+    assert sorted(model.members) == sorted({language_id.family_of(lang) for _i, _t, lang in rows})
+    for machines in (model.families, *model.members.values()):
+        assert machines.weights.shape == (len(machines.classes) * (len(machines.classes) - 1) // 2, language_id.FEATURES + 1)
