@@ -25,7 +25,8 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go: null texts and texts without a letter."""
+    """Documents without a recognisable language go: null texts and texts without a letter. `lang` tells the language found, where there was none or
+    a wrong one."""
     model = language_id.learn(docs, ~language_id.held_out_rows(docs["doc_id"]))
     return language_id.keep_identified(docs, model)
 
