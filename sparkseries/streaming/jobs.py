@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import snapshot
 from ..operators.reconcile import reconcile
+from ..sources import runs
 from ..sources.files import path_exists
 
 FOLDERS = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
@@ -58,6 +59,29 @@ def stream_reconcile(stream: DataFrame, path: str, checkpoint: str, places: int
     return _start(stream, step, path, checkpoint, once)
 
 
+def stream_reconcile_compacted(
+    stream: DataFrame, path: str, checkpoint: str, places: int = 6, date: str = "date", merge: bool = True, once: bool = True
+) -> StreamingQuery:
+    """`stream_reconcile` into a store of runs by month: a batch opens only the months it has rows of.
+
+    With `merge` runs that are due are merged after each batch; without it `runs.merge_runs` can be run by another job between batches. A batch
+    that runs again after a failure finds itself in the manifest, or adds what the crash has left out.
+    """
+    tag = stream_tag(checkpoint)
+    part = runs.month_of(date)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        months = [r["part"] for r in batch.select(part.alias("part")).distinct().collect()]
+        stored = runs.read_store(spark, path, batch, months)
+        runs.append_runs(spark, path, reconcile(stored, batch, places), part, tag, batch_id)
+        if merge:
+            runs.merge_runs(spark, path, batch, part)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+
+
 def stream_last_write(
     stream: DataFrame, path: str, checkpoint: str, key: str = "id", stamp: str = "timestamp", once: bool = True
 ) -> StreamingQuery:
