@@ -322,3 +322,69 @@ def test_machines_are_trained_in_tasks(documents, words, monkeypatch):
     assert sorted(model.members) == sorted({language_id.family_of(lang) for _i, _t, lang in rows})
     for machines in (model.families, *model.members.values()):
         assert machines.weights.shape == (len(machines.classes) * (len(machines.classes) - 1) // 2, language_id.FEATURES + 1)
+
+
+# --- 6 again: wrappers, deep pages, silent elements in a sentence, threads and boxes written like articles
+
+MENU = "<nav><a href=x>Menu, here.</a> <a href=y>More</a></nav>"
+LONG = "".join(f"<p>Paragraph {n} of the story, which goes on for a while, and then some more. It has a second sentence, too.</p>" for n in range(6))
+STORY = "\n".join(f"Paragraph {n} of the story, which goes on for a while, and then some more. It has a second sentence, too." for n in range(6))
+
+
+@pytest.mark.parametrize("opened, closed", [
+    ("<form>", "</form>"), ('<form id="aspnetForm"><div class="x">', "</div></form>"), ("<fieldset>", "</fieldset>"), ('<div role="dialog">', "</div>"),
+    ('<form><div role="main"><fieldset>', "</fieldset></div></form>"),
+])
+def test_wrapped_pages(opened, closed):
+    """What wraps a whole page is not furniture; the same kinds are where they hold less than half of the text."""
+    small = "<form><p>Mail address, please. Now, or never.</p></form><fieldset><p>Your choice, please.</p></fieldset>"
+    assert html_extract.main_text(f"<body>{opened}{MENU}{LONG}{small}{closed}</body>") == STORY
+
+
+@pytest.mark.parametrize("opened, closed", [("<div>", "</div>"), ("<div>", ""), ("<ul><li>", ""), ("<p><span>", ""), ("<table><tr><td>", ""), ('<div class="related">', "</div>")])
+def test_deep_pages(opened, closed):
+    import time
+
+    n = 10_000
+    page = "<body>" + "".join(f"{opened}Line {i} of the text, which goes on." for i in range(n)) + closed * n
+    started = time.process_time()
+    text = html_extract.main_text(page)
+    assert time.process_time() - started < 15 and text.count("\n") >= n // 2 - 1
+    small = "<body>" + "".join(f"{opened}Line {i} of the text, which goes on." for i in range(40)) + closed * 40
+    if "related" not in opened:
+        assert html_extract.main_text(small).split("\n") == [f"Line {i} of the text, which goes on." for i in range(40)]
+
+
+def test_silent_elements_inside_a_block():
+    body = (
+        "<p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> here, as "
+        "<svg><text>icon</text></svg>known<script>var a = 1;</script>, <button>Press</button> and so on.</p>"
+    )
+    page = f"<body>{MENU}<article>{body}{LONG}</article></body>"
+    assert html_extract.main_text(page) == "The energy is E=mc2 here, as known, and so on.\n" + STORY
+
+
+def thread(name, n=4, words="I have thought about this for a long time, and I must say that it is well written. Thank you, really."):
+    entry = '<div class="entry"><div class="who">Ann Example, 3 May 2024 at 12:{:02d}</div><p>' + words + "</p></div>"
+    return f'<div class="{name}">' + "".join(entry.format(i) for i in range(n)) + "</div>"
+
+
+@pytest.mark.parametrize("name", ["respond", "responses", "feedback", "discussion", "talkback", "opinions", "box-17"])
+def test_threads_by_structure(name):
+    assert html_extract.main_text(f'<body>{MENU}<div class="post">{LONG}</div>{thread(name)}</body>') == STORY
+    if name != "box-17":  # a thread that says so goes whatever its size
+        assert html_extract.main_text(f'<body>{MENU}<div class="post">{LONG}</div>{thread(name, 30)}</body>') == STORY
+
+
+def test_dated_sections_of_an_article_stay():
+    """Repeated sections with a date are the article itself where nothing longer stands before them and no name tells of readers."""
+    parts = "".join(f'<div class="day"><h3>{n} May 2024</h3><p>On this day we walked for a long time, and saw a lot, and it was good. We slept well.</p></div>' for n in range(1, 6))
+    found = html_extract.main_text(f'<body>{MENU}<div class="diary">{parts}</div></body>')
+    assert found.count("On this day") == 5 and found.count("May 2024") == 5
+
+
+@pytest.mark.parametrize("name", ["sidebar", "related", "recommended", "left-sidebar"])
+def test_boxes_beside_the_article(name):
+    box = f'<div class="{name}">' + "".join(f"<p>Another story altogether, number {n}, which is told at some length as well, with care. Read it, too.</p>" for n in range(3)) + "</div>"
+    assert html_extract.main_text(f'<body>{MENU}<div class="post">{LONG}</div>{box}</body>') == STORY
+    assert html_extract.main_text(f'<body>{box}<main>{LONG}</main></body>') == STORY
