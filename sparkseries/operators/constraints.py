@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .project import nan_as_null
 from .snapshot import first_per_group
 
@@ -216,27 +218,58 @@ def verify_stored(df: DataFrame, path: str) -> DataFrame:
     return verify(df, load_constraints(spark, path))
 
 
+#: Bits of the map of keys that may be repeated: a quarter of a million words of 64, whatever the number of rows.
+SUSPECT_BITS = 24
+
+
+def _word_and_bit(hash_of: Column, bits: int) -> tuple[Column, Column]:
+    place = hash_of.bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+    return F.shiftright(place, 6), place.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+
+
+def _suspect_map(hashes: DataFrame, bits: int) -> DataFrame:
+    """(_word, _bits): a map with a bit set for each of some hashes, by their lowest `bits` bits; words without any are left out."""
+    word, bit = _word_and_bit(F.col("hash"), bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return hashes.select(word.alias("_word"), one.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+
+
 def schema_check(
-    df: DataFrame, primary_key: list[str], not_null: Iterable[str] = (), exact_length: dict[str, int] | None = None
+    df: DataFrame, primary_key: list[str], not_null: Iterable[str] = (), exact_length: dict[str, int] | None = None, bits: int = SUSPECT_BITS
 ) -> DataFrame:
     """Every row with the first declared rule it breaks in `reason`, null for good rows.
 
-    Only keys that occur twice are joined back; when such a key is hot, adaptive execution splits the row side.
+    Keys are counted by their hash first, which shuffles eight bytes for each key of a task, a frequent one once. Those that occur twice become a map of
+    fixed size; a row whose bit is not set has a key of its own and is not shuffled. The others are suspects: their keys are counted exactly. Keys that hold more
+    than a small share of the rows are few by that, and are broadcast; the rest meets in a join without a hot key.
     """
     broken = F.lit(None).cast("string")
     for name, size in (exact_length or {}).items():
         broken = F.coalesce(broken, F.when(F.length(name) != size, F.lit(f"length of {name}")))
     for name in [*primary_key, *not_null]:
         broken = F.coalesce(F.when(F.col(name).isNull(), F.lit(f"null {name}")), broken)
-    repeated = (
-        df.groupBy(*primary_key).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
-    )
-    return (
-        df.withColumn("_broken", broken)
-        .join(repeated, primary_key, "left")
-        .withColumn("reason", F.coalesce("_broken", F.when(F.col("_copies") > 1, F.lit("repeated key"))))
-        .select(*df.columns, "reason")
-    )
+    spark = df.sparkSession
+    whole = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in primary_key])
+    hash_of = F.xxhash64(*primary_key)
+    counted = df.where(whole).select(hash_of.alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("copies"))
+    ensure_checkpoint_dir(spark)
+    known = _suspect_map(counted.where(F.col("copies") > 1), bits).checkpoint()
+    word, bit = _word_and_bit(hash_of, bits)
+    # The map has at most 2^bits / 64 rows.
+    looked = df.withColumns({"_broken": broken, "_word": F.when(whole, word)}).join(F.broadcast(known), "_word", "left")
+    looked = looked.withColumn("_look", F.coalesce(F.bit_get("_bits", bit) == 1, F.lit(False)))
+    repeated = looked.where("_look").groupBy(*primary_key).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1).checkpoint()
+    # At most this many keys can each hold so large a share of the suspects.
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = repeated.agg(F.coalesce(F.sum("_copies"), F.lit(0))).first()[0]
+    hot = repeated.where(F.col("_copies") * most > total)
+    cold = repeated.where(F.col("_copies") * most <= total)
+    marked = looked.join(F.broadcast(hot.withColumnRenamed("_copies", "_hot")), primary_key, "left")
+    told = F.coalesce("_broken", F.when(F.coalesce("_hot", "_copies") > 1, F.lit("repeated key"))).alias("reason")
+    among = F.col("_look") & F.col("_hot").isNull()
+    alone = marked.where(~among).withColumn("_copies", F.lit(None).cast("bigint"))
+    met = marked.where(among).join(cold, primary_key, "left")
+    return alone.select(*df.columns, told).unionAll(met.select(*df.columns, told))
 
 
 def writer_gate(batch: DataFrame, admins: DataFrame, writer: str = "writer", wallet: str = "wallet") -> DataFrame:

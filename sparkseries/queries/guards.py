@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..operators import catalog, constraints, project, snapshot
+from ..operators import catalog, constraints, profiles, project, snapshot
 from ..operators import reconcile as rec
 from ..plans import runner
 from ..session import scratch_path
@@ -13,7 +13,8 @@ from ..sources import files, payloads, targets
 from ..sources.registry import Source, read_source
 from ..sources.targets import Target
 from .ingest import PAYLOAD_ROWS, dated, order_csv
-from .registry import query, sql_round
+from . import catalogue  # noqa: F401 - its SQL is used again below
+from .registry import ORACLE, query, sql_round
 from .series import series_frame
 
 DAY = "2024-01-20"
@@ -311,3 +312,24 @@ def date_bounds_match(t):
     frame = series_frame(t)
     early = frame.where(F.col("created_at") < F.lit(DAY).cast("timestamp_ntz"))
     return rec.within_incoming_bounds(frame, early, ["date"]).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("constraint_incremental", ORACLE["constraint_profile"])
+def constraint_incremental(t):
+    """Constraints of three appends, each profiled by itself; only columns that may have lost their uniqueness are looked up in the rows before."""
+    path, rows = scratch_path(t.spark, "profiles"), t.customer
+    part = F.col("c_nationkey") % 3
+    found = None
+    for number in range(3):
+        found = profiles.append_profile(t.spark, path, f"batch {number}", rows.where(part == number), rows.where(part < number))
+    return found
+
+
+@query("schema_check_hot", """
+SELECT key, o_orderkey, CASE WHEN key IS NULL THEN 'null key' WHEN count(*) OVER (PARTITION BY key) > 1 THEN 'repeated key' END AS reason
+FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 7 = 1 THEN NULL WHEN o_orderkey % 50 = 2 THEN o_custkey + 100000000 ELSE o_orderkey + 1 END AS key, o_orderkey FROM orders)""")
+def schema_check_hot(t):
+    """A third of the rows share one key, some have none, a few repeat another and the rest have one of their own."""
+    o = F.col("o_orderkey")
+    key = F.when(o % 3 == 0, 0).when(o % 7 == 1, None).when(o % 50 == 2, F.col("o_custkey") + 100000000).otherwise(o + 1)
+    return constraints.schema_check(t.orders.select(key.cast("bigint").alias("key"), "o_orderkey"), ["key"])
