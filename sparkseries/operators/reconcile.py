@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +39,19 @@ def within_incoming_bounds(base: DataFrame, incoming: DataFrame, columns: list[s
         value = _rounded(base, [column], places)[0] if kinds[column] in ("double", "float") else F.col(column)
         least, most = (F.lit(found[f"{name}_{column}"]).cast(kinds[column]) for name in ("least", "most"))
         within = (value >= least) & (value <= most)
+        if kinds[column] in ("double", "float") and math.isfinite(float(found[f"least_{column}"] or "nan")) and math.isfinite(float(found[f"most_{column}"])):
+            # Rounding hides a column from the scan; bounds of the raw values, wider by more than a rounding step, reach it.
+            low, high = _widened(float(found[f"least_{column}"]), float(found[f"most_{column}"]), places)
+            within = (F.col(column) >= F.lit(low)) & (F.col(column) <= F.lit(high)) & within
         base = base.where(F.col(column).isNull() | within) if found[f"least_{column}"] is not None else base.where(F.col(column).isNull())
     return base
 
 
+def _widened(least: float, most: float, places: int) -> tuple[float, float]:
+    """Bounds that hold every value that is rounded into the given ones."""
+    return least - max(10.0**-places, abs(least) * 1e-6), most + max(10.0**-places, abs(most) * 1e-6)
+
+
 def reconcile(
     base: DataFrame, incoming: DataFrame, places: int = 6, prune: bool = True, prune_by: tuple[str, ...] = ()
 ) -> DataFrame:

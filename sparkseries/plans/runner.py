@@ -5,11 +5,14 @@ from __future__ import annotations
 import dataclasses
 import functools
 import logging
+import threading
 import time
 import traceback
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ from ..sources.targets import Target, append_manifest, read_target, read_version
 log = logging.getLogger(__name__)
 
 REPORT_SCHEMA = "ingest STRING, target STRING, status STRING, rows BIGINT, seconds DOUBLE, error STRING"
+#: One catalogue refresh at a time.
+CATALOGUE = threading.Lock()
 Transform = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
 
@@ -117,7 +122,8 @@ def refresh_catalogue(
     """A new version of the catalogue after writes; it always agrees with what the targets hold.
 
     Appended rows are merged with the facts held; a replaced target's rows stand alone, and its series named in `gone(table_name)` that did
-    not come again lose their rows. When the catalogue holds nothing about a target yet, its facts come from the stored rows.
+    not come again lose their rows. What the catalogue does not know yet comes from the stored rows: all of them if it knows no facts at all, or else
+    those of the series that are new to it, by a filter that reaches the scan.
     """
     old = read_version(spark, path)
     old = old if old is not None else catalog.empty_catalogue(spark)
@@ -128,9 +134,13 @@ def refresh_catalogue(
     for target, rows in with_facts:
         if target.replace:
             alone.append(_dated_rows(target, rows))
-        elif _unknown(old, target, rows):
+        elif (unknown := _unknown(old, target, rows)) is not None:
             stored = read_target(spark, target, rows)
-            alone.append(_dated_rows(target, stored if _has_facts(stored) else rows))
+            stored = stored if _has_facts(stored) else rows
+            if target.series and not _knows_nothing(old):
+                merged.append(_dated_rows(target, rows).join(unknown, "table_name", "left_anti"))
+                stored = _of_series(stored, target.series, unknown)
+            alone.append(_dated_rows(target, stored))
         else:
             merged.append(_dated_rows(target, rows))
     facts = []
@@ -161,12 +171,35 @@ def refresh_catalogue(
     write_version(catalog.upsert_catalogue(old, fresh), path)
 
 
-def _unknown(catalogue: DataFrame, target: Target, rows: DataFrame) -> bool:
-    """Whether the catalogue holds no facts of a target that is not new: of its only series, or of some series among its new rows."""
-    held = catalogue.where(F.col("_key") == "latest_date").select("table_name")
-    if not target.series:
-        return held.where(F.col("table_name") == target.name).isEmpty()
-    return not _dated_rows(target, rows).select("table_name").distinct().join(held, "table_name", "left_anti").isEmpty()
+#: So many names of new series are looked for by a filter that Parquet dictionaries can answer; more of them by a join.
+NAMED_SERIES = 1000
+
+
+def _facts_held(catalogue: DataFrame) -> DataFrame:
+    return catalogue.where(F.col("_key") == "latest_date").select("table_name")
+
+
+def _knows_nothing(catalogue: DataFrame) -> bool:
+    return _facts_held(catalogue).isEmpty()
+
+
+def _unknown(catalogue: DataFrame, target: Target, rows: DataFrame) -> DataFrame | None:
+    """(table_name): the series among the new rows of which the catalogue holds no facts; None if it knows them all."""
+    if target.series:
+        named = _dated_rows(target, rows).select("table_name").distinct()
+    else:
+        named = rows.sparkSession.createDataFrame([(target.name,)], "table_name STRING")
+    unknown = named.join(_facts_held(catalogue), "table_name", "left_anti")
+    return None if unknown.isEmpty() else unknown
+
+
+def _of_series(stored: DataFrame, series: str, names: DataFrame) -> DataFrame:
+    few = names.limit(NAMED_SERIES + 1).collect()
+    if len(few) > NAMED_SERIES:
+        return stored.join(names.select(F.col("table_name").alias(series)), series, "left_semi")
+    known = [r["table_name"] for r in few]
+    chosen = F.col(series).isin([n for n in known if n is not None])
+    return stored.where(chosen | F.col(series).isNull() if None in known else chosen)
 
 
 def _series_of(spark: SparkSession, target: Target, like: DataFrame) -> DataFrame | None:
@@ -242,7 +275,9 @@ def run(
             if not dry_run and manifest_path:
                 append_manifest(spark, manifest_path, run_id, [(target.name, target.location, written)])
             if not dry_run and catalogue_path:
-                refresh_catalogue(spark, [(target, rows)], rules, catalogue_path, as_of, gone)
+                # Ingests that run at once share the catalogue, whose next version is made from the one before.
+                with CATALOGUE:
+                    refresh_catalogue(spark, [(target, rows)], rules, catalogue_path, as_of, gone)
         for name, failed in result.failed_urls.items():
             result.entries.append((ingest.name, name, "failed urls", failed, 0.0, None))
         if ingest.after:
@@ -258,11 +293,35 @@ def run(
 
 
 def run_all(
-    spark: SparkSession, make: Callable[..., Ingest | list[Ingest]], as_of, config: dict | None = None, **kwargs
+    spark: SparkSession, make: Callable[..., Ingest | list[Ingest]], as_of, config: dict | None = None, together: int = 1, **kwargs
 ) -> list[Run]:
-    """Run every ingest a declaration makes from `key=value` config; each run starts with no frames."""
+    """Run every ingest a declaration makes from `key=value` config; each run starts with no frames.
+
+    Up to `together` ingests run at once, each in a scheduler pool of its own name, so that with the fair scheduler small ones do not wait for
+    large ones. The runs are returned in the order of the ingests. With `on_error="continue"` a failure stays with its own ingest; else the
+    ingests that have begun are ended and the first error is raised.
+    """
     made = make(**(config or {}))
-    return [run(spark, ingest, as_of, **kwargs) for ingest in (made if isinstance(made, list) else [made])]
+    ingests = made if isinstance(made, list) else [made]
+    if together <= 1 or len(ingests) <= 1:
+        return [run(spark, ingest, as_of, **kwargs) for ingest in ingests]
+    stop = threading.Event()
+
+    def one(ingest: Ingest) -> Run | None:
+        if stop.is_set():
+            return None
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", ingest.name)
+        try:
+            return run(spark, ingest, as_of, **kwargs)
+        except Exception:
+            stop.set()
+            raise
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=together, thread_name_prefix="ingest") as workers:
+        waiting = [workers.submit(inheritable_thread_target(spark)(one), ingest) for ingest in ingests]
+    return [done.result() for done in waiting]
 
 
 def config_of(arguments: Iterable[str]) -> dict[str, str]:

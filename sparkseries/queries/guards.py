@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
-from ..functions import numeric
+from ..functions import numeric, variants
 from ..operators import catalog, constraints, profiles, project, snapshot
 from ..operators import reconcile as rec
-from ..plans import runner
+from ..plans import runner, together
 from ..session import scratch_path
 from ..sources import files, payloads, targets
 from ..sources.registry import Source, read_source
@@ -333,3 +335,90 @@ def schema_check_hot(t):
     o = F.col("o_orderkey")
     key = F.when(o % 3 == 0, 0).when(o % 7 == 1, None).when(o % 50 == 2, F.col("o_custkey") + 100000000).otherwise(o + 1)
     return constraints.schema_check(t.orders.select(key.cast("bigint").alias("key"), "o_orderkey"), ["key"])
+
+
+@query("payload_control_characters", """SELECT o_orderkey, 'a' || chr(1) || o_orderpriority || chr(2) || chr(3) || '1' || chr(10) || 'b' AS note, chr(3) || o_orderstatus AS plain FROM orders""")
+def payload_control_characters(t):
+    """Texts that hold the characters that stand in for line ends inside quotes, beside real line ends."""
+    note = F.concat(F.lit('"a\u0001'), F.col("o_orderpriority"), F.lit('\u0002\u00031\nb",\u0003'), F.col("o_orderstatus"))
+    bodies = t.orders.select("o_orderkey", F.lit("text/csv").alias("content_type"), F.concat(F.lit("note,plain\n"), note, F.lit("\n")).alias("body"))
+    return payloads.decode_payloads(bodies, "note STRING, plain STRING")
+
+
+@query("catalogue_new_series", """SELECT event_type AS table_name, k AS _key, v AS value FROM (
+  SELECT event_type, unnest(['category', 'name', 'latest_date', 'last_update']) AS k,
+    unnest([event_type, '', strftime(max(CAST(ts AS DATE)), '%Y-%m-%d'), strftime(arg_max(ts, (CAST(ts AS DATE), ts)), '%Y-%m-%d %H:%M:%S')]) AS v
+  FROM events GROUP BY event_type)""")
+def catalogue_new_series(t):
+    """Each run brings one series more beside rows of those before; what is stored of the others is not read for the facts."""
+    path, rows = scratch_path(t.spark, "catalogue"), series_frame(t)
+    target = Target("kinds", "parquet", scratch_path(t.spark, "many"), series="series")
+    names = sorted(r["series"] for r in rows.select("series").distinct().collect())
+    early = F.col("created_at") < F.lit(DAY).cast("timestamp_ntz")
+    for number in range(len(names)):
+        runner.run(t.spark, _ingest(target, rows.where(F.col("series").isin(names[: number + 1]) & early)), NOW, catalogue_path=path)
+    runner.run(t.spark, _ingest(target, rows), NOW, catalogue_path=path)
+    return _catalogue(t, path)
+
+
+@query("two_targets_commit", """
+SELECT 'after the kill' AS seen, 'none' AS target, CAST(NULL AS DATE) AS date, CAST(NULL AS BIGINT) AS key, CAST(NULL AS DOUBLE) AS value
+UNION ALL SELECT 'after the rerun', 'orders', CAST(o_orderdate AS DATE), CAST(o_custkey AS BIGINT), o_totalprice FROM orders GROUP BY ALL
+UNION ALL SELECT 'after the rerun', 'events', CAST(ts AS DATE), CAST(user_id AS BIGINT), value FROM events GROUP BY ALL""")
+def two_targets_commit(t):
+    """A run that is killed between its two targets leaves nothing to see; its rerun, and one more, leave one copy of both."""
+    path = scratch_path(t.spark, "together")
+    orders = t.orders.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").cast("bigint").alias("key"), F.col("o_totalprice").alias("value"))
+    events = t.events.select(F.to_date("ts").alias("date"), F.col("user_id").cast("bigint").alias("key"), "value")
+    killed = events.withColumn("key", F.raise_error(F.lit("killed")).cast("bigint"))
+    seen = []
+    for attempt in ({"orders": orders, "events": killed}, {"orders": orders, "events": events}, {"orders": orders, "events": events}):
+        try:
+            together.export_together(t.spark, path, attempt, NOW, "two", 1)
+        except Exception as error:
+            if "killed" not in str(error):
+                raise
+            left = together.read_together(t.spark, path, ["orders", "events"], {"orders": orders, "events": events})
+            if any(not frame.isEmpty() for frame in left.values()):
+                raise AssertionError("a target can be seen without the other") from error
+            seen.append(orders.limit(1).select(
+                F.lit("after the kill").alias("seen"), F.lit("none").alias("target"), *[F.lit(None).cast(k).alias(c) for c, k in orders.dtypes]))
+    found = together.read_together(t.spark, path, ["orders", "events"], {"orders": orders, "events": events})
+    for name, frame in found.items():
+        seen.append(frame.select(F.lit("after the rerun").alias("seen"), F.lit(name).alias("target"), "date", "key", "value"))
+    return seen[0].unionAll(seen[1]).unionAll(seen[2])
+
+
+@query("payload_any_shape", """
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS customer, CASE WHEN n = 2 THEN o_orderstatus ELSE o_orderpriority END AS note, n = 1 AS first, CAST(n AS BIGINT) AS number
+FROM orders, (SELECT unnest([1, 2]) AS n) x WHERE o_orderkey % 3 < 2 OR n = 1""")
+def payload_any_shape(t):
+    """Lists of records, objects of lists and single records, read without a schema; one column for each field of any of them."""
+    o = F.col("o_orderkey")
+    fields = [F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("note"), F.lit(True).alias("first"), F.lit(1).alias("number")]
+    more = [F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("note"), F.lit(False).alias("first"), F.lit(2).alias("number")]
+    lists = [F.array(F.col("o_custkey"), F.col("o_custkey")).alias("customer"), F.array("o_orderpriority", "o_orderstatus").alias("note"),
+             F.array(F.lit(True), F.lit(False)).alias("first"), F.array(F.lit(1), F.lit(2)).alias("number")]
+    body = F.when(o % 3 == 0, F.to_json(F.array(F.struct(*fields), F.struct(*more)))).when(o % 3 == 1, F.to_json(F.struct(*lists))).otherwise(
+        F.to_json(F.struct(*fields)))
+    return variants.typed_records(variants.variant_records(t.orders.select("o_orderkey", body.alias("body"))))
+
+
+@query("ingests_together", "SELECT 'kind ' || event_type AS ingest, event_type AS target, 'written' AS status, count(*) AS rows FROM (SELECT DISTINCT event_type, CAST(ts AS DATE), value FROM events) GROUP BY 2 "
+       "UNION ALL SELECT 'bad', 'bad', 'failed', NULL")
+def ingests_together(t):
+    """Ingests of all series and one that fails, up to four at once: the report is that of running them in turn."""
+    rows = series_frame(t)
+    names = sorted(r["series"] for r in rows.select("series").distinct().collect())
+    catalogue_path = scratch_path(t.spark, "catalogue")
+
+    def make():
+        good = [dataclasses.replace(_ingest(Target(n, "parquet", scratch_path(t.spark, "kind")), rows.where(F.col("series") == n)), name=f"kind {n}") for n in names]
+        return [*good[:1], _ingest(Target("bad", "no-such-format", "nowhere"), rows), *good[1:]]
+
+    runs = runner.run_all(t.spark, make, NOW, together=4, on_error="continue", catalogue_path=catalogue_path)
+    known = _catalogue(t, catalogue_path).where("_key = 'latest_date'").count()
+    if known != len(names):
+        raise AssertionError(f"the catalogue knows {known} of {len(names)} series")
+    entries = [entry for run in runs for entry in run.entries]
+    return t.spark.createDataFrame(entries, runner.REPORT_SCHEMA).select("ingest", "target", "status", "rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 import urllib.error
 import urllib.request
@@ -123,18 +124,35 @@ def body_text(body: Column) -> Column:
     return F.decode(body, "UTF-8")
 
 
-# Stand in for line ends inside quotes while lines are told apart.
+# Stand in for line ends inside quotes while lines are told apart; texts that hold these characters themselves are escaped before.
 _QUOTED_ENDS = {"\n": "\u0001", "\r": "\u0002"}
+_ESCAPE = "\u0003"
+_ESCAPED = {_ESCAPE: _ESCAPE + "3", "\u0001": _ESCAPE + "1", "\u0002": _ESCAPE + "2"}
+
+
+def _escaped(body: Column) -> Column:
+    held = functools.reduce(lambda text, pair: F.replace(text, F.lit(pair[0]), F.lit(pair[1])), _ESCAPED.items(), body)
+    return F.when(body.rlike("[\u0001-\u0003]"), held).otherwise(body)
+
+
+def _unescaped(text: Column) -> Column:
+    """The escape itself is turned back last, so that what follows it is not taken for another."""
+    pairs = reversed(_ESCAPED.items())
+    plain = functools.reduce(lambda value, pair: F.replace(value, F.lit(pair[1]), F.lit(pair[0])), pairs, text)
+    return F.when(F.contains(text, F.lit(_ESCAPE)), plain).otherwise(text)
 
 
 def csv_records(body: Column, schema: str) -> Column:
     """CSV text as an array of structs. Its header line must name the fields of `schema`, in order; another header
     is an error, and so is a quote that is never closed. Quoted fields may hold commas, line breaks and doubled quotes."""
     fields = T.StructType.fromDDL(schema).fields
+    body = _escaped(body)
     # Every second part between quotes is inside them.
     parts = F.split(body, '"', -1)
     ends, marks = "".join(_QUOTED_ENDS), "".join(_QUOTED_ENDS.values())
     marked = F.array_join(F.transform(parts, lambda part, at: F.when(at % 2 == 1, F.translate(part, ends, marks)).otherwise(part)), '"')
+    quoted = F.contains(body, F.lit('"'))
+    marked = F.when(quoted, marked).otherwise(body)
     lines = F.filter(F.split(marked, r"\r?\n"), lambda line: line != "")
     names = F.transform(F.split(F.get(lines, F.lit(0)), ","), lambda name: F.btrim(name, F.lit(' "\ufeff')))
     expected = F.array(*[F.lit(field.name) for field in fields])
@@ -143,14 +161,14 @@ def csv_records(body: Column, schema: str) -> Column:
         row = F.from_csv(line, schema, {"escape": '"'})
         texts = (T.StringType, T.VarcharType, T.CharType)
         return F.struct(*[
-            (F.translate(row[f.name], marks, ends) if isinstance(f.dataType, texts) else row[f.name]).alias(f.name) for f in fields
+            (_unescaped(F.translate(row[f.name], marks, ends)) if isinstance(f.dataType, texts) else row[f.name]).alias(f.name) for f in fields
         ])
 
     rows = F.transform(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), record)
     refused = F.raise_error(F.concat(F.lit("unexpected CSV header: "), F.get(lines, F.lit(0))))
     unclosed = F.raise_error(F.lit("a quote in a CSV payload is never closed"))
     return (
-        F.when(F.size(parts) % 2 == 0, unclosed).when((F.size(lines) == 0) | (names == expected), rows).otherwise(refused)
+        F.when(quoted & (F.size(parts) % 2 == 0), unclosed).when((F.size(lines) == 0) | (names == expected), rows).otherwise(refused)
     )
 
 

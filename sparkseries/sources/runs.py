@@ -135,13 +135,16 @@ def due(runs: Iterable[Run]) -> dict[str, list[Run]]:
     return found
 
 
-def merge_runs(spark: SparkSession, path: str, like: DataFrame, part: Column, high: str | None = None) -> Manifest:
-    """Merges the runs that are due, all parts in one job and one commit; the rows of the table stay the same.
+def merge_runs(
+    spark: SparkSession, path: str, like: DataFrame, part: Column, high: str | None = None, parts: Iterable[str] | None = None
+) -> Manifest:
+    """Merges the runs that are due, of all parts or some, in one job and one commit; the rows of the table stay the same.
 
     It may be left out, run after every batch or by another job while no batch is written.
     """
     manifest = Manifest.read(spark, path)
-    wanted = due(manifest.runs)
+    chosen = None if parts is None else set(parts)
+    wanted = due([r for r in manifest.runs if chosen is None or r.part in chosen])
     if not wanted:
         return manifest
     old = [run for runs in wanted.values() for run in runs]
