@@ -19,8 +19,8 @@ BYTES = 8
 HASH_SEED = 42
 #: Shingles that are counted at once.
 CHUNK = 1 << 15
-#: From this many fingerprints on, a list looks its neighbours up instead of comparing pairs.
-LOOK_UP_FROM = 48
+#: The most fingerprints of a list whose pairs are tallied. What stands in a longer list is looked up in a finer index.
+LONGEST_TALLIED = 256
 
 
 def simhash(text: bytes, shingle: int = 3) -> int:
@@ -58,50 +58,69 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id LONG, fp LONG")
 
 
-def postings(prints: DataFrame, most_bits: int) -> DataFrame:
-    """The inverted index of distinct fingerprints: (positions, shared, fps), lists of two or more only.
+def blocks_of_bytes(most_bits: int) -> list[list[int]]:
+    """The byte positions in most_bits + 2 blocks of about the same size: fingerprints so near agree in two whole blocks at least."""
+    number = most_bits + 2
+    if not 0 <= most_bits <= BYTES - 2:
+        raise ValueError(f"at most {BYTES - 2} differing bits can be searched for")
+    return [list(range(n * BYTES // number, (n + 1) * BYTES // number)) for n in range(number)]
 
-    Fingerprints that differ in `most_bits` bits differ in at most as many bytes, so they share at least
-    8 - most_bits positional bytes. A list is kept for each choice of that many positions and the bytes found there: a pair
-    stands together in a list if and only if its tally of shared positional bytes reaches that minimum. The bytes that are
-    not fixed bound a list to 256 ** most_bits distinct fingerprints, whatever the size of the input.
-    """
-    masks = [sum(0xFF << (8 * p) for p in chosen) for chosen in combinations(range(BYTES), BYTES - most_bits)]
+
+def _keys(prints: DataFrame, choices: list[tuple[int, ...]]) -> DataFrame:
+    """(positions, shared, fp): each fingerprint under the bytes it has at each choice of positions."""
+    masks = [sum(0xFF << (8 * p) for p in chosen) for chosen in choices]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("positions", "shared")
-    return (
-        prints.select("fp", keys)
-        .groupBy("positions", "shared")
-        .agg(F.collect_list("fp").alias("fps"))
-        .where(F.size("fps") > 1)
-    )
+    return prints.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("positions", "shared"), "fp")
+
+
+def postings(prints: DataFrame, most_bits: int) -> DataFrame:
+    """(positions, shared, fp): the inverted index of distinct fingerprints, a list for the bytes found at each pair of blocks."""
+    return _keys(prints, [(*a, *b) for a, b in combinations(blocks_of_bytes(most_bits), 2)])
+
+
+def fine_postings(prints: DataFrame, most_bits: int) -> DataFrame:
+    """(positions, shared, fp): a list for the bytes at each choice of all but `most_bits` positions, of 256 ** most_bits fingerprints at most."""
+    return _keys(prints, list(combinations(range(BYTES), BYTES - most_bits)))
 
 
-def near_links(fps: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join exactly the fingerprints of a list that chains of at most `most_bits` differing bits join.
+def _lists(index: DataFrame) -> DataFrame:
+    return index.groupBy("positions", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
-    Short lists compare pairs: their shared positional bytes are tallied, and pairs with enough of them verified bit by bit. Long lists
-    look up each fingerprint with up to `most_bits` bits changed. Either way a list yields fewer links than members.
+
+def tallied(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs of a list, by place, that are near, and how many the tally has turned down.
+
+    For each pair that meets in the list the positional bytes that it shares are counted. Pairs below the minimum that near fingerprints
+    are sure to share are turned down, the others verified bit by bit.
     """
+    left, right = np.triu_indices(len(values), 1)
+    differing = values[left] ^ values[right]
+    shared = (differing.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
+    enough = shared >= BYTES - most_bits
+    turned_down = int(len(enough) - enough.sum())
+    enough[enough] = np.bitwise_count(differing[enough]) <= most_bits
+    return left[enough], right[enough], turned_down
+
+
+def looked_up(values: np.ndarray, most_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a sorted list that are near: each fingerprint is looked up with up to `most_bits` of the bits changed in which the list differs."""
+    free = int(np.bitwise_or.reduce(values ^ values[0]))
+    places = [bit for bit in range(64) if free >> bit & 1]
+    pairs = []
+    for bits in range(1, most_bits + 1):
+        for chosen in combinations(places, bits):
+            other = values ^ np.uint64(sum(1 << bit for bit in chosen))
+            at = np.minimum(np.searchsorted(values, other), len(values) - 1)
+            hit = np.flatnonzero((values[at] == other) & (values < other))
+            if len(hit):
+                pairs.append((hit, at[hit]))
+    return pairs
+
+
+def near_links(fps: np.ndarray, most_bits: int, by_tally: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join exactly the fingerprints of a list that chains of at most `most_bits` differing bits join, fewer than it has members."""
     values = np.sort(fps.view(np.uint64))
-    if len(values) < LOOK_UP_FROM:
-        left, right = np.triu_indices(len(values), 1)
-        differing = values[left] ^ values[right]
-        shared = (differing.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-        enough = shared >= BYTES - most_bits
-        enough[enough] = np.bitwise_count(differing[enough]) <= most_bits
-        pairs = [(left[enough], right[enough])]
-    else:
-        free = int(np.bitwise_or.reduce(values ^ values[0]))
-        places = [bit for bit in range(64) if free >> bit & 1]
-        pairs = []
-        for bits in range(1, most_bits + 1):
-            for chosen in combinations(places, bits):
-                other = values ^ np.uint64(sum(1 << bit for bit in chosen))
-                at = np.minimum(np.searchsorted(values, other), len(values) - 1)
-                hit = np.flatnonzero((values[at] == other) & (values < other))
-                if len(hit):
-                    pairs.append((hit, at[hit]))
+    pairs = [tallied(values, most_bits)[:2]] if by_tally else looked_up(values, most_bits)
     root = np.arange(len(values))
     changed = bool(pairs)
     while changed:
@@ -116,23 +135,40 @@ def near_links(fps: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]
     return values[linked].view(np.int64), values[root[linked]].view(np.int64)
 
 
-def links(prints: DataFrame, most_bits: int = 2) -> DataFrame:
-    """(a, b): links between distinct fingerprints, with the same connected components as all pairs within `most_bits` bits."""
-
+def _links_of_lists(lists: DataFrame, most_bits: int, by_tally: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("fps")
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            held = batch.column("fps")
+            values = held.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False)).tolist()
             found, start = [], 0
             for end in ends:
-                found.append(near_links(values[start:end], most_bits))
+                found.append(near_links(values[start:end], most_bits, by_tally))
                 start = end
             a = np.concatenate([x for x, _y in found]) if found else np.empty(0, np.int64)
             b = np.concatenate([y for _x, y in found]) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return postings(prints, most_bits).select("fps").mapInArrow(run, "a LONG, b LONG").distinct()
+    return lists.mapInArrow(run, "a LONG, b LONG")
+
+
+def links(prints: DataFrame, most_bits: int = 2, longest: int = LONGEST_TALLIED) -> DataFrame:
+    """(a, b): links between distinct fingerprints, with the same connected components as all pairs within `most_bits` bits.
+
+    Two near fingerprints meet in a list of two whole blocks of bytes. Lists are counted first; the pairs of a list are tallied if it has at most
+    `longest`. Members of longer lists, whose pairs grow with the square, go to the finer index, whose lists have a bound, and are looked up there.
+    """
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Spread by number, as the few bytes of a fingerprint become several rows.
+    index = postings(prints.repartition(parts, "fp"), most_bits)
+    keys = ["positions", "shared"]
+    sizes = index.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    sizes = kept(sizes.select(*keys, (F.col("size") > longest).alias("long")))
+    short = _lists(index.join(sizes.where(~F.col("long")), keys, "left_semi"))
+    crowded = index.join(sizes.where("long"), keys, "left_semi").select("fp").distinct()
+    found = _links_of_lists(short, most_bits, True)
+    fine = _links_of_lists(_lists(fine_postings(crowded.repartition(parts, "fp"), most_bits)), most_bits, False)
+    return found.unionAll(fine).distinct()
 
 
 def simhash_components(

@@ -484,3 +484,59 @@ def test_two_generations_of_parts(monkeypatch):
         texts = [" ".join(["always"] * 2 + ["w%d" % rng.randrange(2000) for _ in range(20)]) for _ in range(3)]
         assert tokens.encode(texts) == [array("I", whole.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
         assert " always" in tokens.young, number
+
+
+def clustered_prints(rng, groups, members):
+    """Fingerprints around common centres, a few bits away from them, and some by themselves."""
+    found = set()
+    for _g in range(groups):
+        centre = rng.getrandbits(64)
+        for _m in range(members):
+            value = centre
+            for bit in rng.sample(range(64), rng.randint(0, 4)):
+                value ^= 1 << bit
+            found.add(value)
+    return sorted(found | {rng.getrandbits(64) for _ in range(100)})
+
+
+def classes_by_hand(values, most_bits):
+    root = {v: v for v in values}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if (a ^ b).bit_count() <= most_bits:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {v: top(v) for v in values}
+
+
+@pytest.mark.parametrize("longest, most_bits", [(256, 2), (3, 2), (256, 1), (4, 3)])
+def test_simhash_links_by_tally_and_look_up(spark, longest, most_bits):
+    rng = random.Random(most_bits)
+    values = clustered_prints(rng, 6, 30)
+    prints = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp LONG")
+    found = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash_dedup.links(prints, most_bits, longest).collect()]
+    by_hand = classes_by_hand(values, most_bits)
+    assert all(by_hand[a] == by_hand[b] for a, b in found)
+    joined = {v: v for v in values}
+    for _ in values:
+        for a, b in found:
+            joined[a] = joined[b] = min(joined[a], joined[b])
+    assert {v: joined[v] for v in values} == by_hand
+
+
+def test_simhash_tally_turns_pairs_down():
+    """Pairs that meet in a list of two blocks share four bytes for certain; the tally turns those down that share fewer than six."""
+    rng = random.Random(8)
+    head = rng.getrandbits(32) << 32
+    values = np.array(sorted({head | rng.getrandbits(32) for _ in range(60)} | {head | (1 << n) for n in range(4)}), np.uint64)
+    left, right, turned_down = simhash_dedup.tallied(values, 2)
+    pairs = len(values) * (len(values) - 1) // 2
+    assert turned_down > pairs // 2
+    near = {(int(values[a]), int(values[b])) for a, b in zip(left, right, strict=True)}
+    assert near == {(int(a), int(b)) for i, b in enumerate(values) for a in values[:i] if (int(a) ^ int(b)).bit_count() <= 2}
