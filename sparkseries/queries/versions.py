@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import intervals
 from ..session import scratch_path
-from ..sources import runs, version_store
+from ..sources import plugin, runs, version_store
 from ..streaming import jobs, state
 from .ingest import before_and_after, streamed
 from .registry import query
@@ -90,3 +90,46 @@ def stream_state_idle(t):
         stream, path, checkpoint, idle="2 DAYS", late="1 day"))
     live, settled = state.live_rows(t.spark, checkpoint, rows), state.settled_rows(t.spark, path, rows)
     return live.select(F.lit("live").alias("kept"), "*").unionAll(settled.select(F.lit("settled"), "*"))
+
+
+def daily_events(name: str):
+    """A plug-in over the table of events: a day's rows are looked up in the file by that day."""
+
+    def table(options):
+        import pyarrow.dataset as ds
+
+        return ds.dataset(options["table"])
+
+    def days(options):
+        import pyarrow.compute as pc
+
+        ends = pc.min_max(table(options).to_table(columns=["ts"])["ts"])
+        return ends["min"].as_py().date(), ends["max"].as_py().date()
+
+    def rows(day, options):
+        import datetime as dt
+
+        import pyarrow.compute as pc
+
+        begin = dt.datetime.combine(day, dt.time())
+        found = table(options).to_table(columns=["event_id", "value"], filter=(pc.field("ts") >= begin) & (pc.field("ts") < begin + dt.timedelta(days=1)))
+        for event_id, value in zip(found["event_id"].to_pylist(), found["value"].to_pylist(), strict=True):
+            yield day, event_id, value
+
+    return plugin.dated_source(name, "date DATE, event_id BIGINT, value DOUBLE", days, rows)
+
+
+@query("plugin_by_day", """
+SELECT 'batch' AS way, CAST(ts AS DATE) AS date, CAST(event_id AS BIGINT) AS event_id, value FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
+UNION ALL SELECT 'stream', CAST(ts AS DATE), CAST(event_id AS BIGINT), value FROM events""")
+def plugin_by_day(t):
+    """A plug-in source read in tasks with a pushed date filter, and the same source as a stream."""
+    plugin.register_dated_source(t.spark, daily_events("daily_events"))
+    options = {"table": f"{t.folder}/events.parquet", "tasks": 4}
+    some = t.spark.read.format("daily_events").options(**options).load().where("date >= DATE'2024-01-10' AND date < DATE'2024-01-20'")
+    path = scratch_path(t.spark, "days")
+    stream = t.spark.readStream.format("daily_events").options(**options).load()
+    writer = stream.writeStream.option("checkpointLocation", scratch_path(t.spark, "state")).trigger(availableNow=True)
+    writer.start(path, format="parquet").awaitTermination()
+    landed = t.spark.read.schema(some.schema).parquet(path)
+    return some.select(F.lit("batch").alias("way"), "*").unionAll(landed.select(F.lit("stream"), "*"))
