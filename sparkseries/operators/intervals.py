@@ -15,6 +15,8 @@ from ..functions import times
 
 FROM, TO = "valid_from", "valid_to"
 KEYS = ("series", "date")
+#: So many rows of moments and their blocks are sent to every executor, some MB; the intervals then stay where they are.
+FEW_POINTS = 200_000
 
 
 def version_intervals(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -84,6 +86,9 @@ def snapshots_at(intervals: DataFrame, moments: DataFrame, moment: str = "moment
     Time is cut into buckets, about one for each moment. An interval is taken apart into few blocks of buckets, each twice as long as one of the level
     below (at most two a level, as in a segment tree), and its two ends; a moment stands in one block of each level. Both sides meet in an
     equi-join on the blocks, exactly once for each pair, so there is neither a product nor a copy of an interval for each of its days.
+
+    A large block has a good part of all intervals. So few moments are broadcast whatever the session's limit is, and no block is sent to one task;
+    the blocks of many moments are shuffled, where adaptive execution splits the large ones.
     """
     asked = moments.select(F.col(moment).cast("timestamp_ntz").alias("_moment")).where(F.col("_moment").isNotNull()).distinct()
     low, high, number = asked.agg(F.min(_micros(F.col("_moment"))), F.max(_micros(F.col("_moment"))), F.count(F.lit(1))).first()
@@ -126,6 +131,8 @@ def snapshots_at(intervals: DataFrame, moments: DataFrame, moment: str = "moment
                     F.struct(F.lit(-1).alias("level"), closing.alias("block")))
     parts = F.filter(F.concat(inner, F.array(edge_a, edge_b)), lambda p: p.isNotNull())
     spread = spans.select(*rows.columns, FROM, TO, F.explode(parts).alias("_at"))
+    if number * (levels + 2) <= FEW_POINTS:
+        points = F.broadcast(points)
     met = spread.join(points, "_at").where(
         (F.col(FROM).isNull() | (F.col(FROM) <= F.col("_moment"))) & (F.col(TO).isNull() | (F.col("_moment") < F.col(TO)))
     )

@@ -66,6 +66,23 @@ def test_every_pair_meets_once(spark):
     assert "CartesianProduct" not in spread and "NestedLoop" not in spread
 
 
+@pytest.mark.parametrize("few", [0, intervals.FEW_POINTS])
+def test_no_block_goes_to_one_task(spark, monkeypatch, few):
+    """Blocks of few moments are broadcast whatever the session's limit, so that the intervals are not shuffled by block; both ways give the same."""
+    monkeypatch.setattr(intervals, "FEW_POINTS", few)
+    df = random_versions(spark, random.Random(4), 60)
+    moments = [dt.datetime(2024, 1, d, 12) for d in range(1, 25)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = intervals.snapshots_at(intervals.version_intervals(df), as_moments(spark, moments))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == bool(few) and ("SortMergeJoin" in plan) != bool(few)
+        assert rows_of(found, "moment", "series", "date", "value", "created_at") == expected_at(df, moments)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("seed", [7])
 def test_kept_up_store(spark, tmp_path, seed):
     """Appends in order, out of order, repeated and empty leave the same snapshots as all versions at once."""
