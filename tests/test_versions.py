@@ -220,6 +220,34 @@ def test_state_over_restarts(spark, tmp_path):
     assert spark.conf.get(state.PROVIDER, "") != state.ROCKSDB
 
 
+def test_state_without_python(spark, tmp_path):
+    """Where no id is settled no function is called for an id: the state is a maximum of Spark's, in the order the processor has."""
+    schema = "id STRING, timestamp TIMESTAMP_NTZ, value INT, tags ARRAY<STRING>"
+    first, second = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    batches = [
+        [("a", first, 1, None), ("a", first, None, ["x"]), ("b", second, 5, ["x"]), ("b", second, 5, ["y"]), ("c", None, 9, None), (None, first, 1, None)],
+        # An equal stamp comes too late, any row replaces one without a stamp.
+        [("a", first, 7, None), ("b", first, 8, None), ("c", None, 2, None), (None, second, 2, None)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = state.keep_last_write(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+        assert "StateStoreSave" in plan and "Python" not in plan and "Pandas" not in plan
+    live = state.live_rows(spark, str(tmp_path / "state"), spark.createDataFrame([], schema))
+    assert rows_of(live) == sorted([("a", first, 1, None), ("b", second, 5, ["y"]), ("c", None, 2, None), (None, second, 2, None)], key=repr)
+
+
+def test_state_of_rows_without_an_order(spark, tmp_path):
+    """Maps have no order, so a processor holds such rows, which decides only between equal stamps by them."""
+    schema = "id STRING, timestamp TIMESTAMP_NTZ, value MAP<STRING, INT>"
+    for day in (2, 1):
+        spark.createDataFrame([("a", dt.datetime(2024, 1, day), {"x": day})], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        state.keep_last_write(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert rows_of(state.live_rows(spark, str(tmp_path / "state"), spark.createDataFrame([], schema))) == [("a", dt.datetime(2024, 1, 2), {"x": 2})]
+
+
 # --- chains
 
 
