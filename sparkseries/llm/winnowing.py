@@ -72,13 +72,15 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
     number = F.greatest(n - (k - 1), F.least(n, F.lit(1)))
     part = f"{grams}_1"
     codes = F.transform(F.split(text_col, ""), lambda c: F.xxhash64(c).bitwiseAND(F.lit(0x3FFFFFFF).cast("long")) + 1)
+    # A short text is filled up with zeros, so no step has to look for a missing number: a null at the end is of a place without a k-gram.
+    codes = F.when(n < k, F.concat(codes, F.array_repeat(F.lit(0).cast("long"), k - 1))).otherwise(codes)
     df, made, spans = df.withColumn(part, codes), [part], {1: part}
 
     def joined(left: str, right: str, a: int, b: int) -> Column:
-        """The polynomials of a + b code points from those of the first a and the next b; beyond the end they are 0."""
+        """The polynomials of a + b code points from those of the first a and the next b; where these are beyond the end, null."""
         later = F.slice(right, a + 1, F.greatest(F.size(right) - a, F.lit(0)))
         power = F.lit(pow(BASE, b, PRIME)).cast("long")
-        return F.zip_with(F.col(left), later, lambda x, y: (x * power + F.coalesce(y, F.lit(0).cast("long"))) % F.lit(PRIME).cast("long"))
+        return F.zip_with(F.col(left), later, lambda x, y: (x * power + y) % F.lit(PRIME).cast("long"))
 
     span = 1
     while span * 2 <= k:
@@ -92,7 +94,11 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
         df = df.withColumn(name, joined(whole, spans[size], rest, size))
         made.append(name)
         whole, rest = name, rest + size
-    return df.withColumn(grams, F.slice(F.transform(F.col(whole), _packed), F.lit(1), number)).drop(*made)
+    # Places as they are packed; the two arrays are equally long.
+    down = F.when(number > 0, F.sequence(F.lit(LAST_PLACE).cast("long"), F.lit(LAST_PLACE).cast("long") + 1 - number, F.lit(-1).cast("long")))
+    down = F.coalesce(down, F.array().cast("array<long>"))
+    packed = F.zip_with(F.slice(F.col(whole), F.lit(1), number), down, lambda x, place: F.shiftleft(x, 31).bitwiseOR(place))
+    return df.withColumn(grams, packed).drop(*made)
 
 
 def hashes(fingerprint: Column | str) -> Column:
@@ -191,34 +197,43 @@ def compare_with_next(
     if unit != "characters":
         rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next")
         return with_likeness(with_fingerprint(rows, "edited", "edited_fp", k, window, unit), "fp", "edited_fp", "near_edited")
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next", (n - half).alias("cut"))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "next_fp", "near_next", (n - half).alias("cut"))
     rows = _with_edited_fingerprint(rows, k, window)
     return with_likeness(rows, "fp", "edited_fp", "near_edited")
 
 
 def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
-    """The rows with `edited_fp`, where `edited` has the first `cut` code points of the text whose fingerprint is `fp`.
+    """The rows with `edited_fp`, where `edited` has the first `cut` code points of the text whose fingerprint is `fp`, then the first of the next's.
 
-    Windows that end before the cut are the text's own: what they chose is the start of its fingerprint. Only the rest is hashed.
+    Windows that end before the cut are the text's own: what they chose is the start of its fingerprint. Windows that begin behind it are the
+    next text's, the start of `next_fp`. Only the code points of the windows between are hashed, however long the texts are.
     """
+    reach = k + window - 2
     # The first window with a code point behind the cut.
-    rows = rows.withColumn("own", F.greatest(F.col("cut") - (k - 1) - (window - 1), F.lit(0)))
-    rest = F.substring(F.col("edited"), F.col("own") + 1, F.length("edited"))
+    rows = rows.withColumn("own", F.greatest(F.col("cut") - reach, F.lit(0)))
+    # How many windows are the next text's, a column of its own because a length takes as long as its text; less than 1 for none.
+    rows = rows.withColumn("theirs", F.length("edited") - F.col("cut") - reach)
+    rest = F.substring(F.col("edited"), F.col("own") + 1, F.col("cut") - F.col("own") + reach)
     rows = rows.withColumn("rest", rest)
     rows = with_fingerprint(rows, "rest", "rest_fp", k, window, "characters")
 
-    def first_window(x: Column, at: Column) -> Column:
-        """The window that is the first to choose an entry: when it comes in, if it is less than the one before, or when that goes out."""
-        before = F.get(F.col("fp"), at - 1)
-        comes_in = F.greatest(_place(x) - (window - 1), F.lit(0))
-        return F.when(before.isNull() | (x < before), comes_in).otherwise(_place(before) + 1)
+    def chosen_before(fingerprint: str, end: Column) -> Column:
+        """What the windows before one have chosen: an entry's first window is where it comes in, if it is less than the one before, or when that goes out."""
 
-    kept = F.filter(F.col("fp"), lambda x, at: first_window(x, at) < F.col("own"))
+        def first_window(x: Column, at: Column) -> Column:
+            before = F.get(F.col(fingerprint), at - 1)
+            comes_in = F.greatest(_place(x) - (window - 1), F.lit(0))
+            return F.when(before.isNull() | (x < before), comes_in).otherwise(_place(before) + 1)
+
+        return F.filter(F.col(fingerprint), lambda x, at: first_window(x, at) < end)
+
+    kept = chosen_before("fp", F.col("own"))
     shifted = F.transform("rest_fp", lambda x: x - F.col("own"))
+    following = F.transform(chosen_before("next_fp", F.col("theirs")), lambda x: x - F.col("cut"))
     # Where nothing follows the cut, all windows are the text's own.
-    nothing = (F.col("own") > 0) & (F.length("edited") == F.col("cut"))
-    found = F.when(nothing, kept).otherwise(F.array_distinct(F.concat(kept, shifted)))
-    return rows.withColumn("edited_fp", found).drop("own", "rest", "rest_fp", "cut")
+    nothing = (F.col("own") > 0) & (F.col("theirs") == -reach)
+    found = F.when(nothing, kept).otherwise(F.array_distinct(F.concat(kept, shifted, following)))
+    return rows.withColumn("edited_fp", found).drop("own", "theirs", "rest", "rest_fp", "next_fp", "cut")
 
 
 def _place(entry: Column) -> Column:

@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 import xxhash
 from llm_fixtures import documents, words  # noqa: F401
+from pyspark.sql import functions as F
 
 from sparkseries.llm import byte_bpe, packing, secret_scan, simhash_dedup, substring_dedup, winnowing
 
@@ -540,3 +541,22 @@ def test_simhash_tally_turns_pairs_down():
     assert turned_down > pairs // 2
     near = {(int(values[a]), int(values[b])) for a, b in zip(left, right, strict=True)}
     assert near == {(int(a), int(b)) for i, b in enumerate(values) for a in values[:i] if (int(a) ^ int(b)).bit_count() <= 2}
+
+
+def test_edited_texts_are_hashed_at_the_cut_only(spark, monkeypatch):
+    """Of an edited text only the windows across the cut are hashed, however long it is; its fingerprint is that of the whole edited text."""
+    rng, hashed, k, window = random.Random(8), [], winnowing.CHARACTERS, winnowing.WINDOW
+    plain = winnowing.with_fingerprint
+
+    def noted(df, text_col, *rest, **named):
+        if text_col != "text":
+            hashed.append(df.select(F.length(text_col).alias("n")))
+        return plain(df, text_col, *rest, **named)
+
+    monkeypatch.setattr(winnowing, "with_fingerprint", noted)
+    lengths = [*range(0, 64, 3), 400, 0, 29, 30, 31, 500, 14, 15, 16, 28]
+    rows = [(i, "".join(rng.choice("ab" if i % 2 else "aé𝄞 ") for _ in range(n))) for i, n in enumerate(lengths)]
+    found = winnowing.compare_with_next(spark.createDataFrame(rows, "doc_id LONG, text STRING"), k=k, unit="characters")
+    assert [d.agg(F.max("n")).first()[0] for d in hashed] == [2 * (k + window - 2)]
+    direct = plain(found, "edited", "whole", k, window, "characters").select("edited", "edited_fp", "whole").collect()
+    assert len(direct) == len(rows) and all(r["edited_fp"] == r["whole"] for r in direct)
