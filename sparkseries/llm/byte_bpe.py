@@ -64,6 +64,17 @@ class Vocabulary:
             token = pair[side] if pair else None
         return found
 
+    def _merged(self, ends: list[tuple[bytes, int]], starts: list[tuple[bytes, int]]) -> bool:
+        """Whether a merge across the border comes first."""
+        rank_of = self.ranks.get
+        for a, gone in ends:
+            for b, merged in starts:
+                # Of equal merges the left one comes first.
+                across = rank_of(a + b, NEVER)
+                if across < gone and across <= merged:
+                    return True
+        return False
+
     def beside(self, left: bytes, right: bytes) -> bool:
         """Whether `right` may follow `left` in an encoding."""
         known = self.known.get((left, right))
@@ -72,12 +83,7 @@ class Vocabulary:
                 self._ends[left] = self._spine(left, 1)
             if right not in self._starts:
                 self._starts[right] = self._spine(right, 0)
-            known = self.known[left, right] = not any(
-                # Of equal merges the left one comes first.
-                (across := self.ranks.get(a + b, NEVER)) < gone and across <= merged
-                for a, gone in self._ends[left]
-                for b, merged in self._starts[right]
-            )
+            known = self.known[left, right] = not self._merged(self._ends[left], self._starts[right])
         return known
 
 
@@ -100,19 +106,21 @@ class Prefixes(dict):
             return known[0]
         packed, longest, vocabulary, known_beside = self.packed, self.vocabulary.longest, self.vocabulary, self.vocabulary.known
         start = len(data) - 1
-        while data[:start] not in self:
+        while (entry := self.get(data[:start])) is None:
             start -= 1
+        entries = [entry]
         for end in range(start + 1, len(data) + 1):
             least = max(0, end - longest[data[end - 1]])
             for at in range(end - 1, least - 1, -1):
                 token = data[at:end]
                 if token in packed:
-                    before, last = self[data[:at]]
+                    before, last = entries[at - start] if at >= start else self[data[:at]]
                     fits = last is None or known_beside.get((last, token))
                     if fits is None:
                         fits = vocabulary.beside(last, token)
                     if fits:
                         self[data[:end]] = found = (before + packed[token], token)
+                        entries.append(found)
                         break
             else:
                 raise ValueError(f"no token ends with byte {data[end - 1]}")
@@ -233,13 +241,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(path)
-        tokens = dict(zip(ranks.values(), ranks.keys(), strict=True))
+        table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            table[rank] = token
+        tokens = pa.array(table, pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 lists = part.column("ids")
-                flat, ends = lists.flatten().to_numpy(), np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
-                texts = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+                ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
+                # The bytes of all ids stand in one buffer, text after text; its offsets at the ends of texts are those of the texts.
+                taken = tokens.take(lists.flatten())
+                if taken.null_count:
+                    raise ValueError("an id is null or of no token")
+                offsets = np.frombuffer(taken.buffers()[1], "<i4")[ends + taken.offset] if len(taken) else ends.astype("<i4")
+                texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(offsets)), taken.buffers()[2]])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, texts], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id LONG, ids ARRAY<INT>, decoded BINARY")

@@ -560,3 +560,28 @@ def test_edited_texts_are_hashed_at_the_cut_only(spark, monkeypatch):
     assert [d.agg(F.max("n")).first()[0] for d in hashed] == [2 * (k + window - 2)]
     direct = plain(found, "edited", "whole", k, window, "characters").select("edited", "edited_fp", "whole").collect()
     assert len(direct) == len(rows) and all(r["edited_fp"] == r["whole"] for r in direct)
+
+
+def test_prefixes_of_one_piece_are_looked_up_once():
+    """The prefixes that an encoding has just made are at hand; only those of an earlier one are looked up by their bytes."""
+
+    class Counted(byte_bpe.Prefixes):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return super().__getitem__(key)
+
+    vocabulary = byte_bpe.Vocabulary({b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"bc": 4, b"abc": 5})
+    ids = Counted(vocabulary).encode(b"abcabbc")
+    assert [*memoryview(ids).cast("i")] == [5, 3, 4] and Counted.looked == 0
+
+
+def test_decoding_of_empty_and_missing_lists(spark):
+    rows = [(1, [5, 300]), (2, []), (3, None), (None, [300]), *[(n, [n]) for n in range(10, 600, 2)]]
+    ranks = byte_bpe.read_ranks(RANKS)
+    tokens = {rank: token for token, rank in ranks.items()}
+    found = byte_bpe.decode(spark.createDataFrame(rows, "doc_id LONG, ids ARRAY<INT>").coalesce(1), RANKS).collect()
+    assert [(r["doc_id"], bytes(r["decoded"])) for r in found] == [(i, b"".join(tokens[x] for x in ids or [])) for i, ids in rows]
+    with pytest.raises(Exception, match="of no token"):
+        byte_bpe.decode(spark.createDataFrame([(1, [1, None])], "doc_id LONG, ids ARRAY<INT>"), RANKS).collect()
