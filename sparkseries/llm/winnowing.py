@@ -8,6 +8,7 @@ both fingerprints, and a run of fewer than k leaves none.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,37 +69,43 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
     The polynomials of all places are put together from those of half as many code points, so a place costs log2(k) steps; a
     hash that rolls on from place to place would need an array that grows by copies.
     """
-    n = F.length(text_col)
-    number = F.greatest(n - (k - 1), F.least(n, F.lit(1)))
-    part = f"{grams}_1"
+    part, n = f"{grams}_1", F.col(f"{grams}_n")
+    # Columns of their own, because each use of a length would count the text again.
+    df = df.withColumn(f"{grams}_n", F.length(text_col))
     codes = F.transform(F.split(text_col, ""), lambda c: F.xxhash64(c).bitwiseAND(F.lit(0x3FFFFFFF).cast("long")) + 1)
-    # A short text is filled up with zeros, so no step has to look for a missing number: a null at the end is of a place without a k-gram.
-    codes = F.when(n < k, F.concat(codes, F.array_repeat(F.lit(0).cast("long"), k - 1))).otherwise(codes)
-    df, made, spans = df.withColumn(part, codes), [part], {1: part}
+    # A short text is filled up with zeros to one k-gram, so no step has to look for a missing number: a null at the end is of a place without a k-gram.
+    codes = F.when(n < k, F.concat(codes, F.array_repeat(F.lit(0).cast("long"), k - F.greatest(n, F.lit(1))))).otherwise(codes)
+    df, made, spans = df.withColumn(part, codes), [f"{grams}_n", part], {1: part}
 
-    def joined(left: str, right: str, a: int, b: int) -> Column:
-        """The polynomials of a + b code points from those of the first a and the next b; where these are beyond the end, null."""
-        later = F.slice(right, a + 1, F.greatest(F.size(right) - a, F.lit(0)))
+    def joined(b: int) -> Callable[[Column, Column], Column]:
+        """The polynomial of two runs of code points from those of the first and of the next b; where these are beyond the end, null."""
         power = F.lit(pow(BASE, b, PRIME)).cast("long")
-        return F.zip_with(F.col(left), later, lambda x, y: (x * power + y) % F.lit(PRIME).cast("long"))
+        return lambda x, y: (x * power + y) % F.lit(PRIME).cast("long")
 
-    span = 1
+    span, joins = 1, []
     while span * 2 <= k:
         spans[span * 2] = f"{grams}_{span * 2}"
-        df = df.withColumn(spans[span * 2], joined(spans[span], spans[span], span, span))
-        made.append(spans[span * 2])
+        joins.append((spans[span], spans[span], span, span, spans[span * 2]))
         span *= 2
     whole, rest = spans[span], span
     for size in sorted((s for s in spans if k & s and s != span), reverse=True):
         name = f"{grams}_{rest + size}"
-        df = df.withColumn(name, joined(whole, spans[size], rest, size))
-        made.append(name)
+        joins.append((whole, spans[size], rest, size, name))
         whole, rest = name, rest + size
-    # Places as they are packed; the two arrays are equally long.
-    down = F.when(number > 0, F.sequence(F.lit(LAST_PLACE).cast("long"), F.lit(LAST_PLACE).cast("long") + 1 - number, F.lit(-1).cast("long")))
-    down = F.coalesce(down, F.array().cast("array<long>"))
-    packed = F.zip_with(F.slice(F.col(whole), F.lit(1), number), down, lambda x, place: F.shiftleft(x, 31).bitwiseOR(place))
-    return df.withColumn(grams, packed).drop(*made)
+    for left, right, a, b, name in joins[:-1]:
+        later = F.slice(right, a + 1, F.greatest(F.size(right) - a, F.lit(0)))
+        df = df.withColumn(name, F.zip_with(F.col(left), later, joined(b)))
+        made.append(name)
+
+    def packed(x: Column, place: Column) -> Column:
+        """The last join and the packing in one step over the places."""
+        for _left, right, a, b, _name in joins[-1:]:
+            x = joined(b)(x, F.get(F.col(right), place + a))
+        return _packed(x, place)
+
+    number = F.greatest(n - (k - 1), F.least(n, F.lit(1)))
+    last = joins[-1][0] if joins else part
+    return df.withColumn(grams, F.slice(F.transform(F.col(last), packed), F.lit(1), number)).drop(*made)
 
 
 def hashes(fingerprint: Column | str) -> Column:
@@ -116,18 +123,25 @@ def fingerprint_text(fingerprint: Column | str) -> Column:
 
     def entry(x: Column) -> Column:
         place = F.lit(LAST_PLACE).cast("long") - x.bitwiseAND(F.lit(LAST_PLACE).cast("long"))
-        return F.concat(F.lower(F.hex(F.shiftright(x, 31))), F.lit("@"), place.cast("string"))
+        return F.concat(F.hex(F.shiftright(x, 31)), F.lit("@"), place.cast("string"))
 
-    return F.array_join(F.transform(fingerprint, entry), " ")
+    # Lower case for the whole at once.
+    return F.lower(F.array_join(F.transform(fingerprint, entry), " "))
 
 
-def with_likeness(df: DataFrame, left: str, right: str, out: str) -> DataFrame:
-    """The rows with `out`: the share of common hashes among all hashes of two fingerprints; 1 if neither has any."""
-    a, b, common = f"{out}_a", f"{out}_b", f"{out}_common"
-    df = df.withColumn(a, hashes(left)).withColumn(b, hashes(right))
+def with_likeness(df: DataFrame, left: str, right: str, out: str, left_hashes: str | None = None) -> DataFrame:
+    """The rows with `out`: the share of common hashes among all hashes of two fingerprints; 1 if neither has any.
+
+    `left_hashes` is a column that already holds the hashes of the first.
+    """
+    a, b, common = left_hashes or f"{out}_a", f"{out}_b", f"{out}_common"
+    if not left_hashes:
+        df = df.withColumn(a, hashes(left))
+    df = df.withColumn(b, hashes(right))
     df = df.withColumn(common, F.size(F.array_intersect(a, b)))
     everything = F.size(a) + F.size(b) - F.col(common)
-    return df.withColumn(out, F.when(everything == 0, F.lit(1.0)).otherwise(F.col(common) / everything)).drop(a, b, common)
+    df = df.withColumn(out, F.when(everything == 0, F.lit(1.0)).otherwise(F.col(common) / everything))
+    return df.drop(b, common) if left_hashes else df.drop(a, b, common)
 
 
 def with_next(df: DataFrame, id_col: str, add, *columns: str) -> DataFrame:
@@ -193,13 +207,15 @@ def compare_with_next(
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_likeness(rows, "fp", "next_fp", "near_next")
-    if unit != "characters":
-        rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "near_next")
-        return with_likeness(with_fingerprint(rows, "edited", "edited_fp", k, window, unit), "fp", "edited_fp", "near_edited")
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "next_fp", "near_next", (n - half).alias("cut"))
-    rows = _with_edited_fingerprint(rows, k, window)
-    return with_likeness(rows, "fp", "edited_fp", "near_edited")
+    # Of use for both likenesses.
+    rows = rows.withColumn("hashes", hashes("fp"))
+    rows = with_likeness(rows, "fp", "next_fp", "near_next", "hashes")
+    chosen = ["doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "hashes", "near_next"]
+    if unit == "characters":
+        rows = _with_edited_fingerprint(rows.select(*chosen, "next_fp", (n - half).alias("cut")), k, window)
+    else:
+        rows = with_fingerprint(rows.select(*chosen), "edited", "edited_fp", k, window, unit)
+    return with_likeness(rows, "fp", "edited_fp", "near_edited", "hashes").drop("hashes")
 
 
 def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
@@ -217,15 +233,22 @@ def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
     rows = rows.withColumn("rest", rest)
     rows = with_fingerprint(rows, "rest", "rest_fp", k, window, "characters")
 
+    # Places ascend. An entry before a window is chosen before it; of those behind, only the next few can be, so only they are looked at closely.
+    sure = {"fp": "fp_sure", "next_fp": "next_fp_sure"}
+    rows = rows.withColumn(sure["fp"], F.size(F.filter("fp", lambda x: _place(x) < F.col("own"))))
+    rows = rows.withColumn(sure["next_fp"], F.size(F.filter("next_fp", lambda x: _place(x) < F.col("theirs"))))
+
     def chosen_before(fingerprint: str, end: Column) -> Column:
         """What the windows before one have chosen: an entry's first window is where it comes in, if it is less than the one before, or when that goes out."""
+        known = F.col(sure[fingerprint])
 
         def first_window(x: Column, at: Column) -> Column:
-            before = F.get(F.col(fingerprint), at - 1)
+            before = F.get(F.col(fingerprint), known + at - 1)
             comes_in = F.greatest(_place(x) - (window - 1), F.lit(0))
             return F.when(before.isNull() | (x < before), comes_in).otherwise(_place(before) + 1)
 
-        return F.filter(F.col(fingerprint), lambda x, at: first_window(x, at) < end)
+        close = F.slice(F.col(fingerprint), known + 1, F.lit(window - 1))
+        return F.concat(F.slice(F.col(fingerprint), F.lit(1), known), F.filter(close, lambda x, at: first_window(x, at) < end))
 
     kept = chosen_before("fp", F.col("own"))
     shifted = F.transform("rest_fp", lambda x: x - F.col("own"))
@@ -233,7 +256,7 @@ def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
     # Where nothing follows the cut, all windows are the text's own.
     nothing = (F.col("own") > 0) & (F.col("theirs") == -reach)
     found = F.when(nothing, kept).otherwise(F.array_distinct(F.concat(kept, shifted, following)))
-    return rows.withColumn("edited_fp", found).drop("own", "theirs", "rest", "rest_fp", "next_fp", "cut")
+    return rows.withColumn("edited_fp", found).drop("own", "theirs", "rest", "rest_fp", "next_fp", "cut", *sure.values())
 
 
 def _place(entry: Column) -> Column:

@@ -585,3 +585,26 @@ def test_decoding_of_empty_and_missing_lists(spark):
     assert [(r["doc_id"], bytes(r["decoded"])) for r in found] == [(i, b"".join(tokens[x] for x in ids or [])) for i, ids in rows]
     with pytest.raises(Exception, match="of no token"):
         byte_bpe.decode(spark.createDataFrame([(1, [1, None])], "doc_id LONG, ids ARRAY<INT>"), RANKS).collect()
+
+
+def test_steps_over_code_points_are_few(documents):
+    """Five joins and minima over two arrays, one of them less than there were; a length is counted once; hashes of a text's own fingerprint serve both likenesses."""
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    docs = documents([(1, "some text that is longer than a window"), (2, "short")])
+    made = plan(winnowing.with_fingerprint(docs, "text", "fp", winnowing.CHARACTERS, winnowing.WINDOW, "characters"))
+    assert made.count("zip_with(") == 5 and made.count("length(") == 1
+    compared = plan(winnowing.compare_with_next(docs, k=winnowing.CHARACTERS, unit="characters"))
+    assert compared.count("shiftright(lambda") == 3
+
+
+def test_last_windows_before_the_cut(documents):
+    """Entries behind the cut that windows before it chose, as many as a window allows, are kept."""
+    falling, rising = "".join(chr(c) for c in range(0x4E00, 0x4F00)), "".join(chr(c) for c in range(0x4F00, 0x4E00, -1))
+    docs = documents([(1, falling), (2, rising), (3, falling * 3), (4, "ab" * 100), (5, rising[:31])])
+    for k, window in ((8, 8), (2, 20), (1, 40), (4, 1)):
+        found = winnowing.compare_with_next(docs, k=k, window=window, unit="characters")
+        rows = winnowing.with_fingerprint(found, "edited", "again", k, window, "characters").collect()
+        assert len(rows) == 5 and all(r["edited_fp"] == r["again"] for r in rows)
