@@ -37,9 +37,8 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str, k: int = KGRAM, win
     span = 1
     while span < window:
         step = min(span, window - span)
-        later = F.slice(out, step + 1, F.greatest(F.size(out) - step, F.lit(0)))
         # Beyond the end one side is missing; the least of one number is itself.
-        df = df.withColumn(out, F.zip_with(F.col(out), later, lambda a, b: F.least(a, b)))
+        df = df.withColumn(out, F.transform(F.col(out), lambda x, place: F.least(x, F.get(F.col(out), place + step))))
         span += step
     full = F.greatest(F.size(grams) - (window - 1), F.least(F.size(grams), F.lit(1)))
     return df.withColumn(out, F.array_distinct(F.slice(out, F.lit(1), full))).drop(grams)
@@ -82,6 +81,9 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
         power = F.lit(pow(BASE, b, PRIME)).cast("long")
         return lambda x, y: (x * power + y) % F.lit(PRIME).cast("long")
 
+    def joining(right: str, a: int, b: int) -> Callable[[Column, Column], Column]:
+        return lambda x, place: joined(b)(x, F.get(F.col(right), place + a))
+
     span, joins = 1, []
     while span * 2 <= k:
         spans[span * 2] = f"{grams}_{span * 2}"
@@ -93,14 +95,13 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
         joins.append((whole, spans[size], rest, size, name))
         whole, rest = name, rest + size
     for left, right, a, b, name in joins[:-1]:
-        later = F.slice(right, a + 1, F.greatest(F.size(right) - a, F.lit(0)))
-        df = df.withColumn(name, F.zip_with(F.col(left), later, joined(b)))
+        df = df.withColumn(name, F.transform(F.col(left), joining(right, a, b)))
         made.append(name)
 
     def packed(x: Column, place: Column) -> Column:
         """The last join and the packing in one step over the places."""
         for _left, right, a, b, _name in joins[-1:]:
-            x = joined(b)(x, F.get(F.col(right), place + a))
+            x = joining(right, a, b)(x, place)
         return _packed(x, place)
 
     number = F.greatest(n - (k - 1), F.least(n, F.lit(1)))
