@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import chunks
+from .chunks import LOOSE_SPACE, chunks
 from .common import id_and_text, kept, text_slices, worker_state
 
 log = logging.getLogger(__name__)
@@ -37,8 +38,12 @@ MOST_REMEMBERED = 400_000
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
 
 
-#: A word of Latin letters, which the tokenizer's splitting pattern leaves in one piece, and a mark behind it, which is a piece of its own.
-PLAIN_WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([.,;:!?]?)")
+#: A word of Latin letters, a run of marks and a line end are pieces of the tokenizer's splitting pattern wherever they stand like this. (No
+#: apostrophe: with some letters behind it, it is a piece with them.)
+LETTERS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+"
+MARKS = "[!-&(-/:-@\\[-`{-~]+"
+PLAIN_WORD = re.compile(rf"( ?{LETTERS})({MARKS})?((?:\n{LETTERS}(?:{MARKS})?)*)")
+PLAIN_PIECE = re.compile(rf"\n|{LETTERS}|{MARKS}")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -49,9 +54,12 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+BLANK = chr(BYTE_LETTERS[ord(" ")])
 
 
 def byte_letters(piece: str) -> str:
+    if piece.isascii() and piece.isprintable():
+        return piece.replace(" ", BLANK)
     return piece.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
@@ -70,6 +78,23 @@ class Tokens:
         self.model = self.tokenizer.model
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def tokenized(self, piece: str) -> bytes:
+        """The ids of what the splitting pattern leaves in one piece."""
+        return array("I", [t.id for t in self.model.tokenize(byte_letters(piece))]).tobytes()
+
+    def piece(self, word: str) -> bytes:
+        """The ids of a word inside a part; as a part of its own it may be remembered."""
+        return self.young.get(word) or self.old.get(word) or self.tokenized(word)
+
+    def mark(self, piece: str) -> bytes:
+        """The ids of a run of marks or a line end inside a part; short ones are few and stay remembered."""
+        if len(piece) > 3:
+            return self.tokenized(piece)
+        if piece not in self.marks:
+            self.marks[piece] = self.tokenized(piece)
+        return self.marks[piece]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text without special tokens.
@@ -77,25 +102,64 @@ class Tokens:
         Of the parts not remembered, plain words go to the tokenizer's model as the single pieces that they are, the others through the whole
         tokenizer in one call.
         """
+        parts, which, ends = distinct_parts(texts)
         if len(self.young) > MOST_REMEMBERED:
             self.young, self.old = {}, self.young
-        parts = [chunks(text) for text in texts]
-        missed = set().union(*parts).difference(self.young)
-        known = missed & self.old.keys()
-        for part in known:
-            self.young[part] = self.old[part]
-        fresh = []
-        for part in missed - known:
-            if found := PLAIN_WORD.fullmatch(part):
-                ids = [t.id for t in self.model.tokenize(byte_letters(found[1]))]
-                if found[2]:
-                    ids += [t.id for t in self.model.tokenize(found[2])]
-                self.young[part] = array("I", ids).tobytes()
-            else:
-                fresh.append(part)
-        for part, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.young[part] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.young.__getitem__, text)) for text in parts]
+        young, old, fresh = self.young, self.old, []
+        found = list(map(young.get, parts))
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            part = parts[at]
+            if (ids := old.get(part)) is None:
+                if not (word := PLAIN_WORD.fullmatch(part)):
+                    fresh.append(at)
+                    continue
+                head, marks, lines = word.groups()
+                ids = self.piece(head) if head != part else self.tokenized(head)
+                if marks:
+                    ids += self.mark(marks)
+                if lines:
+                    ids += b"".join([self.piece(p) if p[0].isalpha() else self.mark(p) for p in PLAIN_PIECE.findall(lines)])
+            young[part] = found[at] = ids
+        for at, ids in zip(fresh, self.tokenizer.encode_batch_fast([parts[at] for at in fresh], add_special_tokens=False), strict=True):
+            young[parts[at]] = found[at] = array("I", ids.ids).tobytes()
+        # The ids of all parts one after the other, in one step.
+        taken = pa.array(found, pa.large_binary()).take(pa.array(which))
+        _valid, offsets, ids = taken.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(which) + 1, 8 * taken.offset)[np.concatenate([[0], ends])].tolist()
+        return [bytes(ids[a:b]) if b > a else b"" for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def distinct_parts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct ones of the texts' `chunks`, which of them each chunk of all texts is, and how many chunks there are up to the end of each text.
+
+    Texts that are cut at every space are cut and compared in Arrow; what stands before the first space of such a text is a part of its own.
+    """
+    loose = [bool(LOOSE_SPACE.search(text)) for text in texts]
+    split = pc.split_pattern(pa.array(["" if odd else text for text, odd in zip(texts, loose, strict=True)], pa.large_string()), " ")
+    coded = split.flatten().dictionary_encode()
+    parts = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), coded.dictionary, pa.scalar(" ", pa.large_string())).to_numpy(zero_copy_only=False).tolist()
+    starts = np.asarray(split.offsets, np.int64)
+    which = coded.indices.to_numpy().astype(np.int64)
+    # The first part of a text has no space before it; an empty one is no part.
+    heads: dict[str, int] = {}
+    for start in starts[:-1].tolist():
+        head = parts[which[start]][1:]
+        which[start] = heads.setdefault(head, len(parts) + len(heads)) if head else -1
+    parts += heads
+    numbers, firsts = np.diff(starts), starts[:-1]
+    numbers = numbers - (which[firsts] < 0)
+    which = which[which >= 0]
+    ends = np.cumsum(numbers)
+    if any(loose):
+        number = {part: at for at, part in enumerate(parts)}
+        own = np.split(which, ends[:-1])
+        for at in np.flatnonzero(loose).tolist():
+            own[at] = np.array([number.setdefault(part, len(number)) for part in chunks(texts[at])], np.int64)
+        parts, which, ends = list(number), np.concatenate(own), np.cumsum([len(o) for o in own])
+    # What only begins texts is no part with a space before it.
+    used = np.zeros(len(parts), bool)
+    used[which] = True
+    return [part for part, some in zip(parts, used.tolist(), strict=True) if some], (np.cumsum(used) - 1)[which], ends
 
 
 def cut(size: int, capacity: int) -> list[tuple[int, int]]:

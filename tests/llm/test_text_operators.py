@@ -16,6 +16,7 @@ from llm_fixtures import documents, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from sparkseries.llm import byte_bpe, packing, secret_scan, simhash_dedup, substring_dedup, winnowing
+from sparkseries.llm.chunks import chunks
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -476,6 +477,32 @@ def test_plain_words_are_single_pieces():
         assert got == array("I", tokens.tokenizer.encode(part, add_special_tokens=False).ids).tobytes(), part
 
 
+def test_parts_of_words_marks_and_lines_skip_the_splitting(monkeypatch):
+    """Words with runs of marks and line ends between them are tokenized piece by piece; texts are cut into the parts that `chunks` gives."""
+    tokens, sent = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json")), []
+    whole = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json")).tokenizer
+
+    class Noted:
+        def encode_batch_fast(self, parts, **named):
+            sent.extend(parts)
+            return whole.encode_batch_fast(parts, **named)
+
+    monkeypatch.setattr(tokens, "tokenizer", Noted())
+    rng = random.Random(6)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = ["".join(rng.choice([" ", "\n", "ab", "éß", "Zz", *rng.choices(marks, k=3)]) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    texts += ["", " ", "a", " a", "a b a", "  a", "a ", " a###", "one two.\nThree", "one...\nTwo###", "it's don't", "x1 \u00a0y", " ".join(["same"] * 50)]
+    for at in range(0, len(texts), 7):
+        some = texts[at : at + 7]
+        assert tokens.encode(some) == [array("I", whole.encode(t, add_special_tokens=False).ids).tobytes() for t in some]
+        parts, which, ends = packing.distinct_parts(some)
+        assert len(set(parts)) == len(parts) == len(set(which.tolist()))
+        assert [[parts[n] for n in own] for own in np.split(which, ends[:-1])] == [chunks(t) for t in some]
+    sent.clear()
+    tokens.encode(["plain words.\nOf quxle### frimble!!\nGronk. only"])
+    assert sent == []
+
+
 def test_two_generations_of_parts(monkeypatch):
     """However small the memory is, texts get the same ids, and frequent parts are not encoded again."""
     monkeypatch.setattr(packing, "MOST_REMEMBERED", 30)
@@ -588,14 +615,14 @@ def test_decoding_of_empty_and_missing_lists(spark):
 
 
 def test_steps_over_code_points_are_few(documents):
-    """Five joins and minima over two arrays, one of them less than there were; a length is counted once; hashes of a text's own fingerprint serve both likenesses."""
+    """No array is copied to be laid beside itself; a length is counted once; the hashes of a text's own fingerprint serve both likenesses."""
 
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
     docs = documents([(1, "some text that is longer than a window"), (2, "short")])
     made = plan(winnowing.with_fingerprint(docs, "text", "fp", winnowing.CHARACTERS, winnowing.WINDOW, "characters"))
-    assert made.count("zip_with(") == 5 and made.count("length(") == 1
+    assert made.count("zip_with(") == 0 and made.count("slice(") == 2 and made.count("length(") == 1
     compared = plan(winnowing.compare_with_next(docs, k=winnowing.CHARACTERS, unit="characters"))
     assert compared.count("shiftright(lambda") == 3
 
