@@ -22,7 +22,7 @@ from .simhash_dedup import simhash_components
 from .spelling import spelling_groups
 from .substring_dedup import drop_repeats
 from .topk_search import top_products
-from .winnowing import CHARACTERS, compare_with_next, fingerprint_text
+from .winnowing import CHARACTERS, compare_with_next, with_fingerprint_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,11 +78,9 @@ def op2(spark, documents, folder):
 
 @table_query("op3_document_fingerprints", "documents")
 def op3(spark, documents, folder):
-    found = compare_with_next(documents, k=CHARACTERS, unit="characters")
-    return found.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint_text("fp").alias("fingerprint"),
-        fingerprint_text("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
-    )
+    found = with_fingerprint_texts(compare_with_next(documents, k=CHARACTERS, unit="characters"), "fingerprint", "edited_fingerprint")
+    edited = F.sha2("edited", 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", edited, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 @table_query("op4_secret_scan", "documents")

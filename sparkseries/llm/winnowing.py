@@ -20,7 +20,8 @@ CHARACTERS = 8
 #: The polynomial over a k-gram: its value at BASE modulo a prime, so that products fit in 63 bits.
 PRIME = (1 << 31) - 1
 BASE = 0x2545F491
-#: A hash and its place share 63 bits; the place counts down from here, so that of equal hashes the rightmost is the smallest number.
+#: A hash, negated, and its place share 64 bits, so that the greatest number has the smallest hash and of equal ones the rightmost. The place is in
+#: the 31 lowest bits.
 LAST_PLACE = (1 << 31) - 1
 SPACES = "[\\x20\\x09-\\x0D]+"
 
@@ -38,15 +39,24 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str, k: int = KGRAM, win
     while span < window:
         step = min(span, window - span)
         later = F.slice(out, step + 1, F.greatest(F.size(out) - step, F.lit(0)))
-        # Beyond the end one side is missing; the least of one number is itself.
-        df = df.withColumn(out, F.zip_with(F.col(out), later, lambda a, b: F.least(a, b)))
+        # Beyond the end one side is missing; the greatest of one number is itself.
+        df = df.withColumn(out, F.zip_with(F.col(out), later, lambda a, b: F.greatest(a, b)))
         span += step
     full = F.greatest(F.size(grams) - (window - 1), F.least(F.size(grams), F.lit(1)))
     return df.withColumn(out, F.array_distinct(F.slice(out, F.lit(1), full))).drop(grams)
 
 
-def _packed(gram: Column, place: Column) -> Column:
-    return F.shiftleft(gram, 31).bitwiseOR(F.lit(LAST_PLACE).cast("long") - place)
+def _packed(negated: Column, place: Column) -> Column:
+    """A negated hash and its place as one number."""
+    return F.shiftleft(negated, 31).bitwiseOR(place.cast("long"))
+
+
+def _hash(entry: Column) -> Column:
+    return -F.shiftright(entry, 31)
+
+
+def _place(entry: Column) -> Column:
+    return entry.bitwiseAND(F.lit(LAST_PLACE).cast("long"))
 
 
 def _word_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFrame:
@@ -58,7 +68,7 @@ def _word_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFrame:
     def packed(h: Column, place: Column) -> Column:
         # Words beyond the end are null, which the hash skips.
         gram = F.xxhash64(h, *[F.get(F.col(words), place + step) for step in range(1, k)])
-        return _packed(gram.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), place)
+        return _packed(-gram.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), place)
 
     return df.withColumn(grams, F.slice(F.transform(F.col(words), packed), F.lit(1), number)).drop(words)
 
@@ -72,7 +82,9 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
     part, n = f"{grams}_1", F.col(f"{grams}_n")
     # Columns of their own, because each use of a length would count the text again.
     df = df.withColumn(f"{grams}_n", F.length(text_col))
-    codes = F.transform(F.split(text_col, ""), lambda c: F.xxhash64(c).bitwiseAND(F.lit(0x3FFFFFFF).cast("long")) + 1)
+    # The number of a code point is 30 bits of its hash, plus one. All bits turned over give it negated, and so are the polynomials made of these, as
+    # a remainder has the sign of its dividend.
+    codes = F.transform(F.split(text_col, ""), lambda c: F.bitwise_not(F.xxhash64(c).bitwiseAND(F.lit(0x3FFFFFFF).cast("long"))))
     # A short text is filled up with zeros to one k-gram, so no step has to look for a missing number: a null at the end is of a place without a k-gram.
     codes = F.when(n < k, F.concat(codes, F.array_repeat(F.lit(0).cast("long"), k - F.greatest(n, F.lit(1))))).otherwise(codes)
     df, made, spans = df.withColumn(part, codes), [f"{grams}_n", part], {1: part}
@@ -110,23 +122,39 @@ def _character_grams(df: DataFrame, text_col: str, grams: str, k: int) -> DataFr
 
 def hashes(fingerprint: Column | str) -> Column:
     """The distinct hashes of a fingerprint."""
-    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(x, 31)))
+    return F.array_distinct(F.transform(fingerprint, _hash))
 
 
 def places(fingerprint: Column | str) -> Column:
     """The places of a fingerprint's k-grams, counted in words or code points."""
-    return F.transform(fingerprint, lambda x: F.lit(LAST_PLACE).cast("long") - x.bitwiseAND(F.lit(LAST_PLACE).cast("long")))
+    return F.transform(fingerprint, _place)
 
 
 def fingerprint_text(fingerprint: Column | str) -> Column:
     """A fingerprint as text: hash in hexadecimal digits, @ and place, joined by spaces."""
+    return _entries_text(_entries(fingerprint))
+
+
+def with_fingerprint_texts(df: DataFrame, out: str, edited_out: str) -> DataFrame:
+    """The rows of `compare_with_next` with the two fingerprints as texts.
+
+    The entries that an edited text's fingerprint has from the text's own are written once, in a column of their own because both texts read it.
+    """
+    entries, shared = f"{out}_entries", F.col("n_shared")
+    df = df.withColumn(entries, _entries("fp"))
+    more = _entries(F.slice("edited_fp", shared + 1, F.size("edited_fp")))
+    edited = F.concat(F.slice(entries, F.lit(1), shared), more)
+    return df.withColumn(out, _entries_text(F.col(entries))).withColumn(edited_out, _entries_text(edited)).drop(entries)
+
+
+def _entries(fingerprint: Column | str) -> Column:
+    digits = F.transform(fingerprint, lambda x: F.hex(_hash(x)))
+    return F.zip_with(digits, places(fingerprint).cast("array<string>"), lambda h, place: F.concat(h, F.lit("@"), place))
 
-    def entry(x: Column) -> Column:
-        place = F.lit(LAST_PLACE).cast("long") - x.bitwiseAND(F.lit(LAST_PLACE).cast("long"))
-        return F.concat(F.hex(F.shiftright(x, 31)), F.lit("@"), place.cast("string"))
 
+def _entries_text(entries: Column) -> Column:
     # Lower case for the whole at once.
-    return F.lower(F.array_join(F.transform(fingerprint, entry), " "))
+    return F.lower(F.array_join(entries, " "))
 
 
 def with_likeness(df: DataFrame, left: str, right: str, out: str, left_hashes: str | None = None) -> DataFrame:
@@ -196,11 +224,12 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def compare_with_next(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = KGRAM, window: int = WINDOW, unit: str = "words"
 ) -> DataFrame:
-    """(doc_id, n_chars, edited, fp, edited_fp, near_edited, near_next) for every row.
+    """(doc_id, n_chars, edited, fp, edited_fp, n_shared, near_edited, near_next) for every row.
 
     `edited` is the text with its last half (rounded down, in code points) replaced by as many from the start of the next
-    document by id, or all it has. A null text is empty, a null id comes first, rows with equal ids are in the order of their texts, a
-    single row follows itself, an empty table gives an empty result.
+    document by id, or all it has. `n_shared` entries at the start of `edited_fp` are known to be those of `fp`. A null text is
+    empty, a null id comes first, rows with equal ids are in the order of their texts, a single row follows itself, an empty table gives an empty
+    result.
     """
     texts = _texts(docs, id_col, text_col)
     rows = with_next(texts, "doc_id", lambda dealt: with_fingerprint(dealt, "text", "fp", k, window, unit), "text", "fp")
@@ -212,24 +241,24 @@ def compare_with_next(
     rows = with_likeness(rows, "fp", "next_fp", "near_next", "hashes")
     chosen = ["doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", "hashes", "near_next"]
     if unit == "characters":
-        rows = _with_edited_fingerprint(rows.select(*chosen, "next_fp", (n - half).alias("cut")), k, window)
+        rows = _with_edited_fingerprint(rows.select(*chosen, "next_fp", (n - half).cast("long").alias("cut")), k, window)
     else:
-        rows = with_fingerprint(rows.select(*chosen), "edited", "edited_fp", k, window, unit)
+        rows = with_fingerprint(rows.select(*chosen), "edited", "edited_fp", k, window, unit).withColumn("n_shared", F.lit(0))
     return with_likeness(rows, "fp", "edited_fp", "near_edited", "hashes").drop("hashes")
 
 
 def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
-    """The rows with `edited_fp`, where `edited` has the first `cut` code points of the text whose fingerprint is `fp`, then the first of the next's.
+    """The rows with `edited_fp` and `n_shared`, where `edited` has the first `cut` code points of the text whose fingerprint is `fp`, then the first of the next's.
 
     Windows that end before the cut are the text's own: what they chose is the start of its fingerprint. Windows that begin behind it are the
     next text's, the start of `next_fp`. Only the code points of the windows between are hashed, however long the texts are.
     """
     reach = k + window - 2
-    # The first window with a code point behind the cut.
-    rows = rows.withColumn("own", F.greatest(F.col("cut") - reach, F.lit(0)))
+    # The first window with a code point behind the cut; a long number as the entries are, so that none of these has to be converted.
+    rows = rows.withColumn("own", F.greatest(F.col("cut") - reach, F.lit(0).cast("long")))
     # How many windows are the next text's, a column of its own because a length takes as long as its text; less than 1 for none.
     rows = rows.withColumn("theirs", F.length("edited") - F.col("cut") - reach)
-    rest = F.substring(F.col("edited"), F.col("own") + 1, F.col("cut") - F.col("own") + reach)
+    rest = F.substring(F.col("edited"), (F.col("own") + 1).cast("int"), (F.col("cut") - F.col("own") + reach).cast("int"))
     rows = rows.withColumn("rest", rest)
     rows = with_fingerprint(rows, "rest", "rest_fp", k, window, "characters")
 
@@ -239,25 +268,23 @@ def _with_edited_fingerprint(rows: DataFrame, k: int, window: int) -> DataFrame:
     rows = rows.withColumn(sure["next_fp"], F.size(F.filter("next_fp", lambda x: _place(x) < F.col("theirs"))))
 
     def chosen_before(fingerprint: str, end: Column) -> Column:
-        """What the windows before one have chosen: an entry's first window is where it comes in, if it is less than the one before, or when that goes out."""
+        """What the windows before one have chosen: an entry's first window is where it comes in, if it is greater than the one before, or when that goes out."""
         known = F.col(sure[fingerprint])
 
         def first_window(x: Column, at: Column) -> Column:
             before = F.get(F.col(fingerprint), known + at - 1)
-            comes_in = F.greatest(_place(x) - (window - 1), F.lit(0))
-            return F.when(before.isNull() | (x < before), comes_in).otherwise(_place(before) + 1)
+            comes_in = F.greatest(_place(x) - (window - 1), F.lit(0).cast("long"))
+            return F.when(before.isNull() | (x > before), comes_in).otherwise(_place(before) + 1)
 
         close = F.slice(F.col(fingerprint), known + 1, F.lit(window - 1))
         return F.concat(F.slice(F.col(fingerprint), F.lit(1), known), F.filter(close, lambda x, at: first_window(x, at) < end))
 
-    kept = chosen_before("fp", F.col("own"))
-    shifted = F.transform("rest_fp", lambda x: x - F.col("own"))
-    following = F.transform(chosen_before("next_fp", F.col("theirs")), lambda x: x - F.col("cut"))
+    rows = rows.withColumn("kept", chosen_before("fp", F.col("own")))
+    kept = F.col("kept")
+    shifted = F.transform("rest_fp", lambda x: x + F.col("own"))
+    following = F.transform(chosen_before("next_fp", F.col("theirs")), lambda x: x + F.col("cut"))
     # Where nothing follows the cut, all windows are the text's own.
     nothing = (F.col("own") > 0) & (F.col("theirs") == -reach)
     found = F.when(nothing, kept).otherwise(F.array_distinct(F.concat(kept, shifted, following)))
-    return rows.withColumn("edited_fp", found).drop("own", "theirs", "rest", "rest_fp", "next_fp", "cut", *sure.values())
-
-
-def _place(entry: Column) -> Column:
-    return F.lit(LAST_PLACE).cast("long") - entry.bitwiseAND(F.lit(LAST_PLACE).cast("long"))
+    rows = rows.withColumn("edited_fp", found).withColumn("n_shared", F.size(kept))
+    return rows.drop("own", "theirs", "rest", "rest_fp", "kept", "next_fp", "cut", *sure.values())

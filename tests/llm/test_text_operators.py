@@ -635,3 +635,18 @@ def test_last_windows_before_the_cut(documents):
         found = winnowing.compare_with_next(docs, k=k, window=window, unit="characters")
         rows = winnowing.with_fingerprint(found, "edited", "again", k, window, "characters").collect()
         assert len(rows) == 5 and all(r["edited_fp"] == r["again"] for r in rows)
+
+
+def test_entries_of_edited_texts_are_written_once(documents):
+    """What an edited text's fingerprint has from the text's own is taken over as text; hashes are kept negated, so that a place takes fewer steps."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab" if i % 2 else "abcdé𝄞 ") for _ in range(rng.choice([0, 1, 7, 15, 29, 60, 300]))) for i in range(60)]
+    for k, window, unit in ((8, 8, "characters"), (1, 3, "characters"), (3, 8, "words")):
+        found = winnowing.compare_with_next(documents([*enumerate(texts), (99, None)]), k=k, window=window, unit=unit)
+        whole = [winnowing.fingerprint_text(c).alias(f"{c}_whole") for c in ("fp", "edited_fp")]
+        rows = winnowing.with_fingerprint_texts(found, "f", "e").select("*", *whole).collect()
+        assert len(rows) == 61 and all((r["f"], r["e"]) == (r["fp_whole"], r["edited_fp_whole"]) for r in rows)
+        assert all(r["fp"][: r["n_shared"]] == r["edited_fp"][: r["n_shared"]] for r in rows)
+        # Of a long text all entries of windows that end before the cut are shared.
+        assert unit == "words" or all(r["n_shared"] > 0 for r in rows if r["n_chars"] == 300)
+        assert all(entry < 0 for r in rows for entry in r["fp"])
