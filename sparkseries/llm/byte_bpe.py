@@ -11,10 +11,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from .chunks import chunks
-from .common import id_and_text, text_slices, worker_state
+from .common import drop_worker_state, id_and_text, text_slices, worker_state
 
 NEVER = 1 << 62
-#: Parts of texts, and prefixes and pairs of tokens, that a worker remembers; reaching a number empties that memory between texts.
+#: Parts of texts, and prefixes and pairs of tokens, that a worker remembers; reaching a number empties that memory, also within a text.
 MOST_PARTS = 350_000
 MOST_PREFIXES = 400_000
 
@@ -35,6 +35,8 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        #: Each token by its bytes: what is remembered refers to these and holds no copies of them.
+        self.tokens = {token: token for token in ranks}
         self.longest = [1] * 256
         for token in ranks:
             self.longest[token[-1]] = max(self.longest[token[-1]], len(token))
@@ -79,6 +81,9 @@ class Vocabulary:
         """Whether `right` may follow `left` in an encoding."""
         known = self.known.get((left, right))
         if known is None:
+            left, right = self.tokens[left], self.tokens[right]
+            if len(self.known) >= MOST_PREFIXES:
+                self.known.clear()
             if left not in self._ends:
                 self._ends[left] = self._spine(left, 1)
             if right not in self._starts:
@@ -88,43 +93,47 @@ class Vocabulary:
 
 
 class Prefixes(dict):
-    """For each byte prefix seen so far the ids of its encoding, as little-endian 32-bit numbers, and its last token.
+    """The last token of the encoding of each byte prefix seen so far; the empty prefix has an empty one.
 
     The last token of a prefix is the one token at its end that may follow the encoding of what stands before. A prefix is computed once,
-    so bytes appended to a known one cost only themselves; for edits see `PrefixEncoding.replace`.
+    so bytes appended to a known one cost only themselves; for edits see `PrefixEncoding.replace`. The tokens before the last are those
+    of the shorter prefix before it, so nothing else is stored.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__({b"": (b"", None)})
+        super().__init__({b"": b""})
         self.vocabulary = vocabulary
         self.packed = {token: int(rank).to_bytes(4, "little") for token, rank in vocabulary.ranks.items()}
 
     def encode(self, data: bytes) -> bytes:
-        """The ids of some bytes. They are remembered with all their prefixes."""
-        known = self.get(data)
-        if known is not None:
-            return known[0]
-        packed, longest, vocabulary, known_beside = self.packed, self.vocabulary.longest, self.vocabulary, self.vocabulary.known
-        start = len(data) - 1
-        while (entry := self.get(data[:start])) is None:
+        """The ids of some bytes, as little-endian 32-bit numbers. All prefixes are remembered."""
+        token_of, longest, vocabulary, known_beside = self.vocabulary.tokens.get, self.vocabulary.longest, self.vocabulary, self.vocabulary.known
+        start = len(data)
+        while (last := self.get(data[:start])) is None:
             start -= 1
-        entries = [entry]
+        # Of the prefixes from `start` on.
+        lasts = [last]
         for end in range(start + 1, len(data) + 1):
             least = max(0, end - longest[data[end - 1]])
             for at in range(end - 1, least - 1, -1):
-                token = data[at:end]
-                if token in packed:
-                    before, last = entries[at - start] if at >= start else self[data[:at]]
-                    fits = last is None or known_beside.get((last, token))
+                token = token_of(data[at:end])
+                if token is not None:
+                    before = lasts[at - start] if at >= start else self[data[:at]]
+                    fits = not before or known_beside.get((before, token))
                     if fits is None:
-                        fits = vocabulary.beside(last, token)
+                        fits = vocabulary.beside(before, token)
                     if fits:
-                        self[data[:end]] = found = (before + packed[token], token)
-                        entries.append(found)
+                        self[data[:end]] = token
+                        lasts.append(token)
                         break
             else:
                 raise ValueError(f"no token ends with byte {data[end - 1]}")
-        return found[0]
+        found, packed, at = [], self.packed, len(data)
+        while at:
+            token = lasts[at - start] if at >= start else self[data[:at]]
+            found.append(packed[token])
+            at -= len(token)
+        return b"".join(found[::-1])
 
 
 class PrefixEncoding:
@@ -183,7 +192,8 @@ class PrefixEncoding:
 class Encoder(dict):
     """Parts of texts and their ids as little-endian 32-bit numbers; an unknown part is encoded when asked for."""
 
-    #: A longer piece is encoded without remembering its prefixes, whose bytes would grow with the square of its length.
+    #: A longer piece is encoded without remembering its prefixes, whose bytes would grow with the square of its length. A part of
+    #: more characters, such as a line of a language without spaces, is not remembered: so many of them would have no bound in bytes.
     longest_shared = 64
 
     def __init__(self, path: str, pattern: str):
@@ -194,22 +204,21 @@ class Encoder(dict):
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         if len(data) <= self.longest_shared:
+            if len(self.prefixes) > MOST_PREFIXES:
+                self.prefixes = Prefixes(self.vocabulary)
             return self.prefixes.packed.get(data) or self.prefixes.encode(data)
         return np.array(PrefixEncoding(self.vocabulary, data).tokens(), "<i4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
         # A space and letters are one piece of the pattern.
         found = self._piece(part) if part[1:].isalpha() and part[0] == " " else b"".join(map(self._piece, self.pattern.findall(part)))
-        self[part] = found
+        if len(part) <= self.longest_shared:
+            if len(self) >= MOST_PARTS:
+                self.clear()
+            self[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        if len(self) > MOST_PARTS:
-            self.clear()
-        if len(self.vocabulary.known) > MOST_PREFIXES:
-            self.vocabulary.known.clear()
-        if len(self.prefixes) > MOST_PREFIXES:
-            self.prefixes = Prefixes(self.vocabulary)
         return b"".join(map(self.__getitem__, chunks(text)))
 
 
@@ -240,6 +249,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows of `encode` with `decoded`, the bytes that the ids stand for; null ids are no ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The worker may have encoded before; while it decodes, another one encodes for it.
+        drop_worker_state(None)
         ranks = read_ranks(path)
         table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():

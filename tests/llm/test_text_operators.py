@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import sys
 import zlib
 from array import array
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkseries.llm import byte_bpe, packing, secret_scan, simhash_dedup, substring_dedup, winnowing
 from sparkseries.llm.chunks import chunks
+from sparkseries.llm.common import worker_state
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -604,6 +606,50 @@ def test_prefixes_of_one_piece_are_looked_up_once():
     assert [*memoryview(ids).cast("i")] == [5, 3, 4] and Counted.looked == 0
 
 
+def test_encoder_memory_is_bounded(monkeypatch, reference_encoding):
+    """The bounds hold within one text, parts without spaces are not remembered, and prefixes hold the vocabulary's tokens instead of copies."""
+    monkeypatch.setattr(byte_bpe, "MOST_PARTS", 40)
+    monkeypatch.setattr(byte_bpe, "MOST_PREFIXES", 300)
+    encoder, most = byte_bpe.Encoder(RANKS, public_tokenizers.PATTERN), [0, 0, 0]
+    piece = encoder._piece
+
+    def noted(part):
+        found = piece(part)
+        most[:] = map(max, most, (len(encoder), len(encoder.prefixes), len(encoder.vocabulary.known)))
+        return found
+
+    monkeypatch.setattr(encoder, "_piece", noted)
+    rng = np.random.default_rng(5)
+    lines = ["".join(rng.choice(list("漢字、。一丁"), 90)) for _n in range(30)]
+    made = [*("".join(rng.choice(list("aehinorst'é1"), rng.integers(4, 12))) for _n in range(2000)), *lines, "ab" * 300]
+    text = " ".join([made[n] for n in rng.permutation(len(made))])
+    for _again in range(2):
+        assert np.frombuffer(encoder.encode(text), "<i4").tolist() == reference_encoding.encode_ordinary(text)
+    # A piece adds at most as many prefixes as it has bytes.
+    assert most[0] <= 40 and most[1] <= 300 + 64 and most[2] <= 300
+    assert max(map(len, encoder)) <= 64
+    tokens = encoder.vocabulary.tokens
+    assert all(last is tokens[last] for last in encoder.prefixes.values() if last)
+    assert all(side is tokens[side] for pair in encoder.vocabulary.known for side in pair)
+
+
+def test_decoding_drops_what_encoding_remembered():
+    """Encoding and decoding run at once in two workers a task, and either may be the one that encoded for the task before."""
+
+    class Caught:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    key = ("encoder", "of the task before")
+    worker_state(key, dict)
+    held = sys.modules["sparkseries_worker_state"].__dict__
+    assert key in held["state"]
+    assert not list(byte_bpe.decode(Caught(), RANKS)(iter([]))) and key not in held["state"]
+
+
 def test_decoding_of_empty_and_missing_lists(spark):
     rows = [(1, [5, 300]), (2, []), (3, None), (None, [300]), *[(n, [n]) for n in range(10, 600, 2)]]
     ranks = byte_bpe.read_ranks(RANKS)
